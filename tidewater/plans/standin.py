@@ -191,7 +191,8 @@ def raw_south(spark: SparkSession, d: str) -> DataFrame:
         F.concat(F.lit(" "), F.col("s_name")).alias("Restaurant Name"),
         F.when(ls == "O", F.lit("Follow-up")).otherwise(F.lit("Routine")).alias("Inspection Type"),
         F.date_format("l_shipdate", "MM/dd/yyyy").alias("Inspection Date"),
-        (q * 2 - 4).cast("string").alias("Inspection Score"),
+        F.when(F.col("l_discount") == 0, F.lit("N/A")).otherwise((q * 2 - 4).cast("string"))
+         .alias("Inspection Score"),
         F.concat(F.lit("75"), F.lpad(F.col("s_nationkey").cast("string"), 3, "0"),
                  F.when(ls == "O", F.lit("-3007")).otherwise(F.lit(""))).alias("Zip Code"),
         F.concat(F.col("n_name"), F.lit(" ST (32."), _nk("s_nationkey"), F.lit(", -96."),
