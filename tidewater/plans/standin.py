@@ -27,6 +27,7 @@ from pyspark.sql import functions as F
 from tidewater.functions.keys import hash_key
 from tidewater.functions.scoring import result_from_score, score_from_result
 from tidewater.operators.dedupe import dedupe, latest_per_key
+from tidewater.sources.tables import read_parquet
 
 NORTH = "north"
 SOUTH = "south"
@@ -45,8 +46,13 @@ TRACKED = ["facility_type", "risk_category", "aka_name"]
 STAGING_COLS = ["restaurant_name", "aka_name", "license_number", "facility_type", "risk_category", "source_city"]
 
 
+# tables small enough that spreading them buys nothing (dimension-sized lookups)
+_SMALL = {"region", "nation", "supplier"}
+
+
 def table(spark: SparkSession, d: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{d.rstrip('/')}/{name}.parquet")
+    path = f"{d.rstrip('/')}/{name}.parquet"
+    return spark.read.parquet(path) if name in _SMALL else read_parquet(spark, path)
 
 
 def _nk(c: str) -> F.Column:
