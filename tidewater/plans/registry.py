@@ -90,11 +90,20 @@ class Model:
 
     @cached_property
     def fact(self):
-        return ST.load_fact(self.insp, self.dim2, self.loc, self.typ)
+        # location/type keys are functions of the natural key: computed in place, no join
+        return ST.load_fact(self.insp, self.dim2, lookup="hash")
+
+    @cached_property
+    def fact_joined(self):
+        return ST.load_fact(self.insp, self.dim2, self.loc, self.typ, lookup="join")
 
     @cached_property
     def bridge(self):
-        return ST.load_bridge(self.viol, self.fact, self.dimv)
+        return ST.load_bridge(self.viol, self.fact, lookup="hash")
+
+    @cached_property
+    def bridge_joined(self):
+        return ST.load_bridge(self.viol, self.fact, self.dimv, lookup="join")
 
     # raw / bronze-like
     @cached_property
@@ -495,11 +504,21 @@ def fact_load(spark, d):
     return Model(spark, d).fact
 
 
+@query("fact_load_joined", O.ALL + "SELECT * FROM fact")
+def fact_load_joined(spark, d):
+    return Model(spark, d).fact_joined
+
+
 @query("bridge_load", O.ALL + "SELECT * FROM bridge")
 def bridge_load(spark, d):
     return Model(spark, d).bridge
 
 
+@query("bridge_load_joined", O.ALL + "SELECT * FROM bridge")
+def bridge_load_joined(spark, d):
+    return Model(spark, d).bridge_joined
+
+
 @query("fact_integrity", O.ALL + """SELECT (SELECT count(*) FROM fact) AS fact_rows,
   (SELECT count(*) FROM insp) AS silver_rows,
   (SELECT count(*) FROM fact WHERE restaurant_key IS NULL) AS orphan_restaurant,
