@@ -165,6 +165,16 @@ def table_counts(spark, d):
     return out
 
 
+def _fresh(spark, name):
+    import uuid
+
+    from tidewater.session import scratch_path
+    return scratch_path(spark, f"roundtrip/{name}-{uuid.uuid4().hex[:12]}")
+
+
+_RT_TS = __import__("datetime").datetime(2001, 12, 1, 6, 0, 0)
+_RT_RUN = "20011201_060000"
+
 # =========================== projections and cleansing ===================================
 
 _SAN = ", ".join(f'"{r}" AS {s}' for r, s in zip(O.NORTH_RAW_NAMES, O.NORTH_RAW_SANITIZED))
@@ -175,6 +185,38 @@ def sanitize_columns(spark, d):
     return Model(spark, d).raw_north
 
 
+# CSV cannot tell NULL from '': an empty field reads back as NULL
+_SAN_CSV = ", ".join(f"nullif(\"{r}\", '') AS {s}" for r, s in zip(O.NORTH_RAW_NAMES, O.NORTH_RAW_SANITIZED))
+
+
+@query("csv_roundtrip", "WITH " + O.RAW_NORTH + f" SELECT {_SAN_CSV} FROM raw_north")
+def csv_roundtrip(spark, d):
+    """Multi-line CSV sink + explicit-schema reader: write the raw frame, read it back
+    (values byte-exact, including surrounding spaces and embedded quotes)."""
+    from tidewater.sinks import write_csv_extract
+    from tidewater.sources.csv import read_csv, string_schema
+    raw = Model(spark, d).raw_north
+    path = write_csv_extract(raw, _fresh(spark, "csv"), single_file=False)
+    return read_csv(spark, path, schema=string_schema(raw.columns), multiline=True)
+
+
+@query("snapshot_roundtrip", """
+SELECT c_name AS business_name, CAST(c_custkey AS VARCHAR) AS license_number, c_mktsegment AS segment,
+       c_acctbal AS balance, c_nationkey AS nation_key, 'customer' AS source, '""" + _RT_RUN + """' AS run_id
+FROM customer""")
+def snapshot_roundtrip(spark, d):
+    """Dated snapshot sink: base/table/yyyy/MM/dd/run_id=X, read back from the day folder."""
+    from tidewater.sinks import snapshot_path, write_snapshot
+    cust = SourceMapping("customer", {"business_name": "c_name", "license_number": "c_custkey",
+                                      "segment": "c_mktsegment", "balance": "c_acctbal", "nation_key": "c_nationkey"},
+                         {"source": "customer"})
+    df = C.conform(S.table(spark, d, "customer"), cust, _CONFORM_TARGET)
+    base = _fresh(spark, "snap")
+    write_snapshot(df, base, "customers", _RT_TS, _RT_RUN)
+    day = snapshot_path(base, "customers", _RT_TS, _RT_RUN).rsplit("/", 1)[0]
+    return spark.read.option("basePath", day).parquet(day).withColumn("run_id", F.col("run_id").cast("string"))
+
+
 @query("bronze_ingest", "WITH " + O.RAW_NORTH +
        f" SELECT {_SAN}, 'north' AS data_source_name, 'bronze-job' AS etl_job_id FROM raw_north")
 def bronze_ingest(spark, d):

@@ -54,5 +54,7 @@ def write_csv_extract(df: DataFrame, path: str, single_file: bool = True) -> str
     """CSV with header for BI tools. ``single_file`` funnels through one task: use it only for
     small, bounded report outputs (aggregates, top-k), never for row-level tables."""
     out = df.coalesce(1) if single_file else df
-    out.write.mode("overwrite").option("header", True).option("escape", '"').csv(path)
+    # keep values byte-exact: Spark's CSV writer trims surrounding spaces unless told not to
+    (out.write.mode("overwrite").option("header", True).option("escape", '"')
+     .option("ignoreLeadingWhiteSpace", False).option("ignoreTrailingWhiteSpace", False).csv(path))
     return path

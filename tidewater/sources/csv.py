@@ -22,7 +22,8 @@ def read_csv(spark: SparkSession, path: str | list[str], schema: StructType | No
     Without a schema, ``infer=False`` reads every column as string (header names).
     """
     reader = (spark.read.option("header", header)
-              .option("mode", "PERMISSIVE"))
+              .option("mode", "PERMISSIVE")
+              .option("ignoreLeadingWhiteSpace", False).option("ignoreTrailingWhiteSpace", False))
     if multiline:
         reader = reader.option("multiLine", True).option("escape", '"')
     if schema is not None:
