@@ -39,3 +39,14 @@ def test_results_do_not_depend_on_shuffle_partitions(spark):
         assert out["3"] == out["11"]
     finally:
         spark.conf.set("spark.sql.shuffle.partitions", before)
+
+
+def test_bi_extracts(spark):
+    base = tempfile.mkdtemp(prefix="tidewater-test-")
+    cfg = pipeline.default_config(spark, base=base)
+    paths = pipeline.run(spark, SF001, cfg)
+    out = pipeline.extracts(spark, cfg, paths)
+    assert spark.read.parquet(out["fact_inspections_denormalized"]).count() == \
+        spark.read.parquet(paths["fact_inspection"]).count()
+    top = spark.read.option("header", True).csv(out["summary_top_violations"])
+    assert 0 < top.count() <= 15

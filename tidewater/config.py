@@ -62,3 +62,9 @@ class AttributeMap:
     concept: str
     left: str | None
     right: str | None
+
+
+def attribute_map(left: SourceMapping, right: SourceMapping) -> list[AttributeMap]:
+    """Concept-by-concept source-to-target map of two sources (the mapping workbook)."""
+    concepts = list(dict.fromkeys([*left.columns, *right.columns]))
+    return [AttributeMap(c, left.columns.get(c), right.columns.get(c)) for c in concepts]

@@ -132,6 +132,26 @@ def gold(spark: SparkSession, cfg: RunConfig) -> dict[str, str]:
     return out
 
 
+def extracts(spark: SparkSession, cfg: RunConfig, gold_paths: dict[str, str]) -> dict[str, str]:
+    """BI extracts: the denormalised fact (row-level, Parquet, fully parallel) and three
+    bounded summaries (results by year, risk x facility, top violations) as small CSVs."""
+    from tidewater.operators import reports as R
+    from tidewater.sinks import write_csv_extract
+    rd = lambda k: spark.read.parquet(gold_paths[k])
+    fact, dim_r = rd("fact_inspection"), rd("dim_restaurant")
+    out_base = f"{cfg.base_path}/extracts"
+    out = {"fact_inspections_denormalized": write_table(
+        R.denormalized(fact, dim_r, rd("dim_location"), rd("dim_inspection_type"), rd("dim_date")),
+        f"{out_base}/fact_inspections_denormalized")}
+    for name, df in (("summary_results_by_year", R.pass_rate_trend(fact)),
+                     ("summary_risk_facility", R.summary_risk_facility(fact, dim_r)),
+                     ("summary_top_violations", R.top_violation_codes(rd("bridge_inspection_violation"),
+                                                                      rd("dim_violation"), 15))):
+        # aggregates / top-k: bounded by categories, so one output file is fine
+        out[name] = write_csv_extract(df, f"{out_base}/{name}", single_file=True)
+    return out
+
+
 def row_counts(spark: SparkSession, paths: dict[str, str]) -> DataFrame:
     """UNION ALL of one-row counts over written tables (layer report)."""
     out = None

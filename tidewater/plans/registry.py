@@ -679,6 +679,59 @@ def scd2_as_of(spark, d):
     return SCD.as_of(Model(spark, d).dim2, dt.date(2000, 6, 30)).select(*DIM_OUT)
 
 
+# ---- the manual SCD2 test as a query: pick candidates, change them, merge, look up ----
+
+SCD2_TEST_AS_OF = __import__("datetime").date(2001, 12, 15)
+SCD2_TEST_TS = __import__("datetime").datetime(2001, 12, 15, 6, 0, 0)
+
+
+def scd2_test_batch(stg: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """(change batch, picked keys): pick 5 candidates (equality, NOT NULL, NOT LIKE, order,
+    limit 5), then #1 changes one attribute, #2 changes two, #3 is cloned as a new business."""
+    from pyspark.sql import Window
+    cands = (stg.filter((F.col("source_city") == S.NORTH) & F.col("license_number").isNotNull()
+                        & F.col("facility_type").isNotNull() & ~F.col("restaurant_name").like("%000000000%"))
+             .orderBy("restaurant_name").limit(5))
+    # 5 rows: numbering them in one partition is bounded work
+    picks = cands.withColumn("pick", F.row_number().over(Window.orderBy("restaurant_name")))
+    changed = C.overlay_by_frame(
+        stg, picks.select(*S.RESTAURANT_KEYS, "pick"), S.RESTAURANT_KEYS,
+        {"facility_type": F.when(F.col("pick") == 1, F.lit("SCD2_TEST_BAKERY")).otherwise(F.col("facility_type")),
+         "risk_category": F.when(F.col("pick") == 2, F.lit("Risk 3 (Low)")).otherwise(F.col("risk_category")),
+         "aka_name": F.when(F.col("pick") == 2, F.lit("SCD2_TEST_AKA_NAME")).otherwise(F.col("aka_name"))},
+        max_keys=5)
+    clone = C.with_overrides(picks.filter(F.col("pick") == 3).select(*S.STAGING_COLS),
+                             {"restaurant_name": "SCD2_TEST_NEW_RESTAURANT", "license_number": "9999999"})
+    touched = picks.filter(F.col("pick") <= 2).select("restaurant_name").unionByName(
+        clone.select("restaurant_name"))
+    return changed.unionByName(clone), touched
+
+
+@query("scd2_test_changes", O.ALL + """, cands AS (
+  SELECT *, row_number() OVER (ORDER BY restaurant_name) AS pick FROM (
+    SELECT * FROM stg2 WHERE source_city = 'north' AND license_number IS NOT NULL AND facility_type IS NOT NULL
+      AND restaurant_name NOT LIKE '%000000000%' ORDER BY restaurant_name LIMIT 5)),
+stg3 AS (
+  SELECT s.restaurant_name,
+         CASE WHEN c.pick = 2 THEN 'SCD2_TEST_AKA_NAME' ELSE s.aka_name END AS aka_name, s.license_number,
+         CASE WHEN c.pick = 1 THEN 'SCD2_TEST_BAKERY' ELSE s.facility_type END AS facility_type,
+         CASE WHEN c.pick = 2 THEN 'Risk 3 (Low)' ELSE s.risk_category END AS risk_category, s.source_city
+  FROM stg2 s LEFT JOIN cands c ON s.restaurant_name IS NOT DISTINCT FROM c.restaurant_name
+   AND s.source_city IS NOT DISTINCT FROM c.source_city AND s.license_number IS NOT DISTINCT FROM c.license_number
+  UNION ALL
+  SELECT 'SCD2_TEST_NEW_RESTAURANT', aka_name, '9999999', facility_type, risk_category, source_city
+  FROM cands WHERE pick = 3),""" + O.merge_sql("dim3", "dim2", "stg3", SCD2_TEST_AS_OF, "load-test") + f"""
+SELECT {', '.join(DIM_OUT)} FROM dim3 WHERE restaurant_name IN (
+  SELECT restaurant_name FROM cands WHERE pick <= 2 UNION ALL SELECT 'SCD2_TEST_NEW_RESTAURANT')""")
+def scd2_test_changes(spark, d):
+    m = Model(spark, d)
+    batch, touched = scd2_test_batch(m.stg2)
+    dim3 = SCD.scd2_merge(m.dim2, batch, S.RESTAURANT_KEYS, S.TRACKED, SCD2_TEST_AS_OF, SCD2_TEST_TS,
+                          "load-test", nullable=S.RESTAURANT_NULLABLE, validate=False)
+    # point lookup of the touched businesses (a 3-row key set: bounded broadcast)
+    return dim3.join(F.broadcast(touched.limit(3)), "restaurant_name", "left_semi").select(*DIM_OUT)
+
+
 # =========================== reports =====================================================
 
 _YEAR = "CAST(date_key // 10000 AS INTEGER)"

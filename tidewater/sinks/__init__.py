@@ -9,6 +9,16 @@ from pyspark.sql import DataFrame, SparkSession
 from tidewater.sources.tables import POINTER, current_version
 
 
+def ensure_namespace(spark: SparkSession, name: str, use: bool = False) -> str:
+    """``CREATE DATABASE IF NOT EXISTS`` (and optionally ``USE``) a layer namespace."""
+    if not name.replace("_", "").isalnum():
+        raise ValueError(f"invalid namespace {name!r}")
+    spark.sql(f"CREATE DATABASE IF NOT EXISTS {name}")
+    if use:
+        spark.sql(f"USE {name}")
+    return name
+
+
 def write_table(df: DataFrame, path: str, mode: str = "overwrite", partition_by: list[str] | None = None,
                 fmt: str = "parquet") -> str:
     """Full refresh (or append) of a Parquet table at ``path``."""
