@@ -70,3 +70,26 @@ def is_local_path(path: str) -> bool:
 def ensure_local_dir(path: str) -> None:
     if is_local_path(path):
         os.makedirs(path.replace("file:", ""), exist_ok=True)
+
+
+def scale_conf(input_bytes: int, total_cores: int, partition_bytes: int = 256 << 20,
+               max_shuffle_partitions: int = 100_000) -> dict[str, str]:
+    """Suggested settings for a job reading ``input_bytes`` on ``total_cores`` cores.
+
+    Shuffle partitions are sized so each starts near ``partition_bytes`` (AQE coalesces
+    the small ones at runtime and splits skewed ones), never fewer than 2 waves of tasks.
+    Pass the result as ``extra`` to :func:`get_spark` or to spark-submit ``--conf``.
+    """
+    import math
+    parts = max(2 * total_cores, math.ceil(input_bytes / partition_bytes))
+    mb = f"{partition_bytes >> 20}m"
+    return {
+        "spark.sql.shuffle.partitions": str(min(parts, max_shuffle_partitions)),
+        "spark.sql.files.maxPartitionBytes": mb,
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": mb,
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "4",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": f"{2 * (partition_bytes >> 20)}m",
+        # broadcast only what the planner measures below this size (a checked bound)
+        "spark.sql.autoBroadcastJoinThreshold": "64m",
+        "spark.sql.adaptive.autoBroadcastJoinThreshold": "64m",
+    }

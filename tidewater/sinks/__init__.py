@@ -47,16 +47,17 @@ def write_snapshot(df: DataFrame, base: str, table: str, run_ts: dt.datetime, ru
 
 
 def write_version(spark: SparkSession, df: DataFrame, base: str) -> int:
-    """Write ``df`` as the next version of a versioned table, then move the pointer.
+    """Write ``df`` as the next version of a versioned table, then commit it.
 
-    Readers of the old version are never disturbed (no overwrite of a table being read);
-    a crash before the pointer move leaves the previous version current.
+    The data goes to a new ``v=<n>`` folder (readers of older versions are never
+    disturbed); the commit appends ``n`` to the table's version log. A crash before the
+    commit leaves the previous version current; a half-written folder is never read.
     """
     base = base.rstrip("/")
     v = (current_version(spark, base) or 0) + 1
     df.write.mode("overwrite").parquet(f"{base}/v={v}")
     spark.createDataFrame([(str(v),)], "value string").coalesce(1) \
-        .write.mode("overwrite").text(f"{base}/{POINTER}")
+        .write.mode("append").text(f"{base}/{POINTER}")
     return v
 
 
