@@ -118,3 +118,21 @@ def test_assert_unique_raises(spark):
     df = spark.createDataFrame([(1,), (1,)], "k int")
     with pytest.raises(ValueError):
         D.assert_unique(df, ["k"])
+
+
+def test_copies_of_an_inspection_do_not_multiply_violations(spark):
+    insp = spark.createDataFrame(
+        [(7, "R", None, "C", "A", "X", "S", "00001", 1.0, 2.0, dt.date(2024, 1, 1), "T", "Pass", 90)] * 3,
+        "inspection_id long, restaurant_name string, license_number string, source_city string, address string,"
+        " city string, state string, zip string, latitude double, longitude double, inspection_date date,"
+        " inspection_type string, inspection_result string, inspection_score int")
+    stg = insp.select("restaurant_name", F.lit(None).cast("string").alias("aka_name"), "license_number",
+                      F.lit(None).cast("string").alias("facility_type"),
+                      F.lit(None).cast("string").alias("risk_category"), "source_city").distinct()
+    dim_r = S.scd2_merge(None, stg, KEYS, TRACKED, D1, TS, "j", nullable=["license_number"])
+    fact = ST.load_fact(insp, dim_r, lookup="hash")
+    assert fact.count() == 3                                   # copies stay whole
+    viol = spark.createDataFrame([(7, "1", "d", None, 1, "C"), (7, "2", "e", None, 2, "C")],
+                                 "inspection_id long, violation_code string, violation_description string, "
+                                 "violation_comments string, violation_points int, source_city string")
+    assert ST.load_bridge(viol, fact, lookup="hash").count() == 2   # ... without fan-out

@@ -7,7 +7,7 @@ import pytest
 
 from tidewater.config import RunConfig, attribute_map
 from tidewater.plans.pipeline import NORTH_MAP, SOUTH_MAP
-from tidewater.sinks import ensure_namespace, write_version
+from tidewater.sinks import ensure_namespace, register_view, write_version
 from tidewater.sources.csv import read_csv, string_schema
 from tidewater.sources.tables import current_version, list_tables, read_current
 
@@ -59,3 +59,13 @@ def test_attribute_map():
     assert m["restaurant_name"] == ("DBA_Name", "Restaurant_Name")
     assert m["license_number"] == ("License", None)
     assert len(m) == 17
+
+
+def test_temp_view_sql_anti_join(spark):
+    stg = spark.createDataFrame([("a", None), ("b", "1"), ("c", "2")], "name string, lic string")
+    dim = spark.createDataFrame([("a", "", True), ("b", "1", False)], "name string, lic string, is_current boolean")
+    register_view(stg, "staging_v")
+    register_view(dim, "dim_v")
+    got = spark.sql("""SELECT s.name FROM staging_v s LEFT ANTI JOIN dim_v t
+                       ON s.name = t.name AND coalesce(s.lic, '') = coalesce(t.lic, '') AND t.is_current""")
+    assert sorted(r[0] for r in got.collect()) == ["b", "c"]

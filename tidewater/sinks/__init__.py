@@ -9,6 +9,12 @@ from pyspark.sql import DataFrame, SparkSession
 from tidewater.sources.tables import POINTER, current_version
 
 
+def register_view(df: DataFrame, name: str) -> str:
+    """Expose a frame to SQL callers as a session temp view (no data is copied)."""
+    df.createOrReplaceTempView(name)
+    return name
+
+
 def ensure_namespace(spark: SparkSession, name: str, use: bool = False) -> str:
     """``CREATE DATABASE IF NOT EXISTS`` (and optionally ``USE``) a layer namespace."""
     if not name.replace("_", "").isalnum():
