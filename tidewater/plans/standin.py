@@ -48,11 +48,16 @@ STAGING_COLS = ["restaurant_name", "aka_name", "license_number", "facility_type"
 
 # tables small enough that spreading them buys nothing (dimension-sized lookups)
 _SMALL = {"region", "nation", "supplier"}
+# when an under-split table must be spread anyway, spread it by the key its heaviest
+# consumer groups on (lineitem: the per (order, supplier) inspection aggregate)
+_SPREAD_KEYS = {"lineitem": ["l_orderkey"]}
 
 
 def table(spark: SparkSession, d: str, name: str) -> DataFrame:
     path = f"{d.rstrip('/')}/{name}.parquet"
-    return spark.read.parquet(path) if name in _SMALL else read_parquet(spark, path)
+    if name in _SMALL:
+        return spark.read.parquet(path)
+    return read_parquet(spark, path, keys=_SPREAD_KEYS.get(name))
 
 
 def _nk(c: str) -> F.Column:
