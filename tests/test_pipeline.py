@@ -29,7 +29,7 @@ def test_pipeline_end_to_end_and_rerun_is_noop(spark):
 
 
 def test_results_do_not_depend_on_shuffle_partitions(spark):
-    names = ["scd2_merge", "dedupe_violations", "latest_per_key", "bridge_load"]
+    names = ["scd2_merge", "dedupe_first", "latest_per_key", "bridge_load"]
     before = spark.conf.get("spark.sql.shuffle.partitions")
     try:
         out = {}

@@ -511,7 +511,7 @@ def extract_code_desc(spark, d):
 
 # =========================== dedupe, dims, star ==========================================
 
-@query("dedupe_violations", "WITH " + O.SILVER + " SELECT * FROM viol")
+@query("dedupe_first", "WITH " + O.SILVER + " SELECT * FROM viol")
 def dedupe_violations(spark, d):
     return Model(spark, d).viol
 
@@ -643,6 +643,16 @@ def scd2_history(spark, d):
     return SCD.scd2_history(Model(spark, d).dim2, S.RESTAURANT_KEYS, S.RESTAURANT_NULLABLE).select(*DIM_OUT)
 
 
+@query("semi_history", O.ALL + f"""SELECT {', '.join(DIM_OUT)} FROM dim2 WHERE is_current AND
+  (restaurant_name, source_city, coalesce(license_number, '')) IN (
+    SELECT (restaurant_name, source_city, coalesce(license_number, '')) FROM dim2
+    GROUP BY restaurant_name, source_city, coalesce(license_number, '') HAVING count(*) > 1)""")
+def semi_history(spark, d):
+    """Current rows whose business key has more than one version (tuple IN -> left semi)."""
+    dim = Model(spark, d).dim2
+    return SCD.scd2_history(dim, S.RESTAURANT_KEYS, S.RESTAURANT_NULLABLE).filter(F.col("is_current")).select(*DIM_OUT)
+
+
 @query("scd2_change_detail", O.ALL + """, h AS (SELECT *, row_number() OVER (PARTITION BY restaurant_name,
   source_city, coalesce(license_number, '') ORDER BY effective_start_date DESC, is_current DESC,
   effective_end_date DESC, restaurant_key DESC) AS rn FROM dim2)
@@ -764,7 +774,7 @@ def risk_share(spark, d):
     return R.risk_share(m.fact, m.dim2)
 
 
-@query("top_facility_types", O.ALL + """SELECT r.facility_type, count(*) AS inspections FROM fact f
+@query("top_types", O.ALL + """SELECT r.facility_type, count(*) AS inspections FROM fact f
   LEFT JOIN dim2 r ON f.restaurant_key = r.restaurant_key GROUP BY r.facility_type
   ORDER BY inspections DESC, facility_type ASC NULLS FIRST LIMIT 10""")
 def top_facility_types(spark, d):
