@@ -7,15 +7,26 @@ import tempfile
 
 from pyspark.sql import SparkSession
 
-# Conf applied only when the caller (cluster launcher, spark-submit) has not set it.
-_DEFAULTS = {
+# JIT-compile large generated methods: wide projections (dozens of cleansing and rule
+# expressions fused by whole-stage codegen) exceed HotSpot's 8 KB default and would run
+# interpreted, several times slower.
+JIT_HUGE_METHODS = "-XX:-DontCompileHugeMethods"
+
+# Static settings for a session we launch ourselves (local runs, tests, bench). On a
+# cluster the launcher owns static and JVM settings (see ``scale_conf``).
+_LOCAL_STATIC = {
+    "spark.ui.enabled": "false",
+    "spark.ui.showConsoleProgress": "false",
+    "spark.driver.extraJavaOptions": JIT_HUGE_METHODS,
+}
+
+# SQL settings applied only when nobody (spark-defaults, --conf, ``extra``) set them.
+_SQL_DEFAULTS = {
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.adaptive.localShuffleReader.enabled": "true",
-    "spark.ui.enabled": "false",
-    "spark.ui.showConsoleProgress": "false",
     "spark.sql.parquet.filterPushdown": "true",
     "spark.sql.sources.partitionOverwriteMode": "dynamic",
 }
@@ -23,20 +34,27 @@ _DEFAULTS = {
 
 def get_spark(master: str | None = None, shuffle_partitions: int | None = None,
               app_name: str = "tidewater", extra: dict | None = None) -> SparkSession:
-    """Return the active session, creating one with cluster-safe defaults if needed.
+    """Return the active session, creating one if needed, filling only unset settings.
 
-    On a cluster the launcher owns ``master`` and memory settings; we only fill gaps.
+    ``master`` given means we launch the JVM ourselves (local mode), so static settings
+    are ours to choose; ``extra`` always wins.
     """
+    extra = dict(extra or {})
     builder = SparkSession.builder.appName(app_name)
     if master:
         builder = builder.master(master)
-    for k, v in _DEFAULTS.items():
+        for k, v in _LOCAL_STATIC.items():
+            if k not in extra:
+                builder = builder.config(k, v)
+    for k, v in extra.items():
         builder = builder.config(k, v)
     if shuffle_partitions:
         builder = builder.config("spark.sql.shuffle.partitions", str(shuffle_partitions))
-    for k, v in (extra or {}).items():
-        builder = builder.config(k, v)
     spark = builder.getOrCreate()
+    explicit = spark.sparkContext.getConf()
+    for k, v in _SQL_DEFAULTS.items():
+        if k not in extra and not explicit.contains(k):
+            spark.conf.set(k, v)
     spark.sparkContext.setLogLevel("ERROR")
     checkpoint_dir(spark)
     return spark
@@ -89,6 +107,8 @@ def scale_conf(input_bytes: int, total_cores: int, partition_bytes: int = 256 <<
         "spark.sql.adaptive.advisoryPartitionSizeInBytes": mb,
         "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "4",
         "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": f"{2 * (partition_bytes >> 20)}m",
+        "spark.executor.extraJavaOptions": JIT_HUGE_METHODS,
+        "spark.driver.extraJavaOptions": JIT_HUGE_METHODS,
         # broadcast only what the planner measures below this size (a checked bound)
         "spark.sql.autoBroadcastJoinThreshold": "64m",
         "spark.sql.adaptive.autoBroadcastJoinThreshold": "64m",
