@@ -5,6 +5,7 @@ from __future__ import annotations
 import datetime as dt
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from tidewater.sources.tables import POINTER, current_version
 
@@ -62,7 +63,8 @@ def write_version(spark: SparkSession, df: DataFrame, base: str) -> int:
     base = base.rstrip("/")
     v = (current_version(spark, base) or 0) + 1
     df.write.mode("overwrite").parquet(f"{base}/v={v}")
-    spark.createDataFrame([(str(v),)], "value string").coalesce(1) \
+    # one JVM-generated row (no Python-side data): the commit record
+    spark.range(1).select(F.lit(str(v)).alias("value")) \
         .write.mode("append").text(f"{base}/{POINTER}")
     return v
 
