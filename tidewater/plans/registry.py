@@ -11,10 +11,10 @@ from functools import cached_property
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import DoubleType, IntegerType, LongType, StringType
+from pyspark.sql.types import DoubleType, IntegerType, StringType
 
 from tidewater.config import SourceMapping
-from tidewater.functions import (clean_name, date_parts, delimited_parts, durability_key, latitude_from,
+from tidewater.functions import (clean_name, delimited_parts, durability_key, latitude_from,
                                  longitude_from, parse_date, result_from_score, safe_cast, score_from_result,
                                  trim_spaces, upper_trim, zip_first5, zip_pad)
 from tidewater.operators import columns as C
@@ -435,6 +435,17 @@ def profile_distinct(spark, d):
     return P.profile_distinct(Model(spark, d).raw_north)
 
 
+_PL = " UNION ALL ".join(
+    f"SELECT '{c}' AS column_name, count_if({c} IS NULL OR {c} = '') AS null_count, "
+    f"CAST(count_if({c} IS NULL OR {c} = '') AS DOUBLE) * 100 / count(*) AS null_pct, count(*) AS total_rows, "
+    f"count(DISTINCT {c}) AS distinct_count FROM rn" for c in O.NORTH_RAW_SANITIZED)
+
+
+@query("profile", "WITH " + O.RAW_NORTH + f", rn AS (SELECT {_SAN} FROM raw_north) {_PL}")
+def profile_long(spark, d):
+    return P.profile(Model(spark, d).raw_north)
+
+
 @query("profile_stats", O.RAW + """SELECT min(Inspection_Score) AS min_value, max(Inspection_Score) AS max_value,
   avg(Inspection_Score) AS avg_value, count_if(Inspection_Score > 100) AS above_max,
   count_if(Inspection_Score IS NULL) AS null_count, count(*) AS total_rows FROM south_clean""")
