@@ -69,3 +69,21 @@ def test_temp_view_sql_anti_join(spark):
     got = spark.sql("""SELECT s.name FROM staging_v s LEFT ANTI JOIN dim_v t
                        ON s.name = t.name AND coalesce(s.lic, '') = coalesce(t.lic, '') AND t.is_current""")
     assert sorted(r[0] for r in got.collect()) == ["b", "c"]
+
+
+def test_scale_conf_sizes_partitions():
+    from tidewater.session import JIT_HUGE_METHODS, scale_conf
+    big = scale_conf(100 * 2**40, total_cores=8000)
+    assert big["spark.sql.shuffle.partitions"] == "100000"          # capped; AQE coalesces
+    small = scale_conf(2**30, total_cores=64)
+    assert small["spark.sql.shuffle.partitions"] == "128"           # at least two waves
+    assert JIT_HUGE_METHODS in big["spark.executor.extraJavaOptions"]
+
+
+def test_ensure_parallelism_only_spreads_under_split_inputs(spark, tmp_path):
+    from tidewater.sources.tables import ensure_parallelism
+    one = spark.range(100).coalesce(1)
+    spread = ensure_parallelism(one, min_partitions=4, keys=["id"])
+    assert spread.rdd.getNumPartitions() == 4
+    many = spark.range(100).repartition(6)
+    assert ensure_parallelism(many, min_partitions=4) is many
