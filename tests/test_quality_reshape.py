@@ -84,3 +84,12 @@ def test_north_cleanse_and_rules(spark):
         Q.apply_rules(V.cleanse_north(df), V.north_rules()).select("Inspection_ID", "DBA_Name", "City", "Zip",
                                                                    "Inspection_Score").collect()))
     assert ok == [("1", "A", "CHICAGO", "06061", 90), ("3", "A", "CHICAGO", "06061", 80)]
+
+
+def test_overlay_and_overrides(spark):
+    from tidewater.operators.columns import overlay, with_overrides
+    df = spark.createDataFrame([(1, "a", 5), (2, "b", 6)], "k int, s string, n int")
+    got = rows(overlay(df, "k", [2], {"s": "X"}))
+    assert got == [(1, "a", 5), (2, "X", 6)]
+    clone = with_overrides(df.limit(1), {"k": "9", "n": 7})
+    assert clone.schema == df.schema and rows(clone) == [(9, "a", 7)]
