@@ -152,6 +152,13 @@ def extracts(spark: SparkSession, cfg: RunConfig, gold_paths: dict[str, str]) ->
     return out
 
 
+def register_views(spark: SparkSession, paths: dict[str, str]) -> list[str]:
+    """Expose every written table as a temp view named like the table (``dim_restaurant``
+    is its current version), so existing SQL (e.g. SCD2 validation queries) runs as is."""
+    from tidewater.sinks import register_view
+    return [register_view(spark.read.parquet(p), name) for name, p in paths.items()]
+
+
 def row_counts(spark: SparkSession, paths: dict[str, str]) -> DataFrame:
     """UNION ALL of one-row counts over written tables (layer report)."""
     out = None
