@@ -42,7 +42,7 @@ def test_versioned_table_pointer(spark):
 
 def test_namespace_and_listing(spark):
     ensure_namespace(spark, "tw_test_silver")
-    assert list_tables(spark, "tw_test_silver").count() == 0
+    assert list_tables(spark, "tw_test_silver", include_temporary=False).count() == 0
     with pytest.raises(ValueError):
         ensure_namespace(spark, "bad; drop")
 
