@@ -73,7 +73,7 @@ def test_profile_nulls_and_distinct(spark):
 def test_north_cleanse_and_rules(spark):
     cols = ["Inspection_ID", "DBA_Name", "AKA_Name", "License", "Facility_Type", "Risk", "Address", "City",
             "State", "Zip", "Inspection_Date", "Inspection_Type", "Results", "Violations", "Latitude", "Longitude"]
-    base = ["1", ' "A" ', None, "7", " R ", "Risk 1", " 1 MAIN ", "chicago", "il", "6061.0", "01/05/2020",
+    base = ["1", ' "A" ', None, "7", " R ", "Risk 1", " 1 MAIN ", "springfield", "il", "6061.0", "01/05/2020",
             "Canvass", "Pass", "1. X - Comments: ok", "41.9", "-87.6"]
     urgent = base.copy()
     urgent[0], urgent[13] = "2", "1. X - Comments: URGENT fix"
@@ -83,7 +83,7 @@ def test_north_cleanse_and_rules(spark):
     ok = rows(spark.createDataFrame(
         Q.apply_rules(V.cleanse_north(df), V.north_rules()).select("Inspection_ID", "DBA_Name", "City", "Zip",
                                                                    "Inspection_Score").collect()))
-    assert ok == [("1", "A", "CHICAGO", "06061", 90), ("3", "A", "CHICAGO", "06061", 80)]
+    assert ok == [("1", "A", "SPRINGFIELD", "06061", 90), ("3", "A", "SPRINGFIELD", "06061", 80)]
 
 
 def test_overlay_and_overrides(spark):
