@@ -98,21 +98,22 @@ def overlay(df: DataFrame, key_col: str, keys: list, updates: dict[str, object])
 
 
 def overlay_by_frame(df: DataFrame, picks: DataFrame, key_cols: list[str], updates: dict[str, Column],
-                     max_keys: int = 1000) -> DataFrame:
-    """Conditional update driven by a small frame of picked keys (no driver collect).
+                     broadcast_picks: bool = False) -> DataFrame:
+    """Conditional update driven by a frame of picked keys (no driver collect, no cap).
 
     ``picks`` holds the key columns plus any columns the ``updates`` expressions read
-    (e.g. a pick number); it is cut to ``max_keys`` rows, which is what makes the
-    broadcast safe. Rows without a pick keep their values.
+    (e.g. a pick number) and must be unique on the keys. Set ``broadcast_picks`` only when
+    the caller has a proven bound on its size (e.g. it comes from a ``limit(n)`` pick);
+    otherwise the planner decides from the measured size. Rows without a pick keep their
+    values.
     """
     hit_cols = [c for c in picks.columns if c not in key_cols]
-    small = picks.limit(max_keys).select(*[F.col(k).alias(f"_p_{k}") for k in key_cols],
-                                         *hit_cols, F.lit(True).alias("_picked"))
+    small = picks.select(*[F.col(k).alias(f"_p_{k}") for k in key_cols], *hit_cols, F.lit(True).alias("_picked"))
     cond = None
     for k in key_cols:
         c = df[k].eqNullSafe(small[f"_p_{k}"])
         cond = c if cond is None else cond & c
-    j = df.join(F.broadcast(small), cond, "left")
+    j = df.join(F.broadcast(small) if broadcast_picks else small, cond, "left")
     hit = F.col("_picked").isNotNull()
     out = j.withColumns({c: F.when(hit, e).otherwise(F.col(c)) for c, e in updates.items()})
     return out.select(*df.columns)

@@ -720,7 +720,7 @@ def scd2_test_batch(stg: DataFrame) -> tuple[DataFrame, DataFrame]:
         {"facility_type": F.when(F.col("pick") == 1, F.lit("SCD2_TEST_BAKERY")).otherwise(F.col("facility_type")),
          "risk_category": F.when(F.col("pick") == 2, F.lit("Risk 3 (Low)")).otherwise(F.col("risk_category")),
          "aka_name": F.when(F.col("pick") == 2, F.lit("SCD2_TEST_AKA_NAME")).otherwise(F.col("aka_name"))},
-        max_keys=5)
+        broadcast_picks=True)   # at most 5 rows: the pick is limit(5)
     clone = C.with_overrides(picks.filter(F.col("pick") == 3).select(*S.STAGING_COLS),
                              {"restaurant_name": "SCD2_TEST_NEW_RESTAURANT", "license_number": "9999999"})
     touched = picks.filter(F.col("pick") <= 2).select("restaurant_name").unionByName(
@@ -749,8 +749,8 @@ def scd2_test_changes(spark, d):
     batch, touched = scd2_test_batch(m.stg2)
     dim3 = SCD.scd2_merge(m.dim2, batch, S.RESTAURANT_KEYS, S.TRACKED, SCD2_TEST_AS_OF, SCD2_TEST_TS,
                           "load-test", nullable=S.RESTAURANT_NULLABLE, validate=False)
-    # point lookup of the touched businesses (a 3-row key set: bounded broadcast)
-    return dim3.join(F.broadcast(touched.limit(3)), "restaurant_name", "left_semi").select(*DIM_OUT)
+    # point lookup of the touched businesses (at most 3 names, derived from the 5-row pick)
+    return dim3.join(F.broadcast(touched), "restaurant_name", "left_semi").select(*DIM_OUT)
 
 
 # =========================== reports =====================================================
