@@ -42,34 +42,33 @@ def _batch_writer(source: str, out_base: str, job_id: str) -> Callable[[DataFram
         rules = rules_fn()
         bronze = C.add_bronze_lineage(C.sanitize_columns(batch), source, job_id)
         flagged = Q.flag_rules(cleanse(bronze), rules)
-        # the batch is re-read by three sinks; cache it for the batch only
+        # the batch is re-read by three sinks; cache it for the batch only (a lost block
+        # is recomputed from the batch's files)
         flagged.persist()
         try:
             ok = Q.passed(flagged)
-            (C.drop_columns(ok, prefixes=["Violation"]).withColumn("_batch_id", _lit(batch_id))
-             .write.mode("append").parquet(f"{out_base}/{source}_inspections"))
-            viol_fn(ok).withColumn("_batch_id", _lit(batch_id)) \
-                .write.mode("append").parquet(f"{out_base}/{source}_violations")
-            Q.quarantined(flagged, rules).withColumn("_batch_id", _lit(batch_id)) \
-                .write.mode("append").parquet(f"{out_base}/{source}_quarantine")
+            # each batch owns its folder and overwrites it: a batch replayed after a
+            # failure replaces its own output instead of appending a second copy
+            part = f"batch_id={batch_id}"
+            C.drop_columns(ok, prefixes=["Violation"]).write.mode("overwrite") \
+                .parquet(f"{out_base}/{source}_inspections/{part}")
+            viol_fn(ok).write.mode("overwrite").parquet(f"{out_base}/{source}_violations/{part}")
+            Q.quarantined(flagged, rules).write.mode("overwrite") \
+                .parquet(f"{out_base}/{source}_quarantine/{part}")
         finally:
             flagged.unpersist()
 
     return write
 
 
-def _lit(v):
-    from pyspark.sql import functions as F
-    return F.lit(v).cast("long")
-
-
 def start_silver_stream(spark: SparkSession, source: str, raw_path: str, schema: StructType, out_base: str,
                         checkpoint: str | None = None, job_id: str = "stream",
                         available_now: bool = True, interval: str = "1 minute") -> StreamingQuery:
     """Start the incremental silver job for one source shape (``north`` or ``south``).
 
-    A batch that fails midway is re-run with the same ``batch_id`` after restart; the
-    ``_batch_id`` column lets readers de-duplicate a partially appended batch.
+    A batch that fails midway is re-run with the same ``batch_id`` after restart and
+    overwrites its own ``batch_id=N`` folders, so the output is exactly-once; reading an
+    output folder yields every batch with a ``batch_id`` column.
     """
     ckpt = checkpoint or scratch_path(spark, f"streams/silver_{source}")
     writer = (raw_stream(spark, raw_path, schema).writeStream
