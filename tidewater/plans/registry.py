@@ -139,7 +139,8 @@ DIM_OUT = ["restaurant_name", "aka_name", "license_number", "facility_type", "ri
 
 @query("scan_select", "SELECT o_orderkey, o_custkey, o_orderdate FROM orders WHERE o_orderstatus = 'F'")
 def scan_select(spark, d):
-    return S.table(spark, d, "orders").filter(F.col("o_orderstatus") == "F") \
+    # scan -> filter -> project: pruned columns and the pushed filter, nothing else
+    return spark.read.parquet(f"{d.rstrip('/')}/orders.parquet").filter(F.col("o_orderstatus") == "F") \
         .select("o_orderkey", "o_custkey", "o_orderdate")
 
 
