@@ -11,6 +11,7 @@ Conformance of the two silver shapes onto one inspection schema is config
 from __future__ import annotations
 
 import datetime as dt
+from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -58,14 +59,18 @@ def _viol(df: DataFrame) -> DataFrame:
 
 
 def bronze(spark: SparkSession, sf_dir: str, cfg: RunConfig) -> dict[str, str]:
-    """Raw sources -> sanitised names + lineage -> Parquet (full refresh)."""
-    out = {}
-    for name, raw in (("north", S.raw_north(spark, sf_dir)), ("south", S.raw_south(spark, sf_dir))):
+    """Raw sources -> sanitised names + lineage -> Parquet (full refresh); the two
+    sources' jobs run concurrently."""
+    def one(name, raw):
         df = C.add_bronze_lineage(C.sanitize_columns(raw), name, cfg.job_id, cfg.run_ts)
-        out[name] = write_table(df, f"{cfg.layer('bronze')}/{name}_inspections")
+        path = write_table(df, f"{cfg.layer('bronze')}/{name}_inspections")
         if cfg.snapshot:
             write_snapshot(df, f"{cfg.base_path}/snapshots", f"bronze_{name}", cfg.run_ts, cfg.run_id)
-    return out
+        return name, path
+
+    sources = [("north", S.raw_north(spark, sf_dir)), ("south", S.raw_south(spark, sf_dir))]
+    with ThreadPoolExecutor(max_workers=len(sources)) as pool:
+        return dict(pool.map(lambda a: one(*a), sources))
 
 
 def silver(spark: SparkSession, cfg: RunConfig) -> dict[str, str]:
@@ -77,12 +82,9 @@ def silver(spark: SparkSession, cfg: RunConfig) -> dict[str, str]:
     """
     b = cfg.layer("bronze")
     s = cfg.layer("silver")
-    out = {}
-    for name, cleanse, rules, viol_fn, keys in (
-            ("north", V.cleanse_north, V.north_rules(), V.north_violations,
-             ["Inspection_ID", "DBA_Name", "Inspection_Date"]),
-            ("south", V.cleanse_south, V.south_rules(), V.south_violations,
-             ["Inspection_ID", "Restaurant_Name", "Inspection_Date"])):
+
+    def one(name, cleanse, rules, viol_fn, keys) -> dict[str, str]:
+        out = {}
         flagged_path = f"{s}/{name}_flagged"
         write_table(Q.flag_rules(cleanse(spark.read.parquet(f"{b}/{name}_inspections")), rules), flagged_path)
         flagged = spark.read.parquet(flagged_path)
@@ -95,6 +97,18 @@ def silver(spark: SparkSession, cfg: RunConfig) -> dict[str, str]:
             f"{s}/{name}_violations")
         write_table(Q.quarantined(flagged, rules), f"{s}/{name}_quarantine")
         write_table(Q.audit_from_mask(flagged, rules), f"{s}/{name}_rules_audit")
+        return out
+
+    sources = [("north", V.cleanse_north, V.north_rules(), V.north_violations,
+                ["Inspection_ID", "DBA_Name", "Inspection_Date"]),
+               ("south", V.cleanse_south, V.south_rules(), V.south_violations,
+                ["Inspection_ID", "Restaurant_Name", "Inspection_Date"])]
+    # the sources are independent: submit their jobs concurrently so the scheduler can
+    # fill cores one source's small stages leave idle
+    out: dict[str, str] = {}
+    with ThreadPoolExecutor(max_workers=len(sources)) as pool:
+        for part in pool.map(lambda a: one(*a), sources):
+            out.update(part)
     return out
 
 
@@ -106,29 +120,41 @@ def gold(spark: SparkSession, cfg: RunConfig) -> dict[str, str]:
                             (spark.read.parquet(f"{s}/south_inspections"), SOUTH_MAP)], INSPECTION_SCHEMA)
     viol = _viol(spark.read.parquet(f"{s}/north_violations")).unionByName(
         _viol(spark.read.parquet(f"{s}/south_violations")))
-    out = {}
-    # calendar, location, type, violation dimensions (unique on their natural keys)
-    for name, df in (("dim_date", D.dim_date([(insp, "inspection_date")])),
-                     ("dim_location", D.dim_location(insp)),
-                     ("dim_inspection_type", D.dim_inspection_type(insp)),
-                     ("dim_violation", D.dim_violation(viol))):
-        out[name] = write_table(C.add_gold_lineage(df, cfg.job_id, cfg.run_ts), f"{g}/{name}")
-    # SCD2 restaurant dimension: new version from the previous one
-    staging = S.staging_restaurants(insp)
-    prev = read_current(spark, f"{g}/dim_restaurant")
-    nxt = SCD.scd2_merge(prev, staging, S.RESTAURANT_KEYS, S.TRACKED, cfg.as_of, cfg.run_ts, cfg.job_id,
-                         nullable=S.RESTAURANT_NULLABLE, validate=False)
-    v = write_version(spark, nxt, f"{g}/dim_restaurant")
-    out["dim_restaurant"] = f"{g}/dim_restaurant/v={v}"
-    dim_r = spark.read.parquet(out["dim_restaurant"])
-    # location/type/violation keys are pure functions of their natural keys (the dims
-    # above are built from the same silver rows), so the fact and bridge compute them in
-    # place instead of joining; only the SCD2 version key needs a lookup.
-    fact = ST.load_fact(insp, dim_r, lookup="hash", job_id=cfg.job_id, run_ts=cfg.run_ts, lineage=True)
-    out["fact_inspection"] = write_table(fact, f"{g}/fact_inspection")
-    bridge = ST.load_bridge(viol, spark.read.parquet(out["fact_inspection"]), lookup="hash",
-                            job_id=cfg.job_id, run_ts=cfg.run_ts, lineage=True)
-    out["bridge_inspection_violation"] = write_table(bridge, f"{g}/bridge_inspection_violation")
+
+    def write_dim(name: str, df: DataFrame) -> dict[str, str]:
+        return {name: write_table(C.add_gold_lineage(df, cfg.job_id, cfg.run_ts), f"{g}/{name}")}
+
+    def restaurant_fact_bridge() -> dict[str, str]:
+        # SCD2 restaurant dimension: new version from the previous one
+        out = {}
+        staging = S.staging_restaurants(insp)
+        prev = read_current(spark, f"{g}/dim_restaurant")
+        nxt = SCD.scd2_merge(prev, staging, S.RESTAURANT_KEYS, S.TRACKED, cfg.as_of, cfg.run_ts, cfg.job_id,
+                             nullable=S.RESTAURANT_NULLABLE, validate=False)
+        v = write_version(spark, nxt, f"{g}/dim_restaurant")
+        out["dim_restaurant"] = f"{g}/dim_restaurant/v={v}"
+        dim_r = spark.read.parquet(out["dim_restaurant"])
+        # location/type/violation keys are pure functions of their natural keys (the dims
+        # are built from the same silver rows), so the fact and bridge compute them in
+        # place instead of joining; only the SCD2 version key needs a lookup.
+        fact = ST.load_fact(insp, dim_r, lookup="hash", job_id=cfg.job_id, run_ts=cfg.run_ts, lineage=True)
+        out["fact_inspection"] = write_table(fact, f"{g}/fact_inspection")
+        bridge = ST.load_bridge(viol, spark.read.parquet(out["fact_inspection"]), lookup="hash",
+                                job_id=cfg.job_id, run_ts=cfg.run_ts, lineage=True)
+        out["bridge_inspection_violation"] = write_table(bridge, f"{g}/bridge_inspection_violation")
+        return out
+
+    # calendar, location, type and violation dimensions (unique on their natural keys) are
+    # independent of the restaurant -> fact -> bridge chain: their jobs run concurrently
+    tasks = [lambda: write_dim("dim_date", D.dim_date([(insp, "inspection_date")])),
+             lambda: write_dim("dim_location", D.dim_location(insp)),
+             lambda: write_dim("dim_inspection_type", D.dim_inspection_type(insp)),
+             lambda: write_dim("dim_violation", D.dim_violation(viol)),
+             restaurant_fact_bridge]
+    out: dict[str, str] = {}
+    with ThreadPoolExecutor(max_workers=len(tasks)) as pool:
+        for part in pool.map(lambda t: t(), tasks):
+            out.update(part)
     return out
 
 
