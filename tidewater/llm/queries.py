@@ -6,17 +6,47 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from tidewater.llm import chat_format as _chat
+from tidewater.llm import language_id as _lang
+from tidewater.llm import quality_classifier as _quality
+from tidewater.llm import quality_rules as _rules
 from tidewater.llm import token_counts as _tokens
+from tidewater.llm import url_filter as _urls
 from tidewater.llm.common import read
 
 
+def op1_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _quality.quality_scores(read(spark, sf_dir, "documents"), read(spark, sf_dir, "labels"))
+
+
+def op2_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _rules.quality_rules(read(spark, sf_dir, "documents"))
+
+
+def op4_chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
+    turns = read(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
+    said = "</s>[INST] ok [/INST]"
+    extra = spark.createDataFrame([(-1, 0, "user", said), (-1, 1, "assistant", said)],
+                                  "conv_id bigint, turn bigint, role string, text string")
+    return _chat.digests(_chat.format_conversations(turns.union(extra)))
+
+
+def op7_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _urls.judge(read(spark, sf_dir, "pages"), _urls.rules_frame(spark, _urls.RULES))
+
+
+def op8_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _lang.language_id(read(spark, sf_dir, "documents"))
+
+
 def op10_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _tokens.token_counts(read(spark, sf_dir, "documents"), limit=4096)
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op10_token_counts,)}
+    return {f.__name__: f for f in (op1_quality_classifier, op2_quality_rules, op4_chat_formatting, op7_url_filters, op8_language_id,
+                                    op10_token_counts)}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return {"op4_chat_formatting": _chat.oracle(), "op7_url_filters": _urls.oracle()}
