@@ -8,6 +8,8 @@ from pyspark.sql import DataFrame, SparkSession
 
 from tidewater.llm import chat_format as _chat
 from tidewater.llm import language_id as _lang
+from tidewater.llm import ngram_join as _join
+from tidewater.llm import packing as _packing
 from tidewater.llm import quality_classifier as _quality
 from tidewater.llm import quality_rules as _rules
 from tidewater.llm import token_counts as _tokens
@@ -23,6 +25,10 @@ def op2_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _rules.quality_rules(read(spark, sf_dir, "documents"))
 
 
+def op3_retrieval_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _packing.digests(_packing.pack(read(spark, sf_dir, "documents")))
+
+
 def op4_chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
     turns = read(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
     said = "</s>[INST] ok [/INST]"
@@ -31,6 +37,10 @@ def op4_chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _chat.digests(_chat.format_conversations(turns.union(extra)))
 
 
+def op6_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _join.jaccard_classes(read(spark, sf_dir, "documents"))
+
+
 def op7_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _urls.judge(read(spark, sf_dir, "pages"), _urls.rules_frame(spark, _urls.RULES))
 
@@ -44,8 +54,8 @@ def op10_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_quality_classifier, op2_quality_rules, op4_chat_formatting, op7_url_filters, op8_language_id,
-                                    op10_token_counts)}
+    return {f.__name__: f for f in (op1_quality_classifier, op2_quality_rules, op3_retrieval_packing, op4_chat_formatting, op6_ngram_jaccard_join,
+                                    op7_url_filters, op8_language_id, op10_token_counts)}
 
 
 def oracle_sql() -> dict[str, str]:
