@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from tidewater.llm import chat_format as _chat
+from tidewater.llm import decontaminate as _decontaminate
 from tidewater.llm import language_id as _lang
 from tidewater.llm import ngram_join as _join
 from tidewater.llm import packing as _packing
@@ -37,6 +38,10 @@ def op4_chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _chat.digests(_chat.format_conversations(turns.union(extra)))
 
 
+def op5_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _decontaminate.decontaminate(read(spark, sf_dir, "documents"), read(spark, sf_dir, "benchmark"))
+
+
 def op6_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _join.jaccard_classes(read(spark, sf_dir, "documents"))
 
@@ -54,9 +59,11 @@ def op10_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_quality_classifier, op2_quality_rules, op3_retrieval_packing, op4_chat_formatting, op6_ngram_jaccard_join,
-                                    op7_url_filters, op8_language_id, op10_token_counts)}
+    return {f.__name__: f for f in (
+        op1_quality_classifier, op2_quality_rules, op3_retrieval_packing, op4_chat_formatting, op5_decontamination,
+        op6_ngram_jaccard_join, op7_url_filters, op8_language_id, op10_token_counts)}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op4_chat_formatting": _chat.oracle(), "op7_url_filters": _urls.oracle()}
+    return {"op4_chat_formatting": _chat.oracle(), "op5_decontamination": _decontaminate.oracle(),
+            "op7_url_filters": _urls.oracle()}
