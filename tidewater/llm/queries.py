@@ -13,6 +13,7 @@ from tidewater.llm import ngram_join as _join
 from tidewater.llm import packing as _packing
 from tidewater.llm import quality_classifier as _quality
 from tidewater.llm import quality_rules as _rules
+from tidewater.llm import suffix_dedup as _suffix
 from tidewater.llm import token_counts as _tokens
 from tidewater.llm import url_filter as _urls
 from tidewater.llm.common import read
@@ -54,6 +55,10 @@ def op8_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _lang.language_id(read(spark, sf_dir, "documents"))
 
 
+def op9_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _suffix.suffix_dedup(read(spark, sf_dir, "documents"))
+
+
 def op10_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _tokens.token_counts(read(spark, sf_dir, "documents"), limit=4096)
 
@@ -61,7 +66,7 @@ def op10_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {f.__name__: f for f in (
         op1_quality_classifier, op2_quality_rules, op3_retrieval_packing, op4_chat_formatting, op5_decontamination,
-        op6_ngram_jaccard_join, op7_url_filters, op8_language_id, op10_token_counts)}
+        op6_ngram_jaccard_join, op7_url_filters, op8_language_id, op9_suffix_dedup, op10_token_counts)}
 
 
 def oracle_sql() -> dict[str, str]:
