@@ -40,6 +40,11 @@ def with_row_id(docs: DataFrame, name: str = "rid", scan: bool = True) -> DataFr
     return src.withColumn(name, F.monotonically_increasing_id())
 
 
+def packed(docs: DataFrame) -> DataFrame:
+    """(rid, doc): each row whole under a number, so that its columns clash with none of an operator's."""
+    return with_row_id(docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("doc")))
+
+
 def held_out_bucket(doc_id: Column, buckets: int) -> Column:
     """crc32 of the id as text, modulo ``buckets``; a NULL id counts as the empty text."""
     return F.crc32(F.coalesce(doc_id.cast("string"), F.lit("")).cast("binary")) % buckets

@@ -61,11 +61,11 @@ class Ensemble:
         return Ensemble(d["intercept"], [Rule([tuple(t) for t in r["terms"]], r["weight"]) for r in d["rules"]])
 
 
-def features(docs: DataFrame, text_col: str = "text", id_col: str = "doc_id") -> DataFrame:
-    """doc_id and FEATURES of each row; a share with nothing to divide by is 0, as for an empty text."""
-    stats = quality_rules.statistics(docs, text_col, id_col)
+def features(docs: DataFrame, text_col: str = "text", id_col: str = "doc_id", carry: tuple[str, ...] = ()) -> DataFrame:
+    """doc_id, ``carry`` and FEATURES of each row; a share with nothing to divide by is 0, as for an empty text."""
+    stats = quality_rules.statistics(docs, text_col, id_col, carry)
     named = quality_rules.ratios(stats) | {"log_words": F.log1p("n_words")}
-    return stats.select("doc_id", *[F.coalesce(named[f], F.lit(0.0)).cast("double").alias(f) for f in FEATURES])
+    return stats.select("doc_id", *carry, *[F.coalesce(named[f], F.lit(0.0)).cast("double").alias(f) for f in FEATURES])
 
 
 def tree_rules(node, terms: tuple = ()) -> list[Rule]:
@@ -125,6 +125,17 @@ def train(feats: DataFrame, labels: DataFrame, usable: Column, label_col: str =
     return fit(stored(sample(feats.where(usable).join(known, "doc_id"), sample_rows), "quality-sample"))
 
 
+def scored(docs: DataFrame, labels: DataFrame, threshold: float = 0.7, text_col: str = "text", id_col: str = "doc_id",
+           carry: tuple[str, ...] = ()) -> DataFrame:
+    """doc_id, ``carry``, held_out, score, predicted for each row of ``docs``."""
+    feats = stored(features(docs, text_col, id_col, carry), "quality-features")
+    held_out = held_out_bucket(F.col("doc_id"), 4) == 2
+    model = train(feats, labels, ~held_out)
+    score = F.least(F.lit(1.0), F.greatest(F.lit(0.0), model.score()))
+    return (feats.select("doc_id", *carry, held_out.alias("held_out"), score.alias("score"))
+            .withColumn("predicted", (F.col("score") >= threshold).cast("int")))
+
+
 def quality_scores(docs: DataFrame, labels: DataFrame, threshold: float = 0.7, text_col: str = "text",
                    id_col: str = "doc_id") -> DataFrame:
     """doc_id, held_out, score, predicted for each row of ``docs``.
@@ -133,9 +144,4 @@ def quality_scores(docs: DataFrame, labels: DataFrame, threshold: float = 0.7, t
     Every row is scored, empty and NULL texts too, from statistics of its whole text alone;
     repeated rows and NULL ids keep their rows, other columns are not read.
     """
-    feats = stored(features(docs, text_col, id_col), "quality-features")
-    held_out = held_out_bucket(F.col("doc_id"), 4) == 2
-    model = train(feats, labels, ~held_out)
-    score = F.least(F.lit(1.0), F.greatest(F.lit(0.0), model.score()))
-    return (feats.select("doc_id", held_out.alias("held_out"), score.alias("score"))
-            .withColumn("predicted", (F.col("score") >= threshold).cast("int")))
+    return scored(docs, labels, threshold, text_col, id_col)

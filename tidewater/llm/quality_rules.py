@@ -41,13 +41,13 @@ def words_of(text: Column) -> Column:
     return F.when(body == "", F.array().cast("array<string>")).otherwise(F.split(body, BLANKS))
 
 
-def statistics(docs: DataFrame, text_col: str = "text", id_col: str = "doc_id") -> DataFrame:
-    """doc_id and STATS (long) of each row; NULL text counts as empty. Other columns are not read."""
+def statistics(docs: DataFrame, text_col: str = "text", id_col: str = "doc_id", carry: tuple[str, ...] = ()) -> DataFrame:
+    """doc_id, the columns in ``carry`` and STATS (long) of each row; NULL text counts as empty."""
     text = F.coalesce(F.col(text_col), F.lit(""))
-    d = docs.select(F.col(id_col).alias("doc_id"), text.alias("t"))
-    d = d.select("doc_id", "t", words_of(F.col("t")).alias("w"),
+    d = docs.select(F.col(id_col).alias("doc_id"), *carry, text.alias("t"))
+    d = d.select("doc_id", *carry, "t", words_of(F.col("t")).alias("w"),
                  F.filter(F.split("t", "\n"), lambda x: x.rlike(r"[^\x20\x09-\x0D]")).alias("lines"))
-    d = d.select("doc_id", "t", "w", "lines", F.size("w").alias("n"))
+    d = d.select("doc_id", *carry, "t", "w", "lines", F.size("w").alias("n"))
     w = F.col("w")
     windows = F.when(F.col("n") >= 3, F.transform(
         F.sequence(F.lit(0), F.col("n") - 3), lambda i: F.xxhash64(F.get(w, i), F.get(w, i + 1), F.get(w, i + 2)))
@@ -65,7 +65,7 @@ def statistics(docs: DataFrame, text_col: str = "text", id_col: str = "doc_id")
     p = F.col("p")
     steps = F.transform(p, lambda i, k: F.least(F.lit(3), F.get(p, k + 1) - i))
     return d.select(
-        "doc_id", F.col("n").cast("bigint").alias("n_words"),
+        "doc_id", *carry, F.col("n").cast("bigint").alias("n_words"),
         F.char_length(F.array_join(w, "")).cast("bigint").alias("word_chars"),
         F.regexp_count("t", F.lit(SYMBOLS)).cast("bigint").alias("n_symbols"),
         (F.size("lines") - F.size(F.array_distinct("lines"))).cast("bigint").alias("n_dup_lines"),

@@ -167,7 +167,11 @@ def merged(starts: np.ndarray, stops: np.ndarray) -> tuple[np.ndarray, np.ndarra
 
 
 def cut(rows: DataFrame, length: int = 200, keep: bool = True) -> DataFrame:
-    """For ``rows`` (rid, text): rid, kept (the bytes left; NULL unless ``keep``), n_bytes, n_removed, n_spans, kept_sha256."""
+    """For ``rows`` (rid, text): rid, kept, n_bytes, n_removed, n_spans, kept_sha256.
+
+    ``kept``: with ``keep``, the text left where bytes went, without the rest of a character
+    that a span cut apart; NULL where nothing went.
+    """
     spans = stored(repeated(rows, length), "spans")
     gathered = spans.groupBy("rid").agg(F.collect_set(F.struct("start", "stop")).alias("spans"))
 
@@ -181,10 +185,11 @@ def cut(rows: DataFrame, length: int = 200, keep: bool = True) -> DataFrame:
                                        np.array([s["stop"] for s in found], dtype=np.int64))
                 edges = [0, *np.stack([starts, stops], 1).ravel().tolist(), len(data)]
                 kept = b"".join(data[x:y] for x, y in zip(edges[::2], edges[1::2]))
-                out.append((rid, kept if keep else None, len(data), len(data) - len(kept), len(starts), hashlib.sha256(kept).hexdigest()))
+                left = kept.decode("utf-8", "ignore") if keep and len(starts) else None
+                out.append((rid, left, len(data), len(data) - len(kept), len(starts), hashlib.sha256(kept).hexdigest()))
             yield pd.DataFrame(out, columns=["rid", "kept", "n_bytes", "n_removed", "n_spans", "kept_sha256"])
     return (rows.select("rid", "text").join(gathered, "rid", "left").select("rid", "text", "spans")
-            .mapInPandas(run, "rid bigint, kept binary, n_bytes bigint, n_removed bigint, n_spans bigint, kept_sha256 string"))
+            .mapInPandas(run, "rid bigint, kept string, n_bytes bigint, n_removed bigint, n_spans bigint, kept_sha256 string"))
 
 
 def suffix_dedup(docs: DataFrame, length: int = 200, text_col: str = "text", id_col: str = "doc_id") -> DataFrame:
