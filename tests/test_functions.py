@@ -100,10 +100,12 @@ def test_durability_key(spark):
         "af9a7db0a553d7d4123267b2347fc53b9fa9d0905813da0e7b382537a838670f"
 
 
-def test_hash_key_null_distinct_and_positive(spark):
+def test_hash_key_keeps_tuples_apart(spark):
     df = spark.createDataFrame([(None, "x"), ("NULL", "x"), ("", "x")], "a string, b string")
     keys = [r[0] for r in df.select(hash_key(["a", "b"])).collect()]
-    assert len(set(keys)) == 3 and all(0 <= k < 2 ** 60 for k in keys)
+    assert len(set(keys)) == 3 and all(len(k) == 32 for k in keys)
+    df = spark.createDataFrame([("a|=1:b", "c"), ("a", "b|=1:c")], "a string, b string")
+    assert df.select(hash_key(["a", "b"])).distinct().count() == 2
 
 
 def test_nonblank_count(spark):

@@ -7,9 +7,9 @@ import pytest
 
 from tidewater.config import RunConfig, attribute_map
 from tidewater.plans.pipeline import NORTH_MAP, SOUTH_MAP
-from tidewater.sinks import ensure_namespace, register_view, write_version
+from tidewater.sinks import ensure_namespace, register_view, write_table, write_version
 from tidewater.sources.csv import read_csv, string_schema
-from tidewater.sources.tables import current_version, list_tables, read_current
+from tidewater.sources.tables import current_version, list_tables, read_current, table_exists, version_path
 
 
 def _csv(text):
@@ -37,7 +37,7 @@ def test_versioned_table_pointer(spark):
     assert write_version(spark, df1.filter("k = 1"), base) == 2
     assert current_version(spark, base) == 2
     assert read_current(spark, base).count() == 1
-    assert spark.read.parquet(f"{base}/v=1").count() == 2      # old version untouched
+    assert spark.read.parquet(version_path(spark, base, 1)).count() == 2      # old version untouched
 
 
 def test_namespace_and_listing(spark):
@@ -74,16 +74,42 @@ def test_temp_view_sql_anti_join(spark):
 def test_scale_conf_sizes_partitions():
     from tidewater.session import JIT_HUGE_METHODS, scale_conf
     big = scale_conf(100 * 2**40, total_cores=8000)
-    assert big["spark.sql.shuffle.partitions"] == "100000"          # capped; AQE coalesces
+    assert big["spark.sql.shuffle.partitions"] == "409600"          # 256 MB each
     small = scale_conf(2**30, total_cores=64)
     assert small["spark.sql.shuffle.partitions"] == "128"           # at least two waves
     assert JIT_HUGE_METHODS in big["spark.executor.extraJavaOptions"]
 
 
-def test_ensure_parallelism_only_spreads_under_split_inputs(spark, tmp_path):
-    from tidewater.sources.tables import ensure_parallelism
-    one = spark.range(100).coalesce(1)
-    spread = ensure_parallelism(one, min_partitions=4, keys=["id"])
-    assert spread.rdd.getNumPartitions() == 4
-    many = spark.range(100).repartition(6)
-    assert ensure_parallelism(many, min_partitions=4) is many
+def test_unreadable_version_log_is_an_error(spark, tmp_path):
+    base = str(tmp_path / "t")
+    df = spark.range(10)
+    assert write_version(spark, df, base) == 1
+    bad = tmp_path / "t" / "_versions" / "part-bad.txt.gz"
+    bad.write_bytes(b"not gzip")
+    with pytest.raises(Exception):
+        write_version(spark, df.limit(1), base)
+    bad.unlink()
+    assert read_current(spark, base).count() == 10
+
+
+def test_crash_before_commit_leaves_the_old_version(spark, tmp_path):
+    base = str(tmp_path / "t")
+    write_version(spark, spark.range(10), base)
+    spark.range(3).write.parquet(f"{base}/v=2-half")     # a writer that died before its commit
+    assert read_current(spark, base).count() == 10
+    assert write_version(spark, spark.range(5), base) == 2
+    assert read_current(spark, base).count() == 5
+
+
+def test_full_refresh_replaces_every_partition(spark, tmp_path):
+    path = str(tmp_path / "t")
+    write_table(spark.range(10).selectExpr("id", "id % 3 AS p"), path, partition_by=["p"])
+    write_table(spark.range(4).selectExpr("id", "0 AS p"), path, partition_by=["p"])
+    assert spark.read.parquet(path).count() == 4
+
+
+def test_table_exists_with_provider(spark):
+    spark.range(1).write.mode("overwrite").saveAsTable("exists_probe")
+    assert table_exists(spark, "exists_probe") and table_exists(spark, "exists_probe", "parquet")
+    assert not table_exists(spark, "exists_probe", "csv") and not table_exists(spark, "no_such_table")
+    spark.sql("DROP TABLE exists_probe")

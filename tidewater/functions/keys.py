@@ -1,4 +1,4 @@
-"""Deterministic keys: lineage hashes and 60-bit surrogate keys.
+"""Deterministic keys: lineage hashes and 128-bit surrogate keys.
 
 Keys are pure functions of business columns, so they are identical on every run, for any
 partitioning, on any number of executors — unlike ``monotonically_increasing_id``.
@@ -25,19 +25,13 @@ def durability_key(cols: list[ColumnOrName]) -> Column:
 
 
 def key_text(cols: list[ColumnOrName]) -> Column:
-    """Unambiguous text encoding of a tuple: NULL -> '~', value v -> '=v', joined by '|'."""
-    parts = [F.when(_c(c).isNull(), F.lit("~")).otherwise(F.concat(F.lit("="), _c(c).cast("string")))
-             for c in cols]
-    return F.concat_ws(KEY_SEP, *parts)
+    """Unambiguous text encoding of a tuple: NULL -> '~', value v -> '=length:v', joined by '|'."""
+    def part(c):
+        v = _c(c).cast("string")
+        return F.when(v.isNull(), F.lit("~")).otherwise(F.concat(F.lit("="), F.char_length(v), F.lit(":"), v))
+    return F.concat_ws(KEY_SEP, *[part(c) for c in cols])
 
 
 def hash_key(cols: list[ColumnOrName]) -> Column:
-    """Non-negative 60-bit BIGINT from the first 15 hex digits of md5(key_text)."""
-    return F.conv(F.substring(F.md5(key_text(cols)), 1, 15), 16, 10).cast("bigint")
-
-
-def hash_key_sql(exprs: list[str]) -> str:
-    """The same key as ANSI/DuckDB SQL text (used by oracles and SQL callers)."""
-    parts = " || '|' || ".join(
-        f"(CASE WHEN ({e}) IS NULL THEN '~' ELSE '=' || CAST(({e}) AS VARCHAR) END)" for e in exprs)
-    return f"CAST(('0x' || substr(md5({parts}), 1, 15)) AS BIGINT)"
+    """md5 of key_text as 32 hex digits: all 128 bits, so that keys of 10^12 rows stay apart."""
+    return F.md5(key_text(cols))

@@ -15,9 +15,8 @@ from tidewater.functions.keys import durability_key
 
 
 def sanitize_name(name: str) -> str:
-    """Trim, map every char outside [A-Za-z0-9_] to '_', strip '_' at the ends, collapse runs."""
-    new = re.sub(r"[^a-zA-Z0-9_]", "_", name.strip()).strip("_")
-    return re.sub(r"_+", "_", new)
+    """The runs of ASCII letters and digits in ``name``, joined by '_'."""
+    return "_".join(re.findall("[A-Za-z0-9]+", name))
 
 
 def sanitize_columns(df: DataFrame, on_collision: str = "raise") -> DataFrame:

@@ -58,17 +58,13 @@ def profile_distinct(df: DataFrame, cols: list[str] | None = None, approx: bool
         one = df.agg(*[F.approx_count_distinct(c, rsd).alias(f"distinct_count__{i}")
                        for i, c in enumerate(names)])
         return _long(one, names, {"distinct_count": "long"})
+    # -0.0 is 0.0 to SQL but not to text
+    plain = {f.name: F.col(f"`{f.name}`") + 0.0 if f.dataType.typeName() in ("double", "float") else F.col(f"`{f.name}`")
+             for f in df.schema.fields}
     pairs = df.select(F.inline(F.array(*[
-        F.struct(F.lit(i).alias("_i"), F.col(c).cast(StringType()).alias("_v"))
-        for i, c in enumerate(names)])))
-    per_col = (pairs.filter(F.col("_v").isNotNull())
-               .distinct()                            # distinct pairs (partial agg first)
-               .groupBy("_i").agg(F.count(F.lit(1)).alias("distinct_count")))
-    name_map = df.sparkSession.createDataFrame([(i, n) for i, n in enumerate(names)],
-                                               "_i int, column_name string")
-    # name_map has exactly len(names) rows: a bounded broadcast
-    return (F.broadcast(name_map).join(per_col, "_i", "left")
-            .select("column_name", F.coalesce("distinct_count", F.lit(0)).cast("long").alias("distinct_count")))
+        F.struct(F.lit(c).alias("column_name"), plain[c].cast(StringType()).alias("_v")) for c in names])))
+    # distinct pairs first (combined map-side); a column without values keeps its NULL pair and counts 0
+    return pairs.distinct().groupBy("column_name").agg(F.count("_v").alias("distinct_count"))
 
 
 def profile_stats(df: DataFrame, col: str, high: float = 100) -> DataFrame:

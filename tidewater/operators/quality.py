@@ -54,53 +54,43 @@ def apply_rules(df: DataFrame, rules: list[Rule]) -> DataFrame:
     return df.filter(reduce(lambda a, b: a & b, [r.keep for r in rules]))
 
 
-RULE_MASK = "_rule_mask"
+FAILED = "_failed"
 
 
-def rule_mask(rules: list[Rule]) -> Column:
-    """INT bitmask of the rules a row does not satisfy (bit i = rule i; 0 = all pass)."""
-    if len(rules) > 30:
-        raise ValueError("at most 30 rules per mask")
-    bits = [F.when(~F.coalesce(r.keep, F.lit(False)), F.lit(1 << i)).otherwise(F.lit(0)) for i, r in enumerate(rules)]
-    return reduce(lambda a, b: a + b, bits) if bits else F.lit(0)
+def failed_rules(rules: list[Rule]) -> Column:
+    """array<int>: 1-based numbers of the rules a row does not satisfy, in order; empty if all pass."""
+    if not rules:
+        return F.array().cast("array<int>")
+    return F.filter(F.array(*[F.when(~F.coalesce(r.keep, F.lit(False)), F.lit(i)) for i, r in enumerate(rules, 1)]),
+                    lambda x: x.isNotNull())
 
 
 def flag_rules(df: DataFrame, rules: list[Rule]) -> DataFrame:
-    """All rows, plus ``_rule_mask``: every rule is evaluated exactly once per row, so
+    """All rows, plus ``_failed``: every rule is evaluated exactly once per row, so
     valid rows, quarantine and audit can all be derived from one written table."""
-    return df.withColumn(RULE_MASK, rule_mask(rules))
-
-
-def first_failed(mask: Column, n: int) -> Column:
-    """1-based index of the lowest set bit (the first rule a row fails), 0 if none."""
-    expr = F.lit(0)
-    for i in range(n, 0, -1):
-        expr = F.when((mask.bitwiseAND(F.lit(1 << (i - 1)))) != 0, F.lit(i)).otherwise(expr)
-    return expr
+    return df.withColumn(FAILED, failed_rules(rules))
 
 
 def passed(flagged: DataFrame) -> DataFrame:
-    return flagged.filter(F.col(RULE_MASK) == 0).drop(RULE_MASK)
+    return flagged.filter(F.size(FAILED) == 0).drop(FAILED)
 
 
 def quarantined(flagged: DataFrame, rules: list[Rule]) -> DataFrame:
     """Rejected rows with the names of every rule they fail."""
-    names = F.array(*[F.when(F.col(RULE_MASK).bitwiseAND(F.lit(1 << i)) != 0, F.lit(r.name))
-                      for i, r in enumerate(rules)])
-    return (flagged.filter(F.col(RULE_MASK) != 0)
-            .withColumn("_failed_rules", F.filter(names, lambda x: x.isNotNull())).drop(RULE_MASK))
+    names = F.array(*[F.lit(r.name) for r in rules]) if rules else F.array().cast("array<string>")
+    return (flagged.filter(F.size(FAILED) > 0)
+            .withColumn("_failed_rules", F.transform(FAILED, lambda i: F.element_at(names, i))).drop(FAILED))
 
 
-def audit_from_mask(flagged: DataFrame, rules: list[Rule]) -> DataFrame:
+def audit_from_flags(flagged: DataFrame, rules: list[Rule]) -> DataFrame:
     """Per rule, in order: rows dropped by it (first failing rule), rows failing it at all,
-    rows before and after — one aggregate over the mask column only."""
-    m = F.col(RULE_MASK)
-    first = first_failed(m, len(rules))
-    aggs = [F.count(F.lit(1)).alias("rows_before"), F.count_if(m == 0).alias("rows_after")]
+    rows before and after — one aggregate over the flag column only."""
+    failed = F.col(FAILED)
+    aggs = [F.count(F.lit(1)).alias("rows_before"), F.count_if(F.size(failed) == 0).alias("rows_after")]
     for i in range(len(rules)):
-        aggs.append(F.count_if(first == i + 1).alias(f"d{i}"))
-        aggs.append(F.count_if(m.bitwiseAND(F.lit(1 << i)) != 0).alias(f"a{i}"))
-    totals = flagged.select(RULE_MASK).agg(*aggs)
+        aggs.append(F.count_if(F.get(failed, F.lit(0)) == i + 1).alias(f"d{i}"))
+        aggs.append(F.count_if(F.array_contains(failed, i + 1)).alias(f"a{i}"))
+    totals = flagged.select(FAILED).agg(*aggs)
     rows = F.array(*[
         F.struct(F.lit(i + 1).alias("rule_order"), F.lit(r.name).alias("rule_name"),
                  F.col(f"d{i}").alias("dropped"), F.col(f"a{i}").alias("failed"))
@@ -113,7 +103,7 @@ def rules_audit(df: DataFrame, rules: list[Rule]) -> DataFrame:
 
     One scan, one aggregate: columns rule_order, rule_name, dropped, failed, rows_before, rows_after.
     """
-    return audit_from_mask(flag_rules(df, rules), rules)
+    return audit_from_flags(flag_rules(df, rules), rules)
 
 
 def dq_annotate(df: DataFrame, checks: list[Check]) -> DataFrame:

@@ -43,14 +43,13 @@ def results_by_group(fact: DataFrame, group: str = "source_city") -> DataFrame:
 def by_year(fact: DataFrame, dim_date: DataFrame | None = None) -> DataFrame:
     """D3: inspections per year and source.
 
-    With ``dim_date`` the year comes from the calendar dimension; it has one row per day
-    of the covered span (a bound set by the calendar, not the data volume), so it is
-    broadcast. The fact is aggregated per date_key first, then joined.
+    With ``dim_date`` the year comes from the calendar dimension. The fact is aggregated per
+    date_key first, then joined; Spark broadcasts the calendar if it measures it small.
     """
     if dim_date is None:
         return fact.groupBy(_year(fact).alias("year"), "source_city").agg(_n().alias("inspections"))
     per_day = fact.groupBy("date_key", "source_city").agg(_n().alias("_n"))
-    cal = F.broadcast(dim_date.select("date_key", "year"))
+    cal = dim_date.select("date_key", "year")
     return (per_day.join(cal, "date_key").groupBy("year", "source_city")
             .agg(F.sum("_n").alias("inspections")))
 
@@ -60,7 +59,7 @@ def risk_share(fact: DataFrame, dim_restaurant: DataFrame) -> DataFrame:
     per_key = fact.groupBy("restaurant_key").agg(_n().alias("_n"))
     dim = dim_restaurant.select("restaurant_key", "risk_category")
     counts = per_key.join(dim, "restaurant_key", "left").groupBy("risk_category").agg(F.sum("_n").alias("inspections"))
-    total = fact.agg(_n()).scalar()
+    total = counts.agg(F.sum("inspections")).scalar()  # of the few aggregated rows, not of the fact again
     return counts.withColumn("share_pct", F.col("inspections").cast("double") * 100 / total)
 
 
@@ -138,7 +137,7 @@ def denormalized(fact: DataFrame, dim_restaurant: DataFrame, dim_location: DataF
     r = dim_restaurant.select("restaurant_key", "restaurant_name", "facility_type", "risk_category")
     loc = dim_location.select("location_key", "address", "city", "state", "zip", "latitude", "longitude")
     t = dim_type.select("inspection_type_key", "inspection_type_name")
-    d = F.broadcast(dim_date.select("date_key", "full_date", "year", "month"))
+    d = dim_date.select("date_key", "full_date", "year", "month")
     return (fact.join(r, "restaurant_key", "left").join(loc, "location_key", "left")
             .join(t, "inspection_type_key", "left").join(d, "date_key", "left")
             .select("inspection_id", "source_city", "restaurant_name", "facility_type", "risk_category",

@@ -41,7 +41,7 @@ def initial_load(staging: DataFrame, keys: list[str], tracked: list[str], as_of:
     return staging.select(
         *staging.columns,
         hash_key([*business_key(keys, list(nullable)), *[F.col(t) for t in tracked],
-                  F.lit(as_of).cast("date"), F.lit(job_id)]).alias(key_col),
+                  F.lit(as_of).cast("date"), F.lit(job_id), F.lit(None).cast("string")]).alias(key_col),
         F.lit(as_of).cast("date").alias("effective_start_date"),
         end_of_time().alias("effective_end_date"),
         F.lit(True).alias("is_current"),
@@ -103,8 +103,10 @@ def scd2_merge(dim: DataFrame | None, staging: DataFrame, keys: list[str], track
         return F.struct(*fields)
 
     def new_version() -> Column:
+        # the key of the version it replaces is part of a version's key, so a value that comes
+        # back on the same day under the same job gets a key of its own
         new_key = hash_key([*business_key(keys, nullable, "s_"), *[F.col("s_" + t) for t in tracked],
-                            F.lit(as_of).cast("date"), F.lit(job_id)])
+                            F.lit(as_of).cast("date"), F.lit(job_id), F.col("t_" + key_col)])
         special = {
             key_col: new_key,
             "effective_start_date": F.lit(as_of).cast("date"),

@@ -90,13 +90,11 @@ def load_bridge(violations: DataFrame, fact: DataFrame, dim_violation: DataFrame
     Inspection match: (inspection_id, source_city), inner. Violation match: code,
     description, source_city — null-safe, so a missing code does not collapse entries.
     """
-    # distinct keys: exact copies of an inspection (same id) stay whole in the fact but
-    # must not multiply its violations; the aggregate is combined map-side and the join
-    # reuses its hash partitioning, so this costs no extra shuffle
-    fk = fact.select(F.col("inspection_id").alias("_f_id"), F.col("source_city").alias("_f_city"),
-                     "inspection_key").distinct()
-    b = violations.join(fk, (violations["inspection_id"] == fk["_f_id"])
-                        & (violations["source_city"] == fk["_f_city"]), "inner")
+    # the key follows from the violation's own columns, so one semi join on it keeps the
+    # violations of loaded inspections and can never multiply them
+    b = (violations.where(F.col("inspection_id").isNotNull() & F.col("source_city").isNotNull())
+         .withColumn("inspection_key", inspection_key())
+         .join(fact.select("inspection_key"), "inspection_key", "left_semi"))
     if lookup == "hash":
         b = b.withColumn("violation_key",
                          hash_key(["source_city", "violation_code", "violation_description"]))

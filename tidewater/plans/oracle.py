@@ -7,10 +7,17 @@ driver's views (region nation customer supplier part orders lineitem ...).
 
 from __future__ import annotations
 
-from tidewater.functions.keys import hash_key_sql as HK
 from tidewater.plans import standin as S
 
 
+def HK(exprs: list[str]) -> str:  # noqa: N802
+    """A surrogate key: md5 of the values, each '=length:value' or '~' for NULL, with '|' between."""
+    parts = " || '|' || ".join(
+        f"(CASE WHEN ({e}) IS NULL THEN '~' ELSE '=' || length(CAST(({e}) AS VARCHAR)) || ':' || CAST(({e}) AS VARCHAR) END)"
+        for e in exprs)
+    return f"md5({parts})"
+
+
 def _d(day) -> str:
     return f"DATE '{day.isoformat()}'"
 
@@ -27,7 +34,7 @@ def _nb(c: str) -> str:
 
 SILVER = f"""
 north_insp AS (
-  SELECT o.o_orderkey AS inspection_id, c.c_name AS restaurant_name, CAST(NULL AS VARCHAR) AS aka_name,
+  SELECT CAST(o.o_orderkey AS VARCHAR) AS inspection_id, c.c_name AS restaurant_name, CAST(NULL AS VARCHAR) AS aka_name,
          CAST(c.c_custkey AS VARCHAR) AS license_number, c.c_mktsegment AS facility_type,
          'Risk ' || substr(o.o_orderpriority, 1, 1) AS risk_category,
          n.n_name || ' AVE' AS address, n.n_name AS city, 'N' AS state, '606' || {_nk('c.c_nationkey')} AS zip,
@@ -55,7 +62,7 @@ south_insp AS (
   FROM south_grp g JOIN supplier s ON g.l_suppkey = s.s_suppkey JOIN nation n ON s.s_nationkey = n.n_nationkey),
 insp AS (SELECT * FROM north_insp UNION ALL SELECT * FROM south_insp),
 viol_all AS (
-  SELECT l.l_orderkey AS inspection_id, substr(p.p_brand, 7) AS violation_code, p.p_type AS violation_description,
+  SELECT CAST(l.l_orderkey AS VARCHAR) AS inspection_id, substr(p.p_brand, 7) AS violation_code, p.p_type AS violation_description,
          l.l_returnflag || l.l_linestatus AS violation_comments, CAST(NULL AS INTEGER) AS violation_points,
          'north' AS source_city
   FROM lineitem l JOIN part p ON l.l_partkey = p.p_partkey
@@ -70,19 +77,19 @@ viol AS (
         FROM viol_all) WHERE rn = 1)"""
 
 
-def staging_sql(name: str, where: str = "TRUE") -> str:
+def staging_sql(name: str, where: str = "TRUE", insp: str = "insp") -> str:
     return f"""
 {name} AS (
   SELECT restaurant_name, aka_name, license_number, facility_type, risk_category, source_city
   FROM (SELECT *, row_number() OVER (PARTITION BY restaurant_name, source_city, license_number
                                      ORDER BY inspection_date DESC, inspection_id DESC) AS rn
-        FROM insp WHERE {where}) WHERE rn = 1)"""
+        FROM (SELECT * REPLACE (nullif(license_number, '') AS license_number) FROM {insp} WHERE {where})) WHERE rn = 1)"""
 
 
-def _version_key(prefix: str, as_of, job: str) -> str:
+def _version_key(prefix: str, as_of, job: str, before: str) -> str:
     p = prefix
     return HK([f"{p}restaurant_name", f"{p}source_city", f"coalesce({p}license_number, '')",
-               f"{p}facility_type", f"{p}risk_category", f"{p}aka_name", _d(as_of), f"'{job}'"])
+               f"{p}facility_type", f"{p}risk_category", f"{p}aka_name", _d(as_of), f"'{job}'", before])
 
 
 STG_COLS = "restaurant_name, aka_name, license_number, facility_type, risk_category, source_city"
@@ -92,7 +99,7 @@ DIM_COLS = STG_COLS + ", restaurant_key, effective_start_date, effective_end_dat
 def initial_sql(name: str, stg: str, as_of, job: str) -> str:
     return f"""
 {name} AS (
-  SELECT {STG_COLS}, {_version_key('', as_of, job)} AS restaurant_key, {_d(as_of)} AS effective_start_date,
+  SELECT {STG_COLS}, {_version_key('', as_of, job, 'CAST(NULL AS VARCHAR)')} AS restaurant_key, {_d(as_of)} AS effective_start_date,
          DATE '9999-12-31' AS effective_end_date, TRUE AS is_current, '{job}' AS etl_job_id
   FROM {stg})"""
 
@@ -118,7 +125,7 @@ def merge_sql(name: str, dim: str, stg: str, as_of, job: str) -> str:
   UNION ALL
   SELECT {old} FROM {name}_c WHERE t_p
   UNION ALL
-  SELECT {new}, {_version_key('s_', as_of, job)}, {_d(as_of)}, DATE '9999-12-31', TRUE, '{job}'
+  SELECT {new}, {_version_key('s_', as_of, job, 't_restaurant_key')}, {_d(as_of)}, DATE '9999-12-31', TRUE, '{job}'
   FROM {name}_c WHERE s_p AND (NOT t_p OR chg))"""
 
 
@@ -229,7 +236,7 @@ NORTH_RULES = [
 SLOTS = [1, 2, 3, 4]
 SLOT_FIELDS = ["Description", "Points", "Detail", "Memo"]
 RAW_SOUTH_COLS = (["Order Key", "Line Number", "Restaurant Name", "Inspection Type", "Inspection Date",
-                   "Inspection Score", "Zip Code", "Lat Long Location"]
+                   "Inspection Score", "Street Address", "Zip Code", "Lat Long Location"]
                   + [f"Violation {f} - {i}" for i in SLOTS for f in SLOT_FIELDS])
 
 RAW_SOUTH = f"""
@@ -240,6 +247,7 @@ raw_south AS (
          strftime(l.l_shipdate, '%m/%d/%Y') AS "Inspection Date",
          CASE WHEN l.l_discount = 0 THEN 'N/A' ELSE CAST(CAST(l.l_quantity AS INTEGER) * 2 - 4 AS VARCHAR) END
            AS "Inspection Score",
+         CASE WHEN l.l_linenumber < 7 THEN ' ' || n.n_name || ' ST ' END AS "Street Address",
          '75' || {_nk('s.s_nationkey', 3)} || CASE WHEN l.l_linestatus = 'O' THEN '-3007' ELSE '' END AS "Zip Code",
          n.n_name || ' ST (32.' || {_nk('s.s_nationkey')} || ', -96.' || {_nk('s.s_nationkey')} || ')'
            AS "Lat Long Location",
@@ -260,11 +268,11 @@ raw_south AS (
 
 
 def _san(c: str) -> str:
-    import re
-    return re.sub(r"_+", "_", re.sub(r"[^a-zA-Z0-9_]", "_", c.strip()).strip("_"))
+    return c.replace(" - ", "_").replace(" ", "_")
 
 
-_slot_cols = ", ".join(f'"{c}" AS {_san(c)}' for c in RAW_SOUTH_COLS[8:])
+_slot_cols = ", ".join(f'"{c}" AS {_san(c)}' for c in RAW_SOUTH_COLS[9:])
+_all_raw = ", ".join(f'"{c}"' for c in RAW_SOUTH_COLS)
 _desc_cols = [f"Violation_Description_{i}" for i in SLOTS]
 _vcount = " + ".join(f"CASE WHEN {_nb(c)} THEN 1 ELSE 0 END" for c in _desc_cols)
 
@@ -273,18 +281,18 @@ south_clean AS (
   SELECT *, CASE WHEN Inspection_Score >= 90 THEN 'Pass' WHEN Inspection_Score >= 80 THEN 'Pass w/ Conditions'
                  WHEN Inspection_Score IS NOT NULL THEN 'Fail' END AS Results,
          {_vcount} AS violation_count
-  FROM (SELECT {HK([f'"{c}"' for c in RAW_SOUTH_COLS])} AS Inspection_ID,
+  FROM (SELECT {HK([f'"{c}"' for c in RAW_SOUTH_COLS] + ['copy'])} AS Inspection_ID,
                "Order Key" AS Order_Key, "Line Number" AS Line_Number,
                trim("Restaurant Name") AS Restaurant_Name, trim("Inspection Type") AS Inspection_Type,
                coalesce(CAST(try_strptime("Inspection Date", '%m/%d/%Y') AS DATE),
                         try_cast("Inspection Date" AS DATE)) AS Inspection_Date,
                try_cast("Inspection Score" AS INTEGER) AS Inspection_Score,
                nullif(regexp_extract(regexp_replace("Zip Code", '\.0$', ''), '^(\d{{5}})', 1), '') AS Zip_Code,
-               "Lat Long Location" AS Lat_Long_Location,
+               "Lat Long Location" AS Lat_Long_Location, trim("Street Address") AS Street_Address,
                try_cast(regexp_extract("Lat Long Location", '\(([^,]+),', 1) AS DOUBLE) AS Latitude,
                try_cast(regexp_extract("Lat Long Location", ',\s*([^)]+)\)', 1) AS DOUBLE) AS Longitude,
                'SOUTH' AS City, 'SS' AS State, 'south' AS source_city, {_slot_cols}
-        FROM raw_south))"""
+        FROM (SELECT *, row_number() OVER (PARTITION BY {_all_raw}) AS copy FROM raw_south)))"""
 
 SOUTH_RULES = [
     ("name_not_blank", _nb("Restaurant_Name")),
@@ -373,3 +381,11 @@ NORTH_RAW_SANITIZED = ["Inspection_ID", "DBA_Name", "AKA_Name", "License", "Faci
 NORTH_RAW_NAMES = ["Inspection ID", "DBA Name", "AKA Name", "License #", "Facility Type", "Risk", "Address",
                    "City", "State", "Zip", "Inspection Date", "Inspection Type", "Results", "Violations",
                    "Latitude", "Longitude"]
+
+# column checks of the two sources: (name, column), by what a failure means
+NORTH_ERRORS = [("id_not_null", "Inspection_ID"), ("name_not_null", "DBA_Name"), ("date_not_null", "Inspection_Date"),
+                ("results_not_null", "Results")]
+NORTH_WARNINGS = [("type_not_null", "Inspection_Type"), ("zip_not_null", "Zip"), ("city_not_null", "City"),
+                  ("license_not_null", "License")]
+SOUTH_ERRORS = [("name_not_null", "Restaurant_Name"), ("date_not_null", "Inspection_Date"), ("type_not_null", "Inspection_Type")]
+SOUTH_WARNINGS = [("zip_not_null", "Zip_Code"), ("score_not_null", "Inspection_Score"), ("address_not_null", "Street_Address")]

@@ -15,7 +15,7 @@ from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import DateType, DoubleType, IntegerType, LongType, StringType
+from pyspark.sql.types import DateType, DoubleType, IntegerType, StringType
 
 from tidewater.config import RunConfig, SourceMapping
 from tidewater.operators import columns as C
@@ -26,10 +26,10 @@ from tidewater.operators import star as ST
 from tidewater.plans import silver as V
 from tidewater.plans import standin as S
 from tidewater.sinks import write_snapshot, write_table, write_version
-from tidewater.sources.tables import read_current
+from tidewater.sources.tables import read_current, version_path
 
 INSPECTION_SCHEMA = [
-    ("inspection_id", LongType()), ("restaurant_name", StringType()), ("aka_name", StringType()),
+    ("inspection_id", StringType()), ("restaurant_name", StringType()), ("aka_name", StringType()),
     ("license_number", StringType()), ("facility_type", StringType()), ("risk_category", StringType()),
     ("address", StringType()), ("city", StringType()), ("state", StringType()), ("zip", StringType()),
     ("latitude", DoubleType()), ("longitude", DoubleType()), ("inspection_date", DateType()),
@@ -45,7 +45,7 @@ NORTH_MAP = SourceMapping("north", {
 
 SOUTH_MAP = SourceMapping("south", {
     "inspection_id": "Inspection_ID", "restaurant_name": "Restaurant_Name", "aka_name": None,
-    "license_number": None, "facility_type": None, "risk_category": None, "address": None,
+    "license_number": None, "facility_type": None, "risk_category": None, "address": "Street_Address",
     "city": "City", "state": "State", "zip": "Zip_Code", "latitude": "Latitude", "longitude": "Longitude",
     "inspection_date": "Inspection_Date", "inspection_type": "Inspection_Type",
     "inspection_result": "Results", "inspection_score": "Inspection_Score", "source_city": "source_city"})
@@ -55,7 +55,7 @@ VIOLATION_COLS = ["inspection_id", "violation_code", "violation_description", "v
 
 
 def _viol(df: DataFrame) -> DataFrame:
-    return df.select(F.col("Inspection_ID").cast("bigint").alias("inspection_id"), *VIOLATION_COLS[1:])
+    return df.select(F.col("Inspection_ID").cast("string").alias("inspection_id"), *VIOLATION_COLS[1:])
 
 
 def bronze(spark: SparkSession, sf_dir: str, cfg: RunConfig) -> dict[str, str]:
@@ -77,8 +77,8 @@ def silver(spark: SparkSession, cfg: RunConfig) -> dict[str, str]:
     """Bronze -> cleanse -> rules -> inspections, violations, quarantine and rule audit.
 
     The expensive per-row work (cleansing + every rule) runs ONCE: cleansed rows are
-    written with a rule-failure bitmask, and the four outputs are column-pruned re-reads
-    of that table (the mask filter is pushed into the Parquet scan).
+    written with the rules each fails, and the four outputs are column-pruned re-reads
+    of that table (only passing rows go on).
     """
     b = cfg.layer("bronze")
     s = cfg.layer("silver")
@@ -96,7 +96,7 @@ def silver(spark: SparkSession, cfg: RunConfig) -> dict[str, str]:
             C.add_silver_lineage(viol_fn(ok), ["Inspection_ID", "violation_code"], cfg.run_ts),
             f"{s}/{name}_violations")
         write_table(Q.quarantined(flagged, rules), f"{s}/{name}_quarantine")
-        write_table(Q.audit_from_mask(flagged, rules), f"{s}/{name}_rules_audit")
+        write_table(Q.audit_from_flags(flagged, rules), f"{s}/{name}_rules_audit")
         return out
 
     sources = [("north", V.cleanse_north, V.north_rules(), V.north_violations,
@@ -127,12 +127,12 @@ def gold(spark: SparkSession, cfg: RunConfig) -> dict[str, str]:
     def restaurant_fact_bridge() -> dict[str, str]:
         # SCD2 restaurant dimension: new version from the previous one
         out = {}
-        staging = S.staging_restaurants(insp)
+        staging = spark.read.parquet(write_table(S.staging_restaurants(insp), f"{g}/staging_restaurant"))
         prev = read_current(spark, f"{g}/dim_restaurant")
         nxt = SCD.scd2_merge(prev, staging, S.RESTAURANT_KEYS, S.TRACKED, cfg.as_of, cfg.run_ts, cfg.job_id,
-                             nullable=S.RESTAURANT_NULLABLE, validate=False)
+                             nullable=S.RESTAURANT_NULLABLE, validate=True)
         v = write_version(spark, nxt, f"{g}/dim_restaurant")
-        out["dim_restaurant"] = f"{g}/dim_restaurant/v={v}"
+        out["dim_restaurant"] = version_path(spark, f"{g}/dim_restaurant", v)
         dim_r = spark.read.parquet(out["dim_restaurant"])
         # location/type/violation keys are pure functions of their natural keys (the dims
         # are built from the same silver rows), so the fact and bridge compute them in

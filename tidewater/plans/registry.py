@@ -7,7 +7,7 @@ tables. Column names are aliased identically on both sides.
 from __future__ import annotations
 
 from collections.abc import Callable
-from functools import cached_property
+from functools import cached_property, reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -28,6 +28,7 @@ from tidewater.operators.reshape import split_explode
 from tidewater.plans import oracle as O
 from tidewater.plans import silver as V
 from tidewater.plans import standin as S
+from tidewater.session import stored
 
 Builder = Callable[[SparkSession, str], DataFrame]
 REGISTRY: dict[str, tuple[Builder, str | None]] = {}
@@ -48,7 +49,8 @@ class Model:
 
     @cached_property
     def insp(self):
-        return S.silver_inspections(self.spark, self.d)
+        # both batches, every dimension and the fact read it: computed once, from one scan of the sources
+        return stored(S.silver_inspections(self.spark, self.d), "inspections")
 
     @cached_property
     def viol(self):
@@ -65,12 +67,12 @@ class Model:
     @cached_property
     def dim1(self):
         return SCD.scd2_merge(None, self.stg1, S.RESTAURANT_KEYS, S.TRACKED, S.SCD2_AS_OF_1, S.SCD2_RUN_TS_1,
-                              S.SCD2_JOB_1, nullable=S.RESTAURANT_NULLABLE, validate=False)
+                              S.SCD2_JOB_1, nullable=S.RESTAURANT_NULLABLE, validate=False)  # staging is one row a key
 
     @cached_property
     def dim2(self):
-        return SCD.scd2_merge(self.dim1, self.stg2, S.RESTAURANT_KEYS, S.TRACKED, S.SCD2_AS_OF_2, S.SCD2_RUN_TS_2,
-                              S.SCD2_JOB_2, nullable=S.RESTAURANT_NULLABLE, validate=False)
+        return stored(SCD.scd2_merge(self.dim1, self.stg2, S.RESTAURANT_KEYS, S.TRACKED, S.SCD2_AS_OF_2, S.SCD2_RUN_TS_2,
+                                     S.SCD2_JOB_2, nullable=S.RESTAURANT_NULLABLE, validate=False), "dim-restaurant")
 
     @cached_property
     def loc(self):
@@ -158,6 +160,7 @@ _COUNTS = [("fact_inspection", "fact"), ("bridge_inspection_violation", "bridge"
     f"SELECT '{n}' AS table_name, count(*) AS row_count FROM {t}" for n, t in _COUNTS))
 def table_counts(spark, d):
     m = Model(spark, d)
+    m.fact, m.viol = stored(m.fact, "fact"), stored(m.viol, "violations")
     out = None
     for n, attr in _COUNTS:
         one = getattr(m, attr).agg(F.count(F.lit(1)).alias("row_count")).select(
@@ -365,38 +368,37 @@ def rule_null_logic(spark, d):
         F.count(F.lit(1)).alias("rows_in"), F.count_if(F.coalesce(keep, F.lit(False))).alias("rows_kept"))
 
 
-def _dq_case(checks, level):
-    parts = [f"CASE WHEN {c.column} IS NULL THEN '{c.name}' END" for c in checks if c.criticality == level]
+def _dq_case(checks):
+    parts = [f"CASE WHEN {column} IS NULL THEN '{name}' END" for name, column in checks]
     return f"array_to_string(list_filter([{', '.join(parts)}], lambda x: x IS NOT NULL), ',')"
 
 
-_NC = V.north_checks()
-_SC = V.south_checks()
+def _any_null(checks):
+    return " OR ".join(f"{column} IS NULL" for _, column in checks)
 
 
-@query("dq_valid", O.RAW + "SELECT Inspection_ID, DBA_Name, Inspection_Date, Results FROM north_clean WHERE "
-       + " AND ".join(f"{c.column} IS NOT NULL" for c in _NC if c.criticality == "error"))
+@query("dq_valid", O.RAW + "SELECT Inspection_ID, DBA_Name, Inspection_Date, Results FROM north_clean "
+       f"WHERE NOT ({_any_null(O.NORTH_ERRORS)})")
 def dq_valid(spark, d):
-    valid, _ = Q.dq_split(Model(spark, d).north_clean, _NC)
+    valid, _ = Q.dq_split(Model(spark, d).north_clean, V.north_checks())
     return valid.select("Inspection_ID", "DBA_Name", "Inspection_Date", "Results")
 
 
 @query("dq_quarantine", O.RAW + f"""SELECT Restaurant_Name, Inspection_Date, Inspection_Score,
-  {_dq_case(_SC, 'error')} AS errors, {_dq_case(_SC, 'warn')} AS warnings FROM south_clean WHERE """
-       + " OR ".join(f"{c.column} IS NULL" for c in _SC))
+  {_dq_case(O.SOUTH_ERRORS)} AS errors, {_dq_case(O.SOUTH_WARNINGS)} AS warnings FROM south_clean
+  WHERE {_any_null(O.SOUTH_ERRORS + O.SOUTH_WARNINGS)}""")
 def dq_quarantine(spark, d):
-    _, quarantine = Q.dq_split(Model(spark, d).south_clean, _SC)
+    _, quarantine = Q.dq_split(Model(spark, d).south_clean, V.south_checks())
     return quarantine.select("Restaurant_Name", "Inspection_Date", "Inspection_Score",
                              F.array_join("_errors", ",").alias("errors"),
                              F.array_join("_warnings", ",").alias("warnings"))
 
 
-@query("dq_summary", O.RAW + "SELECT count(*) AS total, count_if(NOT ("
-       + " OR ".join(f"{c.column} IS NULL" for c in _NC if c.criticality == "error") + ")) AS valid, count_if("
-       + " OR ".join(f"{c.column} IS NULL" for c in _NC) + ") AS quarantined, "
-       + ", ".join(f"count_if({c.column} IS NULL) AS failed_{c.name}" for c in _NC) + " FROM north_clean")
+@query("dq_summary", O.RAW + f"""SELECT count(*) AS total, count_if(NOT ({_any_null(O.NORTH_ERRORS)})) AS valid,
+  count_if({_any_null(O.NORTH_ERRORS + O.NORTH_WARNINGS)}) AS quarantined, """
+       + ", ".join(f"count_if({c} IS NULL) AS failed_{n}" for n, c in O.NORTH_ERRORS + O.NORTH_WARNINGS) + " FROM north_clean")
 def dq_summary(spark, d):
-    return Q.dq_summary(Model(spark, d).north_clean, _NC)
+    return Q.dq_summary(Model(spark, d).north_clean, V.north_checks())
 
 
 @query("violation_flags", O.RAW + """SELECT
@@ -583,7 +585,8 @@ def bridge_load_joined(spark, d):
   (SELECT count(*) FROM bridge) AS bridge_rows, (SELECT count(*) FROM viol) AS violation_rows""")
 def fact_integrity(spark, d):
     m = Model(spark, d)
-    f = m.fact
+    f = m.fact = stored(m.fact, "fact")
+    m.viol = stored(m.viol, "violations")
     one = f.agg(F.count(F.lit(1)).alias("fact_rows"), F.count_if(F.col("restaurant_key").isNull())
                 .alias("orphan_restaurant"))
     return one.select(
@@ -701,6 +704,72 @@ def scd2_as_of(spark, d):
     return SCD.as_of(Model(spark, d).dim2, dt.date(2000, 6, 30)).select(*DIM_OUT)
 
 
+@query("copies_keep_violations", O.RAW.replace("raw_south AS (", "raw_once AS (", 1).replace("south_clean AS (", """
+raw_south AS (SELECT * FROM raw_once UNION ALL SELECT * FROM raw_once WHERE "Violation Description - 2" = 'Flag R'),
+south_clean AS (""", 1)[:-1] + O.south_long_sql() + """ SELECT violation_description_raw, count(*) AS violations,
+  count(DISTINCT Inspection_ID) AS inspections FROM south_long GROUP BY violation_description_raw""")
+def copies_keep_violations(spark, d):
+    """Exact copies of a raw row are inspections of their own and keep all their violations."""
+    from tidewater.operators.reshape import unpivot_slots
+    raw = Model(spark, d).raw_south
+    raw = raw.unionByName(raw.filter(F.col("Violation_Description_2") == "Flag R"))
+    ok = Q.apply_rules(V.cleanse_south(raw), V.south_rules())
+    long = unpivot_slots(ok, "Violation", {"Description": "violation_description_raw"}, main_field="Description",
+                         keep=["Inspection_ID"], casts={}, slot_name="violation_num")
+    return long.groupBy("violation_description_raw").agg(F.count("*").alias("violations"),
+                                                         F.count_distinct("Inspection_ID").alias("inspections"))
+
+
+_ABA = O.merge_sql("dim3", "dim2", "stg_b", S.SCD2_AS_OF_2, S.SCD2_JOB_2) + "," \
+    + O.merge_sql("dim4", "dim3", "stg2", S.SCD2_AS_OF_2, S.SCD2_JOB_2)
+
+
+@query("scd2_same_day_aba", O.ALL + """, stg_b AS (SELECT * REPLACE ('B' AS facility_type) FROM stg2
+  WHERE source_city = 'north'),""" + _ABA + """
+SELECT source_city, is_current, facility_type = 'B' AS is_b, count(*) AS versions,
+  count(DISTINCT restaurant_key) AS version_keys FROM dim4 GROUP BY 1, 2, 3""")
+def scd2_same_day_aba(spark, d):
+    """A value that changes and comes back on one day under one job: three versions, three keys."""
+    m = Model(spark, d)
+    stg_b = m.stg2.filter(F.col("source_city") == S.NORTH).withColumn("facility_type", F.lit("B"))
+    args = (S.RESTAURANT_KEYS, S.TRACKED, S.SCD2_AS_OF_2, S.SCD2_RUN_TS_2, S.SCD2_JOB_2)
+    dim3 = SCD.scd2_merge(m.dim2, stg_b, *args, nullable=S.RESTAURANT_NULLABLE)
+    dim4 = SCD.scd2_merge(dim3, m.stg2, *args, nullable=S.RESTAURANT_NULLABLE)
+    return dim4.groupBy("source_city", "is_current", (F.col("facility_type") == "B").alias("is_b")).agg(
+        F.count("*").alias("versions"), F.count_distinct("restaurant_key").alias("version_keys"))
+
+
+@query("fact_blank_licence", "WITH " + O.SILVER + """, south_mixed AS (SELECT * REPLACE (
+  CASE WHEN inspection_type = 'Routine' THEN '' ELSE license_number END AS license_number) FROM insp
+  WHERE source_city = 'south')
+SELECT count(*) AS fact_rows, count(DISTINCT inspection_id) AS inspections,
+  count(DISTINCT restaurant_name) AS restaurant_keys FROM south_mixed""")
+def fact_blank_licence(spark, d):
+    """Rows of one business with NULL and with blank licence: one dimension row, no fan-out of the fact."""
+    m = Model(spark, d)
+    insp = m.insp.filter(F.col("source_city") == S.SOUTH).withColumn(
+        "license_number", F.when(F.col("inspection_type") == "Routine", F.lit("")).otherwise(F.col("license_number")))
+    dim = SCD.scd2_merge(None, S.staging_restaurants(insp), S.RESTAURANT_KEYS, S.TRACKED, S.SCD2_AS_OF_1, S.SCD2_RUN_TS_1,
+                         S.SCD2_JOB_1, nullable=S.RESTAURANT_NULLABLE)
+    return ST.load_fact(insp, dim, lookup="hash").agg(
+        F.count("*").alias("fact_rows"), F.count_distinct("inspection_id").alias("inspections"),
+        F.count_distinct("restaurant_key").alias("restaurant_keys"))
+
+
+_KEYS = [("dim_restaurant", "dim2", "restaurant_key"), ("dim_location", "loc", "location_key"),
+         ("dim_inspection_type", "typ", "inspection_type_key"), ("dim_violation", "dimv", "violation_key"),
+         ("fact_inspection", "fact", "inspection_key")]
+
+
+@query("key_uniqueness", O.ALL + " UNION ALL ".join(
+    f"SELECT '{n}' AS table_name, count(*) AS row_count, count(*) AS key_count FROM {t}" for n, t, _ in _KEYS))
+def key_uniqueness(spark, d):
+    m = Model(spark, d)
+    out = [getattr(m, t).agg(F.count("*").alias("row_count"), F.count_distinct(k).alias("key_count"))
+           .select(F.lit(n).alias("table_name"), "row_count", "key_count") for n, t, k in _KEYS]
+    return reduce(DataFrame.unionByName, out)
+
+
 # ---- the manual SCD2 test as a query: pick candidates, change them, merge, look up ----
 
 SCD2_TEST_AS_OF = __import__("datetime").date(2001, 12, 15)

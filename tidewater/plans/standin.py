@@ -27,7 +27,6 @@ from pyspark.sql import functions as F
 from tidewater.functions.keys import hash_key
 from tidewater.functions.scoring import result_from_score, score_from_result
 from tidewater.operators.dedupe import dedupe, latest_per_key
-from tidewater.sources.tables import read_parquet
 
 NORTH = "north"
 SOUTH = "south"
@@ -46,18 +45,8 @@ TRACKED = ["facility_type", "risk_category", "aka_name"]
 STAGING_COLS = ["restaurant_name", "aka_name", "license_number", "facility_type", "risk_category", "source_city"]
 
 
-# tables small enough that spreading them buys nothing (dimension-sized lookups)
-_SMALL = {"region", "nation", "supplier"}
-# when an under-split table must be spread anyway, spread it by the key its heaviest
-# consumer groups on (lineitem: the per (order, supplier) inspection aggregate)
-_SPREAD_KEYS = {"lineitem": ["l_orderkey"]}
-
-
 def table(spark: SparkSession, d: str, name: str) -> DataFrame:
-    path = f"{d.rstrip('/')}/{name}.parquet"
-    if name in _SMALL:
-        return spark.read.parquet(path)
-    return read_parquet(spark, path, keys=_SPREAD_KEYS.get(name))
+    return spark.read.parquet(f"{d.rstrip('/')}/{name}.parquet")
 
 
 def _nk(c: str) -> F.Column:
@@ -74,7 +63,7 @@ def north_inspections(spark: SparkSession, d: str) -> DataFrame:
               .otherwise(F.lit("Fail")))
     nk = F.col("c_nationkey").cast("double")
     return j.select(
-        F.col("o_orderkey").alias("inspection_id"),
+        F.col("o_orderkey").cast("string").alias("inspection_id"),
         F.col("c_name").alias("restaurant_name"),
         F.lit(None).cast("string").alias("aka_name"),
         F.col("c_custkey").cast("string").alias("license_number"),
@@ -134,7 +123,7 @@ def silver_violations(spark: SparkSession, d: str) -> DataFrame:
     p = table(spark, d, "part").select("p_partkey", "p_brand", "p_type", "p_size")
     j = li.join(p, li["l_partkey"] == p["p_partkey"])
     code = F.expr("substr(p_brand, 7)")
-    north = F.struct(F.col("l_orderkey").alias("inspection_id"), code.alias("violation_code"),
+    north = F.struct(F.col("l_orderkey").cast("string").alias("inspection_id"), code.alias("violation_code"),
                      F.col("p_type").alias("violation_description"),
                      F.concat("l_returnflag", "l_linestatus").alias("violation_comments"),
                      F.lit(None).cast("int").alias("violation_points"), F.lit(NORTH).alias("source_city"))
@@ -147,8 +136,13 @@ def silver_violations(spark: SparkSession, d: str) -> DataFrame:
 
 
 def staging_restaurants(insp: DataFrame) -> DataFrame:
-    """Latest attributes per business (latest inspection date, then highest inspection id)."""
-    latest = latest_per_key(insp.select(*STAGING_COLS, "inspection_date", "inspection_id"),
+    """Latest attributes per business (latest inspection date, then highest inspection id).
+
+    A blank licence is no licence: rows with NULL and with '' are the same business, as they
+    are to the dimension's business key, so staging has each key once.
+    """
+    named = insp.withColumn("license_number", F.when(F.col("license_number") != "", F.col("license_number")))
+    latest = latest_per_key(named.select(*STAGING_COLS, "inspection_date", "inspection_id"),
                             RESTAURANT_KEYS, ["inspection_date", "inspection_id"])
     return latest.select(*STAGING_COLS)
 
@@ -204,6 +198,7 @@ def raw_south(spark: SparkSession, d: str) -> DataFrame:
         F.date_format("l_shipdate", "MM/dd/yyyy").alias("Inspection Date"),
         F.when(F.col("l_discount") == 0, F.lit("N/A")).otherwise((q * 2 - 4).cast("string"))
          .alias("Inspection Score"),
+        F.when(F.col("l_linenumber") < 7, F.concat(F.lit(" "), F.col("n_name"), F.lit(" ST "))).alias("Street Address"),
         F.concat(F.lit("75"), F.lpad(F.col("s_nationkey").cast("string"), 3, "0"),
                  F.when(ls == "O", F.lit("-3007")).otherwise(F.lit(""))).alias("Zip Code"),
         F.concat(F.col("n_name"), F.lit(" ST (32."), _nk("s_nationkey"), F.lit(", -96."),

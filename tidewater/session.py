@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import os
 import tempfile
+import uuid
 
 from pyspark.sql import SparkSession
 
@@ -63,11 +64,13 @@ def get_spark(master: str | None = None, shuffle_partitions: int | None = None,
 def checkpoint_dir(spark: SparkSession) -> str:
     """The shared checkpoint folder named by ``spark.checkpoint.dir``.
 
-    On a cluster this must be set by the launcher to shared storage. Only when it is
-    unset (local tests) do we pick a private scratch folder.
+    On a cluster the launcher must set it to shared storage; only a local master gets a
+    private scratch folder when it is unset.
     """
     path = spark.conf.get("spark.checkpoint.dir", None)
     if not path:
+        if not spark.sparkContext.master.startswith("local["):
+            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
         path = tempfile.mkdtemp(prefix="tidewater-ckpt-")
         spark.conf.set("spark.checkpoint.dir", path)
     if spark.sparkContext.getCheckpointDir() is None:
@@ -81,6 +84,14 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return f"{base}/{name}"
 
 
+def stored(df, name: str):
+    """Write ``df`` to a fresh folder of the shared checkpoint dir and read it back: computed once
+    however often it is used, from files that any executor can read again."""
+    path = scratch_path(df.sparkSession, f"{name}-{uuid.uuid4().hex}")
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 def is_local_path(path: str) -> bool:
     return "://" not in path or path.startswith("file:")
 
@@ -90,8 +101,7 @@ def ensure_local_dir(path: str) -> None:
         os.makedirs(path.replace("file:", ""), exist_ok=True)
 
 
-def scale_conf(input_bytes: int, total_cores: int, partition_bytes: int = 256 << 20,
-               max_shuffle_partitions: int = 100_000) -> dict[str, str]:
+def scale_conf(input_bytes: int, total_cores: int, partition_bytes: int = 256 << 20) -> dict[str, str]:
     """Suggested settings for a job reading ``input_bytes`` on ``total_cores`` cores.
 
     Shuffle partitions are sized so each starts near ``partition_bytes`` (AQE coalesces
@@ -102,7 +112,7 @@ def scale_conf(input_bytes: int, total_cores: int, partition_bytes: int = 256 <<
     parts = max(2 * total_cores, math.ceil(input_bytes / partition_bytes))
     mb = f"{partition_bytes >> 20}m"
     return {
-        "spark.sql.shuffle.partitions": str(min(parts, max_shuffle_partitions)),
+        "spark.sql.shuffle.partitions": str(parts),
         "spark.sql.files.maxPartitionBytes": mb,
         "spark.sql.adaptive.advisoryPartitionSizeInBytes": mb,
         "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "4",

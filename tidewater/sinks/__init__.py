@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import datetime as dt
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -28,8 +29,11 @@ def ensure_namespace(spark: SparkSession, name: str, use: bool = False) -> str:
 
 def write_table(df: DataFrame, path: str, mode: str = "overwrite", partition_by: list[str] | None = None,
                 fmt: str = "parquet") -> str:
-    """Full refresh (or append) of a Parquet table at ``path``."""
-    w = df.write.mode(mode).format(fmt)
+    """Full refresh (or append) of a Parquet table at ``path``.
+
+    A refresh replaces every partition, whatever the session's overwrite mode is.
+    """
+    w = df.write.mode(mode).format(fmt).option("partitionOverwriteMode", "static")
     if partition_by:
         w = w.partitionBy(*partition_by)
     w.save(path)
@@ -37,7 +41,7 @@ def write_table(df: DataFrame, path: str, mode: str = "overwrite", partition_by:
 
 
 def save_as_table(df: DataFrame, name: str, mode: str = "overwrite", fmt: str = "parquet") -> str:
-    df.write.mode(mode).format(fmt).option("overwriteSchema", True).saveAsTable(name)
+    df.write.mode(mode).format(fmt).saveAsTable(name)
     return name
 
 
@@ -56,20 +60,23 @@ def write_snapshot(df: DataFrame, base: str, table: str, run_ts: dt.datetime, ru
 def write_version(spark: SparkSession, df: DataFrame, base: str) -> int:
     """Write ``df`` as the next version of a versioned table, then commit it.
 
-    The data goes to a new ``v=<n>`` folder (readers of older versions are never
+    The data goes to a new ``v=<n>-<random>`` folder (readers of older versions are never
     disturbed); the commit appends ``n`` to the table's version log. A crash before the
     commit leaves the previous version current; a half-written folder is never read.
     """
     base = base.rstrip("/")
     v = (current_version(spark, base) or 0) + 1
-    df.write.mode("overwrite").parquet(f"{base}/v={v}")
+    # a folder is written once and by one writer: what a crash left under this number is
+    # never mixed with new files, nor is a version that another writer commits meanwhile
+    folder = f"v={v}-{uuid.uuid4().hex[:12]}"
+    df.write.mode("errorifexists").parquet(f"{base}/{folder}")
     # one JVM-generated row (no Python-side data): the commit record
-    spark.range(1).select(F.lit(str(v)).alias("value")) \
+    spark.range(1).select(F.lit(f"{v}\t{folder}").alias("value")) \
         .write.mode("append").text(f"{base}/{POINTER}")
     return v
 
 
-def write_csv_extract(df: DataFrame, path: str, single_file: bool = True) -> str:
+def write_csv_extract(df: DataFrame, path: str, single_file: bool = False) -> str:
     """CSV with header for BI tools. ``single_file`` funnels through one task: use it only for
     small, bounded report outputs (aggregates, top-k), never for row-level tables."""
     out = df.coalesce(1) if single_file else df
