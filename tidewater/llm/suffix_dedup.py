@@ -133,7 +133,8 @@ def repeated(rows: DataFrame, length: int = 200) -> DataFrame:
     span = lambda n: (F.col("lo") + n + length).alias("stop")
 
     run = stored(runs(rows.select("rid", "text"), length), "runs")
-    twice = run.groupBy("gram").agg(F.count("*").alias("c")).where("c > 1").select("gram")
+    # stored, as a join of two plain shuffles is one that Spark can split where a gram is hot
+    twice = stored(run.groupBy("gram").agg(F.count("*").alias("c")).where("c > 1").select("gram"), "grams")
     run = stored(run.join(twice, "gram", "left_semi"), "runs-repeated")
     kinds = stored(run.groupBy("gram", "hull").agg(F.count("*").alias("c"), F.min(F.struct("rid", "lo", "n", "off")).alias("f")), "hulls")
     settled = kinds.where("c > 1").select("gram", "hull")
@@ -152,7 +153,7 @@ def repeated(rows: DataFrame, length: int = 200) -> DataFrame:
     edge = kinds.join(open_cores, ["step", "core"], "left_semi").select("step", "f.*")
 
     window = stored(windows(rows.select("rid", "text"), edge, length), "windows")
-    twice = window.groupBy("step", "rank").agg(F.count("*").alias("c")).where("c > 1").select("step", "rank")
+    twice = stored(window.groupBy("step", "rank").agg(F.count("*").alias("c")).where("c > 1").select("step", "rank"), "ranks")
     single = window.join(twice, ["step", "rank"], "left_semi").select("rid", F.col("lo").alias("start"), span(F.lit(0)))
     return whole.union(whole_steps).union(single)
 
