@@ -2,6 +2,7 @@
 
 from pyspark.sql import functions as F
 
+from tidewater.operators.cleanse import cleanse
 from tidewater.operators import profile as P
 from tidewater.operators import quality as Q
 from tidewater.operators.dedupe import dedupe, latest_per_key, latest_per_key_window
@@ -81,7 +82,7 @@ def test_north_cleanse_and_rules(spark):
     cond[0], cond[12], cond[13] = "3", "Pass w/ Conditions", "1. X - Comments: critical"
     df = spark.createDataFrame([base, urgent, cond], ", ".join(f"{c} string" for c in cols))
     ok = rows(spark.createDataFrame(
-        Q.apply_rules(V.cleanse_north(df), V.north_rules()).select("Inspection_ID", "DBA_Name", "City", "Zip",
+        Q.apply_rules(cleanse(df, V.NORTH), V.north_rules()).select("Inspection_ID", "DBA_Name", "City", "Zip",
                                                                    "Inspection_Score").collect()))
     assert ok == [("1", "A", "SPRINGFIELD", "06061", 90), ("3", "A", "SPRINGFIELD", "06061", 80)]
 

@@ -3,6 +3,7 @@
 import os
 import tempfile
 
+from tidewater.operators.cleanse import cleanse
 from tidewater.operators import columns as C
 from tidewater.operators import quality as Q
 from tidewater.plans import silver as V
@@ -30,7 +31,7 @@ def test_stream_matches_batch_and_restarts(spark):
     q.awaitTermination(300)
     got = spark.read.parquet(f"{out}/north_inspections").drop("batch_id", "data_source_name",
                                                                  "ingest_timestamp", "etl_job_id")
-    batch = Q.apply_rules(V.cleanse_north(C.sanitize_columns(raw)), V.north_rules()).drop("Violations")
+    batch = Q.apply_rules(cleanse(C.sanitize_columns(raw), V.NORTH), V.north_rules()).drop("Violations")
     assert 0 < n1 < got.count()
     assert got.count() == batch.count()
     assert got.select(*batch.columns).exceptAll(batch).count() == 0

@@ -15,9 +15,10 @@ from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import DateType, DoubleType, IntegerType, StringType
+from pyspark.sql.types import DateType, DoubleType, IntegerType, StringType, StructType
 
 from tidewater.config import RunConfig, SourceMapping
+from tidewater.operators import cleanse as CL
 from tidewater.operators import columns as C
 from tidewater.operators import dims as D
 from tidewater.operators import quality as Q
@@ -26,6 +27,7 @@ from tidewater.operators import star as ST
 from tidewater.plans import silver as V
 from tidewater.plans import standin as S
 from tidewater.sinks import write_snapshot, write_table, write_version
+from tidewater.sources.csv import read_csv
 from tidewater.sources.tables import read_current, version_path
 
 INSPECTION_SCHEMA = [
@@ -58,6 +60,13 @@ def _viol(df: DataFrame) -> DataFrame:
     return df.select(F.col("Inspection_ID").cast("string").alias("inspection_id"), *VIOLATION_COLS[1:])
 
 
+def ingest(spark: SparkSession, path: str | list[str], schema: StructType | None, source: str, cfg: RunConfig,
+           multiline: bool = True) -> str:
+    """CSV files of one source -> sanitised names + lineage -> bronze table; its path."""
+    raw = C.sanitize_columns(read_csv(spark, path, schema=schema, multiline=multiline))
+    return write_table(C.add_bronze_lineage(raw, source, cfg.job_id, cfg.run_ts), f"{cfg.layer('bronze')}/{source}_inspections")
+
+
 def bronze(spark: SparkSession, sf_dir: str, cfg: RunConfig) -> dict[str, str]:
     """Raw sources -> sanitised names + lineage -> Parquet (full refresh); the two
     sources' jobs run concurrently."""
@@ -99,9 +108,9 @@ def silver(spark: SparkSession, cfg: RunConfig) -> dict[str, str]:
         write_table(Q.audit_from_flags(flagged, rules), f"{s}/{name}_rules_audit")
         return out
 
-    sources = [("north", V.cleanse_north, V.north_rules(), V.north_violations,
+    sources = [("north", lambda b: CL.cleanse(b, V.NORTH), V.north_rules(), lambda ok: CL.violations_long(ok, V.NORTH),
                 ["Inspection_ID", "DBA_Name", "Inspection_Date"]),
-               ("south", V.cleanse_south, V.south_rules(), V.south_violations,
+               ("south", V.south_clean, V.south_rules(), lambda ok: CL.violations_long(ok, V.SOUTH),
                 ["Inspection_ID", "Restaurant_Name", "Inspection_Date"])]
     # the sources are independent: submit their jobs concurrently so the scheduler can
     # fill cores one source's small stages leave idle

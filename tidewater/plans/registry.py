@@ -17,6 +17,7 @@ from tidewater.config import SourceMapping
 from tidewater.functions import (clean_name, delimited_parts, durability_key, latitude_from,
                                  longitude_from, parse_date, result_from_score, safe_cast, score_from_result,
                                  trim_spaces, upper_trim, zip_first5, zip_pad)
+from tidewater.operators import cleanse as CL
 from tidewater.operators import columns as C
 from tidewater.operators import dims as D
 from tidewater.operators import profile as P
@@ -118,11 +119,11 @@ class Model:
 
     @cached_property
     def north_clean(self):
-        return V.cleanse_north(self.raw_north)
+        return CL.cleanse(self.raw_north, V.NORTH)
 
     @cached_property
     def south_clean(self):
-        return V.cleanse_south(self.raw_south)
+        return V.south_clean(self.raw_south)
 
     @cached_property
     def north_ok(self):
@@ -204,6 +205,44 @@ def csv_roundtrip(spark, d):
     return read_csv(spark, path, schema=string_schema(raw.columns), multiline=True)
 
 
+@query("csv_ingest", "WITH " + O.RAW_NORTH +
+       f" SELECT {_SAN_CSV}, 'north' AS data_source_name, 'csv-job' AS etl_job_id FROM raw_north")
+def csv_ingest(spark, d):
+    """CSV files -> explicit string schema -> sanitised names -> lineage -> bronze table, read back."""
+    import datetime as dt
+
+    from tidewater.config import RunConfig
+    from tidewater.plans.pipeline import ingest
+    from tidewater.sinks import write_csv_extract
+    from tidewater.sources.csv import string_schema
+    raw = S.raw_north(spark, d)
+    path = write_csv_extract(raw, _fresh(spark, "csv"))
+    cfg = RunConfig(_fresh(spark, "bronze"), job_id="csv-job", as_of=dt.date(2001, 12, 1), run_ts=_RT_TS)
+    return spark.read.parquet(ingest(spark, path, string_schema(raw.columns), "north", cfg)).drop("ingest_timestamp")
+
+
+@query("table_refresh", "SELECT p_partkey, p_brand FROM part WHERE p_size <= 25")
+def table_refresh(spark, d):
+    """Full refresh of a partitioned table: a second, smaller load leaves no row of the first."""
+    from tidewater.sinks import write_table
+    part = S.table(spark, d, "part").select("p_partkey", "p_brand", "p_size")
+    path = _fresh(spark, "refresh")
+    write_table(part, path, partition_by=["p_size"])
+    return spark.read.parquet(write_table(part.filter("p_size <= 25"), path, partition_by=["p_size"])).select("p_partkey", "p_brand")
+
+
+@query("version_roundtrip", "SELECT s_suppkey, s_name, s_suppkey % 2 = 0 AS is_current FROM supplier WHERE s_suppkey % 2 = 0")
+def version_roundtrip(spark, d):
+    """Versioned table: two commits, the current rows of the second."""
+    from tidewater.sinks import write_version
+    from tidewater.sources.tables import read_current
+    supp = S.table(spark, d, "supplier").select("s_suppkey", "s_name", (F.col("s_suppkey") % 2 == 0).alias("is_current"))
+    base = _fresh(spark, "versions")
+    write_version(spark, supp.limit(1), base)
+    write_version(spark, supp, base)
+    return read_current(spark, base, current_only=True)
+
+
 @query("snapshot_roundtrip", """
 SELECT c_name AS business_name, CAST(c_custkey AS VARCHAR) AS license_number, c_mktsegment AS segment,
        c_acctbal AS balance, c_nationkey AS nation_key, 'customer' AS source, '""" + _RT_RUN + """' AS run_id
@@ -494,12 +533,12 @@ def split_explode_q(spark, d):
 
 @query("violations_north", O.RAW[:-1] + O.north_violations_sql())
 def violations_north(spark, d):
-    return V.north_violations(Model(spark, d).north_ok)
+    return CL.violations_long(Model(spark, d).north_ok, V.NORTH)
 
 
 @query("violations_south", O.RAW[:-1] + O.south_violations_sql())
 def violations_south(spark, d):
-    return V.south_violations(Model(spark, d).south_ok)
+    return CL.violations_long(Model(spark, d).south_ok, V.SOUTH)
 
 
 @query("unpivot_wide", O.RAW[:-1] + O.south_long_sql() + """ SELECT Inspection_ID, violation_num,
@@ -713,7 +752,7 @@ def copies_keep_violations(spark, d):
     from tidewater.operators.reshape import unpivot_slots
     raw = Model(spark, d).raw_south
     raw = raw.unionByName(raw.filter(F.col("Violation_Description_2") == "Flag R"))
-    ok = Q.apply_rules(V.cleanse_south(raw), V.south_rules())
+    ok = Q.apply_rules(V.south_clean(raw), V.south_rules())
     long = unpivot_slots(ok, "Violation", {"Description": "violation_description_raw"}, main_field="Description",
                          keep=["Inspection_ID"], casts={}, slot_name="violation_num")
     return long.groupBy("violation_description_raw").agg(F.count("*").alias("violations"),

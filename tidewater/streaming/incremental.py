@@ -18,12 +18,13 @@ from pyspark.sql.types import StructType
 
 from tidewater.operators import columns as C
 from tidewater.operators import quality as Q
+from tidewater.operators import cleanse as CL
 from tidewater.plans import silver as V
 from tidewater.session import scratch_path
 
 SOURCES = {
-    "north": (V.cleanse_north, V.north_rules, V.north_violations),
-    "south": (V.cleanse_south, V.south_rules, V.south_violations),
+    "north": (lambda b: CL.cleanse(b, V.NORTH), V.north_rules, lambda ok: CL.violations_long(ok, V.NORTH)),
+    "south": (V.south_clean, V.south_rules, lambda ok: CL.violations_long(ok, V.SOUTH)),
 }
 
 
