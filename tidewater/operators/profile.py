@@ -101,7 +101,7 @@ def nonblank_histogram(df: DataFrame, cols: list[str], name: str = "violation_co
 
 
 def summarize(df: DataFrame, cols: list[str] | None = None,
-              statistics: tuple[str, ...] = ("count", "min", "max")) -> DataFrame:
+              statistics: tuple[str, ...] = ("count", "mean", "stddev", "min", "25%", "50%", "75%", "max")) -> DataFrame:
     """Spark's built-in summary (count, mean, stddev, min, approx quartiles, max)."""
     sub = df.select(*_cols(df, cols))
     return sub.summary(*statistics)
@@ -112,3 +112,55 @@ def profile(df: DataFrame, cols: list[str] | None = None, approx_distinct: bool
     nulls = profile_nulls(df, cols)
     distinct = profile_distinct(df, cols, approx=approx_distinct)
     return nulls.join(distinct, "column_name")
+
+
+def numeric_summary(df: DataFrame, cols: list[str], accuracy: int = 10_000) -> DataFrame:
+    """Long form (column_name, metric, value): count, mean, stddev, min, quartiles and max of numeric columns.
+
+    One pass with partial aggregates; quartiles are values of the column, their rank off by
+    at most 1 / ``accuracy`` of the rows.
+    """
+    metrics = {"count": F.count, "mean": F.avg, "stddev": F.stddev, "min": F.min, "max": F.max} | {
+        f"{int(q * 100)}%": lambda c, q=q: F.percentile_approx(c, q, accuracy) for q in (0.25, 0.5, 0.75)}
+    one = df.agg(*[fn(F.col(c)).cast("double").alias(f"{m}__{i}") for i, c in enumerate(cols) for m, fn in metrics.items()])
+    return one.select(F.inline(F.array(*[
+        F.struct(F.lit(c).alias("column_name"), F.lit(m).alias("metric"), F.col(f"`{m}__{i}`").alias("value"))
+        for i, c in enumerate(cols) for m in metrics])))
+
+
+def profile_report(df: DataFrame, cols: list[str] | None = None, frequencies: list[str] = (), top: int = 20,
+                   numeric: list[str] = (), score: str | None = None, slots: list[str] = (),
+                   rows: dict[str, Column] | None = None) -> DataFrame:
+    """The whole profile as one long frame (column_name, metric, label, value).
+
+    Per column: total rows, NULL or blank rows, their share in % rounded to 2 places, distinct
+    values. For ``frequencies``: the ``top`` values and their counts; for ``numeric``: the
+    numeric summary; for ``score``: counts by bin; for ``slots``: rows by number of filled
+    columns; for ``rows``: how many rows meet each named condition.
+    """
+    metric = lambda d, m, v, label=None: d.select(
+        "column_name", F.lit(m).alias("metric"), (F.lit(None).cast("string") if label is None else label).alias("label"),
+        v.cast("double").alias("value"))
+    base = profile(df, cols)
+    parts = [metric(base, "total_rows", F.col("total_rows")), metric(base, "null_count", F.col("null_count")),
+             metric(base, "null_pct", F.round("null_pct", 2)), metric(base, "distinct_count", F.col("distinct_count"))]
+    counted = lambda d, name: d.withColumn("column_name", F.lit(name))
+    for c in frequencies:
+        parts.append(metric(counted(topk_freq(df, c, top), c), "frequency", F.col("count"), F.col("value").cast("string")))
+    if numeric:
+        stats = numeric_summary(df, list(numeric))
+        parts.append(stats.select("column_name", "metric", F.lit(None).cast("string").alias("label"), "value"))
+    if score:
+        parts.append(metric(counted(binned_distribution(df, score), score), "bin", F.col("count"), F.col("score_bin")))
+    if slots:
+        hist = nonblank_histogram(df, list(slots), "filled")
+        parts.append(metric(counted(hist, "slots"), "rows_by_filled", F.col("count"), F.col("filled").cast("string")))
+    if rows:
+        one = df.agg(*[F.count_if(c).alias(n) for n, c in rows.items()])
+        parts.append(one.select(F.inline(F.array(*[
+            F.struct(F.lit("*").alias("column_name"), F.lit("rows_where").alias("metric"), F.lit(n).alias("label"),
+                     F.col(n).cast("double").alias("value")) for n in rows]))))
+    out = parts[0]
+    for p in parts[1:]:
+        out = out.unionByName(p)
+    return out

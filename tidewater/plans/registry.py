@@ -488,6 +488,43 @@ def profile_long(spark, d):
     return P.profile(Model(spark, d).raw_north)
 
 
+_PR = ["Results", "Zip_Code", "Inspection_Score", "Violation_Memo_1"]
+
+
+def _pr_sql() -> str:
+    blank = lambda c: f"{c} IS NULL OR CAST({c} AS VARCHAR) = ''"
+    out = []
+    for c in _PR:
+        for m, v in (("total_rows", "count(*)"), ("null_count", f"count_if({blank(c)})"),
+                     ("null_pct", f"round(count_if({blank(c)}) * 100.0 / count(*), 2)"), ("distinct_count", f"count(DISTINCT {c})")):
+            out.append(f"SELECT '{c}' AS column_name, '{m}' AS metric, CAST(NULL AS VARCHAR) AS label, CAST({v} AS DOUBLE) AS value FROM south_clean")
+    out.append("""SELECT 'Zip_Code', 'frequency', Zip_Code, CAST(n AS DOUBLE) FROM (SELECT Zip_Code, count(*) AS n FROM south_clean
+      GROUP BY Zip_Code ORDER BY n DESC, Zip_Code ASC NULLS FIRST LIMIT 5)""")
+    for m, v in (("count", "count(Inspection_Score)"), ("mean", "round(avg(Inspection_Score), 6)"), ("stddev", "round(stddev_samp(Inspection_Score), 6)"),
+                 ("min", "min(Inspection_Score)"), ("max", "max(Inspection_Score)"),
+                 *((f"{q}%", f"quantile_disc(Inspection_Score, 0.{q})") for q in (25, 50, 75))):
+        out.append(f"SELECT 'Inspection_Score', '{m}', NULL, CAST({v} AS DOUBLE) FROM south_clean")
+    out.append("""SELECT 'Inspection_Score', 'bin', CASE WHEN Inspection_Score >= 90 THEN '90-100 (Excellent)' WHEN Inspection_Score >= 80 THEN '80-89 (Good)'
+      WHEN Inspection_Score >= 70 THEN '70-79 (Fair)' WHEN Inspection_Score >= 0 THEN '0-69 (Poor)' ELSE 'No Score' END, CAST(count(*) AS DOUBLE)
+      FROM south_clean GROUP BY 3""")
+    out.append("SELECT 'slots', 'rows_by_filled', CAST(violation_count AS VARCHAR), CAST(count(*) AS DOUBLE) FROM south_clean GROUP BY 3")
+    out.append("SELECT '*', 'rows_where', 'no_violation', CAST(count_if(violation_count = 0) AS DOUBLE) FROM south_clean")
+    out.append("SELECT '*', 'rows_where', 'high_score_many', CAST(count_if(Inspection_Score >= 90 AND violation_count > 3) AS DOUBLE) FROM south_clean")
+    return " UNION ALL ".join(out)
+
+
+@query("profile_report", O.RAW + "SELECT * FROM (" + _pr_sql() + ")")
+def profile_report(spark, d):
+    m = Model(spark, d)
+    clean = m.south_clean
+    n = F.col("violation_count")
+    out = P.profile_report(clean, _PR, frequencies=["Zip_Code"], top=5, numeric=["Inspection_Score"], score="Inspection_Score",
+                           slots=[f"Violation_Description_{i}" for i in O.SLOTS],
+                           rows={"no_violation": n == 0, "high_score_many": (F.col("Inspection_Score") >= 90) & (n > 3)})
+    # sums of floats differ in their last digits with the order of rows
+    return out.withColumn("value", F.when(F.col("metric").isin("mean", "stddev"), F.round("value", 6)).otherwise(F.col("value")))
+
+
 @query("profile_stats", O.RAW + """SELECT min(Inspection_Score) AS min_value, max(Inspection_Score) AS max_value,
   avg(Inspection_Score) AS avg_value, count_if(Inspection_Score > 100) AS above_max,
   count_if(Inspection_Score IS NULL) AS null_count, count(*) AS total_rows FROM south_clean""")
