@@ -147,7 +147,9 @@ def families(rows: DataFrame, sk: DataFrame, banding: Banding) -> DataFrame:
     """Blocks to verify: family, lo, hi, block, rid, grams; each text once for each pair of blocks its block is in."""
     first = sk.where(F.col("copy_key").isNotNull()).groupBy("copy_key").agg(F.min("rid").alias("rid")).select("rid")
     banded = sk.join(first, "rid").select("rid", F.posexplode("bands").alias("band", "h"))
-    meet = banded.groupBy("band", "h").agg(F.min("rid").alias("hub"), F.count("*").alias("n")).where("n > 1").select("band", "h", "hub")
+    # stored, as a join of two plain shuffles is one that Spark can split where a band is hot
+    meet = stored(banded.groupBy("band", "h").agg(F.min("rid").alias("hub"), F.count("*").alias("n"))
+                  .where("n > 1").select("band", "h", "hub"), "meetings")
     family = stored(components(banded.join(meet, ["band", "h"]).select("rid", "hub"), "rid", "hub")
                     .select(F.col("node").alias("rid"), F.col("component").alias("family")), "families")
     blocks = family.groupBy("family").agg(F.ceil(F.count("*") / BLOCK).cast("int").alias("blocks"))
@@ -157,7 +159,8 @@ def families(rows: DataFrame, sk: DataFrame, banding: Banding) -> DataFrame:
         for b in batches:
             b["grams"] = [shingles(t, banding.n).tobytes() for t in b.pop("text")]
             yield b
-    grams = (rows.join(placed, "rid").select("rid", "family", "blocks", "block", "text")
+    # families grow with the corpus, so their texts are fetched by a shuffle at every size
+    grams = (rows.join(placed.hint("shuffle_hash"), "rid").select("rid", "family", "blocks", "block", "text")
              .mapInPandas(run, "rid bigint, family bigint, blocks int, block int, grams binary"))
     return (grams.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
             .select("family", F.least("block", "other").alias("lo"), F.greatest("block", "other").alias("hi"), "block", "rid", "grams"))
