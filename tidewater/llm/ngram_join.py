@@ -210,9 +210,10 @@ def classes(rows: DataFrame, banding: Banding = Banding()) -> DataFrame:
     found = stored(blocks.groupBy("family", "lo", "hi").applyInPandas(run, "rid bigint, hub bigint, n bigint"), "links")
     links = found.groupBy("rid").agg(F.sum("n").alias("n_links"))
     joined = components(found.select("rid", "hub"), "rid", "hub").select(F.col("node").alias("first"), F.col("component"))
-    copies = (sk.where(F.col("copy_key").isNotNull()).groupBy("copy_key")
-              .agg(F.min("rid").alias("first"), F.count("*").alias("n_copies"))
-              .join(joined, "first", "left").join(links.withColumnRenamed("rid", "first"), "first", "left"))
+    # stored, so that the rows of a text with many copies can be split in the join below
+    copies = stored(sk.where(F.col("copy_key").isNotNull()).groupBy("copy_key")
+                    .agg(F.min("rid").alias("first"), F.count("*").alias("n_copies"))
+                    .join(joined, "first", "left").join(links.withColumnRenamed("rid", "first"), "first", "left"), "copies")
     return (sk.select("rid", "copy_key").join(copies, "copy_key", "left")
             .select("rid", F.coalesce("component", "first", "rid").alias("class_rid"),
                     F.coalesce("n_links", F.lit(0)).alias("n_links"), F.coalesce("n_copies", F.lit(1)).alias("n_copies")))
