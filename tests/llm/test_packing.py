@@ -73,6 +73,20 @@ def test_neighbours_are_the_best_by_bm25():
     assert np.allclose(score[got], np.sort(score[score > 0])[::-1])
 
 
+def test_packing_asks_for_scores_on_all_shared_terms(monkeypatch):
+    """The call that pack_shard makes gives every document that shares a term, by its full score."""
+    rng = np.random.default_rng(2)
+    docs = [rng.permutation(400)[:200] for _ in range(30)]
+    asked, real = {}, P.Index.neighbours
+
+    def spy(self, seed, *args):
+        asked[seed] = (real(self, seed, *args), real(self, seed, 10_000))
+        return asked[seed][0]
+    monkeypatch.setattr(P.Index, "neighbours", spy)
+    assert sum(n for _, _, n, _, _ in P.pack_shard(docs, 2048)) == 6000
+    assert asked and all(a.tolist() == b.tolist() for a, b in asked.values())
+
+
 def test_related_documents_share_a_window():
     topics = [np.arange(100 * k, 100 * k + 50) for k in range(8)]
     docs = [np.tile(t, 4) for t in topics for _ in range(10)]

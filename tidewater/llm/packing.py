@@ -108,9 +108,10 @@ class Index:
         self.cut = np.searchsorted(self.doc[shared][by_doc], np.arange(n + 1))
         self.n = n
 
-    def neighbours(self, seed: int, terms: int) -> np.ndarray:
-        """Documents that share one of the seed's ``terms`` most telling terms, best first."""
-        lists = self.lists[self.cut[seed]:min(self.cut[seed + 1], self.cut[seed] + terms)]
+    def neighbours(self, seed: int, terms: int | None = None) -> np.ndarray:
+        """Documents that share a term with the seed, best first, scored on all shared terms; ``terms``: on the heaviest alone."""
+        stop = self.cut[seed + 1] if terms is None else min(self.cut[seed + 1], self.cut[seed] + terms)
+        lists = self.lists[self.cut[seed]:stop]
         if not len(lists):
             return np.zeros(0, dtype=np.int64)
         at = np.concatenate([np.arange(self.starts[x], self.ends[x]) for x in lists])
@@ -119,7 +120,7 @@ class Index:
         return found[np.lexsort((found, -score[found]))]
 
 
-def pack_shard(docs: list[np.ndarray], window: int, terms: int = 24) -> Iterator[tuple[int, int, int, int, int]]:
+def pack_shard(docs: list[np.ndarray], window: int) -> Iterator[tuple[int, int, int, int, int]]:
     """(document, start, length, sequence, offset) of every piece; each token lies in exactly one."""
     used = np.zeros(len(docs), dtype=np.int64)
     size = np.array([len(d) for d in docs], dtype=np.int64)
@@ -157,7 +158,7 @@ def pack_shard(docs: list[np.ndarray], window: int, terms: int = 24) -> Iterator
             at += piece[2]
             if at == room:
                 break
-            for d in index.neighbours(seed, terms):
+            for d in index.neighbours(seed):
                 if d != seed and used[d] < size[d]:
                     piece = put(int(d), at, room - at)
                     yield piece
