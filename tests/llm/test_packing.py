@@ -1,3 +1,4 @@
+import random
 import zlib
 from collections import defaultdict
 
@@ -99,3 +100,39 @@ def test_related_documents_share_a_window():
 
 def test_no_rows(no_docs):
     assert P.pack(no_docs).collect() == []
+
+
+def corpus_of_topics(spark, topics, copies, path):
+    """Rows whose words are their topic's alone, dealt over several files; doc_id // copies is the topic."""
+    rng = random.Random(9)
+    words = [["".join(rng.choices("abcdefghijklmnopqrstuvwxyz", k=7)) for _ in range(20)] for _ in range(topics)]
+    rows = [(t * copies + i, " ".join(rng.choices(words[t], k=60))) for t in range(topics) for i in range(copies)]
+    rng.shuffle(rows)
+    spark.createDataFrame(rows, "doc_id bigint, text string").repartition(5).write.parquet(path)
+    return spark.read.parquet(path)
+
+
+def test_related_documents_meet_across_the_corpus(spark, tmp_path):
+    docs = corpus_of_topics(spark, 40, 10, str(tmp_path / "topics"))
+    seqs = defaultdict(lambda: defaultdict(int))
+    for p in P.digests(P.pack(docs, window=1024, shard_docs=16)).collect():
+        seqs[p["sequence_id"]][p["doc_id"] // 10] += p["length"]
+    assert sum(max(s.values()) for s in seqs.values()) / sum(sum(s.values()) for s in seqs.values()) > 0.7
+
+
+def test_nearest_is_brute_force_over_the_corpus(spark, tmp_path):
+    docs = corpus_of_topics(spark, 12, 25, str(tmp_path / "near"))
+    bag = P.stored(P.bags(P.stored(P.encoded(docs, "text", "doc_id", *FILES), "encoded"), 2048, P.encoder(*FILES).dtype), "bags")
+    rows = sorted(bag.collect(), key=lambda r: r["rid"])
+    corpus = P.Corpus.of(bag)
+    for often in (0.0, 0.05, 2.0):
+        seeds = P.Seeds(corpus, [r["rid"] for r in rows], [bytes(r["terms"]) for r in rows], chunk=64, often=often)
+        score, rid, rest = P.nearest(bag, seeds, 8)
+        for q, r in enumerate(rows):
+            mine, want = set(np.frombuffer(r["terms"], "<u4").tolist()), []
+            for other in rows:
+                terms, tf = (np.frombuffer(other[c], "<u4").astype(np.int64) for c in ("terms", "counts"))
+                w = corpus.weights(terms, tf, np.full(len(terms), other["size"]))
+                want.append(0 if other is r else sum(x for t, x in zip(terms.tolist(), w) if t in mine))
+            assert np.allclose(score[q], np.sort(want)[::-1][:8], rtol=1e-4)
+            assert r["rid"] not in rid[q]

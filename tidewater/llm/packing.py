@@ -1,30 +1,38 @@
-"""Lexical retrieval packing.
-
-Documents are dealt to shards of bounded size. In each shard a BM25 inverted index over
-token ids answers, for a seed document, which unused documents share its telling tokens;
-they follow it into its window, best first, the last one cut where the window ends. What
-is cut off stays in the pool. Windows longer than a document thus hold related texts and
-no padding; the few tokens left at the end of a shard go into windows of a power of two,
-which need none either.
+"""Lexical retrieval packing over the whole corpus.
+
+Seeds are the longest unused documents. Each asks every unused document of the corpus for
+its BM25 score over token ids, with document counts of the corpus and on all shared terms; the
+best follow the seed into its window, the last one cut where the window ends. What is cut
+off stays in the pool. Windows longer than a document thus hold related texts and no
+padding; the few tokens left at the end go into windows of a power of two.
+
+Seeds go in rounds of bounded size: one scan scores all unused documents against the
+round's seeds and keeps each seed's best; the driver then deals them out, longest seed
+first. A window that others left short asks again in the next round, before new seeds. So
+the search has no cut, and its work grows with the square of the corpus.
 """
 
 from __future__ import annotations
 
 import heapq
 import re
-from collections.abc import Iterator
+import uuid
+from collections.abc import Iterable, Iterator
+from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidewater.llm.common import with_row_id
+from tidewater.llm.common import stored, with_row_id
+from tidewater.session import checkpoint_dir
 
 _CHUNKS_KEPT = 1_000_000
 _LONGEST_KEPT = 64
 _ENDS = re.compile(r"\s\s|^\s|\s$")
 _BLANK = re.compile(r"(?<=\S) (?=\S)")
+_ROWS = 500  # that go back to Spark together
 END_ID = 1
 
 
@@ -83,24 +91,65 @@ def encoder(model: str, ranks: str) -> ChunkEncoder:
     return _ENCODERS[model, ranks]
 
 
+@dataclass
+class Corpus:
+    """What BM25 needs of the corpus: documents, their mean size, and for each term the documents that hold it."""
+    n: int
+    mean: float
+    df: np.ndarray
+    k1: float = 1.2
+    b: float = 0.75
+
+    @classmethod
+    def of(cls, bag: DataFrame) -> Corpus:
+        def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+            df = np.zeros(0, dtype=np.int64)
+            for b in batches:
+                got = np.bincount(np.frombuffer(b"".join(b["terms"]), dtype="<u4"))
+                df, got = (df, got) if len(df) >= len(got) else (got, df)
+                df[:len(got)] += got
+            yield pd.DataFrame({"term": np.flatnonzero(df), "df": df[df > 0]})
+        found = bag.select("terms").mapInPandas(run, "term bigint, df bigint").groupBy("term").agg(F.sum("df").alias("df")).toPandas()
+        n, mean = bag.agg(F.count("*"), F.avg("size")).first()
+        df = np.zeros(int(found["term"].max()) + 1 if len(found) else 0, dtype=np.int64)  # as long as the vocabulary at most
+        df[found["term"]] = found["df"]
+        return cls(n, mean or 1.0, df)
+
+    def weights(self, terms: np.ndarray, counts: np.ndarray, sizes: np.ndarray) -> np.ndarray:
+        df = self.df[terms]
+        idf = np.log(1 + (self.n - df + 0.5) / (df + 0.5))
+        return idf * counts * (self.k1 + 1) / (counts + self.k1 * (1 - self.b + self.b * sizes / self.mean))
+
+
 class Index:
-    """BM25 over the token ids of a shard's documents."""
+    """BM25 over the token ids of documents in memory, with counts of ``corpus`` or else of these documents."""
 
-    def __init__(self, docs: list[np.ndarray], k1: float = 1.2, b: float = 0.75):
+    def __init__(self, docs: list[np.ndarray], corpus: Corpus | None = None):
         n = len(docs)
         size = np.array([len(d) for d in docs], dtype=np.int64)
         key = np.repeat(np.arange(n, dtype=np.int64), size) << 32 | np.concatenate(docs or [np.zeros(0)]).astype(np.int64)
         key, tf = np.unique(key, return_counts=True)
         doc, term = key >> 32, key & 0xFFFFFFFF
+        corpus = corpus or Corpus(n, size.mean() if n else 1.0, np.bincount(term))
+        self._post(doc, term, corpus.weights(term, tf, size[doc]), n)
+
+    @classmethod
+    def of_bags(cls, rows: list, corpus: Corpus) -> Index:
+        self = cls.__new__(cls)
+        doc = np.repeat(np.arange(len(rows)), [len(r["terms"]) // 4 for r in rows])
+        term, tf = (np.frombuffer(b"".join(bytes(r[c]) for r in rows), dtype="<u4").astype(np.int64) for c in ("terms", "counts"))
+        size = np.array([r["size"] for r in rows], dtype=np.int64)
+        self._post(doc, term, corpus.weights(term, tf, size[doc]), len(rows))
+        return self
+
+    def _post(self, doc: np.ndarray, term: np.ndarray, weight: np.ndarray, n: int) -> None:
         order = np.argsort(term, kind="stable")
-        self.doc, term, tf = doc[order], term[order], tf[order]
-        starts = np.flatnonzero(np.diff(term, prepend=-1))
-        df = np.diff(np.append(starts, len(term)))
-        idf = np.log(1 + (n - df + 0.5) / (df + 0.5))
-        of = np.repeat(np.arange(len(starts)), df)  # which posting list a posting is in
-        norm = k1 * (1 - b + b * size[self.doc] / max(1.0, size.mean() if n else 1.0))
-        self.weight = idf[of] * tf * (k1 + 1) / (tf + norm)
-        self.starts, self.ends = starts, starts + df
+        self.doc, term, self.weight = doc[order], term[order], weight[order]
+        self.starts = np.flatnonzero(np.diff(term, prepend=-1))
+        self.ends = np.append(self.starts[1:], len(term))
+        self.terms = term[self.starts]
+        df = self.ends - self.starts
+        of = np.repeat(np.arange(len(df)), df)  # which posting list a posting is in
         # posting lists by document, the most telling first; lists of one document lead nowhere
         shared = df[of] > 1
         by_doc = np.lexsort((-self.weight[shared], self.doc[shared]))
@@ -108,10 +157,7 @@ class Index:
         self.cut = np.searchsorted(self.doc[shared][by_doc], np.arange(n + 1))
         self.n = n
 
-    def neighbours(self, seed: int, terms: int | None = None) -> np.ndarray:
-        """Documents that share a term with the seed, best first, scored on all shared terms; ``terms``: on the heaviest alone."""
-        stop = self.cut[seed + 1] if terms is None else min(self.cut[seed + 1], self.cut[seed] + terms)
-        lists = self.lists[self.cut[seed]:stop]
+    def _ranked(self, lists: np.ndarray) -> np.ndarray:
         if not len(lists):
             return np.zeros(0, dtype=np.int64)
         at = np.concatenate([np.arange(self.starts[x], self.ends[x]) for x in lists])
@@ -119,53 +165,78 @@ class Index:
         found = np.flatnonzero(score)
         return found[np.lexsort((found, -score[found]))]
 
+    def neighbours(self, seed: int, terms: int | None = None) -> np.ndarray:
+        """Documents that share a term with the seed, best first, scored on all shared terms; ``terms``: on the heaviest alone."""
+        stop = self.cut[seed + 1] if terms is None else min(self.cut[seed + 1], self.cut[seed] + terms)
+        return self._ranked(self.lists[self.cut[seed]:stop])
 
-def pack_shard(docs: list[np.ndarray], window: int) -> Iterator[tuple[int, int, int, int, int]]:
-    """(document, start, length, sequence, offset) of every piece; each token lies in exactly one."""
-    used = np.zeros(len(docs), dtype=np.int64)
-    size = np.array([len(d) for d in docs], dtype=np.int64)
-    seq = 0
-    for d in np.flatnonzero(size >= window):
-        while size[d] - used[d] >= window:
-            yield int(d), int(used[d]), window, seq, 0
-            used[d] += window
-            seq += 1
-    index = Index(docs)
+    def sharing(self, terms: bytes) -> np.ndarray:
+        """As ``neighbours``, of a document that need not be here."""
+        return self._ranked(np.flatnonzero(np.isin(self.terms, np.frombuffer(terms, dtype="<u4"))))
+
+
+@dataclass
+class Window:
+    seq: int
+    room: int
+    at: int = 0
+    rid: int = -1
+    terms: bytes | None = None  # of the last seed; None: a new seed is due
+
+
+def pack_rest(index: Index, rest: np.ndarray, window: int, opened: Iterable[Window] = (), seq: int = 0) -> Iterator[tuple[int, int, int, int, int]]:
+    """(document, its unused tokens before, length, sequence, offset) of pieces that use all of ``rest``; ``opened`` windows first."""
+    rest = rest.copy()
     # the longest rest is the next seed; entries of documents used since are passed over
-    pool = [(-int(size[d] - used[d]), int(d)) for d in np.flatnonzero(size > used)]
+    pool = [(-int(rest[d]), int(d)) for d in np.flatnonzero(rest)]
     heapq.heapify(pool)
-    left = int((size - used).sum())
+    left = int(rest.sum())
 
-    def put(d: int, at: int, room: int) -> tuple[int, int, int, int, int]:
+    def put(d: int, w: Window) -> tuple[int, int, int, int, int]:
         nonlocal left
-        n = int(min(size[d] - used[d], room))
-        piece = (int(d), int(used[d]), n, seq, at)
-        used[d] += n
+        n = int(min(rest[d], w.room - w.at))
+        piece = (d, int(rest[d]), n, w.seq, w.at)
+        rest[d] -= n
         left -= n
-        if used[d] < size[d]:
-            heapq.heappush(pool, (-int(size[d] - used[d]), int(d)))
+        w.at += n
+        if rest[d]:
+            heapq.heappush(pool, (-int(rest[d]), d))
         return piece
 
-    while left:
-        room = window if left >= window else 1 << (left.bit_length() - 1)
-        at = 0
-        while at < room:
-            rest, seed = heapq.heappop(pool)
-            if -rest != size[seed] - used[seed]:
-                continue  # used in another window meanwhile
-            piece = put(seed, at, room - at)
-            yield piece
-            at += piece[2]
-            if at == room:
+    def windows() -> Iterator[Window]:
+        nonlocal seq
+        yield from opened
+        while left:
+            yield Window(seq, window if left >= window else 1 << (left.bit_length() - 1))
+            seq += 1
+
+    for w in windows():
+        seed, found = -1, index.sharing(w.terms) if w.terms is not None else ()
+        while True:
+            for d in found:
+                if w.at == w.room:
+                    break
+                if d != seed and rest[d]:
+                    yield put(int(d), w)
+            if w.at == w.room:
                 break
-            for d in index.neighbours(seed):
-                if d != seed and used[d] < size[d]:
-                    piece = put(int(d), at, room - at)
-                    yield piece
-                    at += piece[2]
-                    if at == room:
-                        break
-        seq += 1
+            longest, seed = heapq.heappop(pool)
+            while -longest != rest[seed]:
+                longest, seed = heapq.heappop(pool)  # used in another window meanwhile
+            yield put(seed, w)
+            found = index.neighbours(seed) if w.at < w.room else ()
+
+
+def pack_shard(docs: list[np.ndarray], window: int) -> Iterator[tuple[int, int, int, int, int]]:
+    """(document, start, length, sequence, offset) of every piece of documents in memory; each token lies in exactly one."""
+    size = np.array([len(d) for d in docs], dtype=np.int64)
+    seq = 0
+    for d in np.flatnonzero(size >= window):
+        for start in range(0, int(size[d]) // window * window, window):
+            yield int(d), start, window, seq, 0
+            seq += 1
+    for d, before, n, q, at in pack_rest(Index(docs), size % window, window, seq=seq):
+        yield d, int(size[d]) - before, n, q, at
 
 
 def encoded(docs: DataFrame, text_col: str, id_col: str, model: str, ranks: str) -> DataFrame:
@@ -173,36 +244,277 @@ def encoded(docs: DataFrame, text_col: str, id_col: str, model: str, ranks: str)
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         enc = encoder(model, ranks)
         end = np.array([END_ID], dtype=enc.dtype).tobytes()
-        for b in batches:
-            yield pd.DataFrame({"rid": b["rid"], "doc_id": b["doc_id"], "ids": [enc.ids(t) + end for t in b["text"]]})
+        for batch in batches:
+            for at in range(0, len(batch), _ROWS):
+                b = batch.iloc[at:at + _ROWS]
+                yield pd.DataFrame({"rid": b["rid"], "doc_id": b["doc_id"], "ids": [enc.ids(t) + end for t in b["text"]]})
+        enc.clear()  # the worker lives on, and later stages need the memory
     rows = with_row_id(docs.select(F.col(id_col).cast("string").alias("doc_id"), F.col(text_col).alias("text")))
     return rows.mapInPandas(run, "rid bigint, doc_id string, ids binary")
 
 
+def bags(docs: DataFrame, window: int, width: np.dtype) -> DataFrame:
+    """rid, size, rest (what whole windows leave), terms and counts (distinct ids and how often, unsigned 32 bit) of each row."""
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            for at in range(0, len(batch), _ROWS):
+                out = []
+                for rid, x in batch.iloc[at:at + _ROWS].itertuples(index=False):
+                    ids = np.frombuffer(x, dtype=width)
+                    term, tf = np.unique(ids, return_counts=True)
+                    out.append((rid, len(ids), len(ids) % window, term.astype("<u4").tobytes(), tf.astype("<u4").tobytes()))
+                yield pd.DataFrame(out, columns=["rid", "size", "rest", "terms", "counts"])
+    return docs.select("rid", "ids").mapInPandas(run, "rid bigint, size bigint, rest bigint, terms binary, counts binary")
+
+
+class Seeds:
+    """The queries of a round, in chunks: terms of many documents as columns of a matrix, the others as posting lists."""
+
+    def __init__(self, corpus: Corpus, rids: list[int], terms: list[bytes], chunk: int = 512, often: float = 0.05):
+        self.corpus, self.chunk = corpus, chunk
+        self.rids = np.array(rids, dtype=np.int64)
+        wide = np.flatnonzero(corpus.df > often * corpus.n)
+        self.column = np.full(len(corpus.df), -1, dtype=np.int32)
+        self.column[wide] = np.arange(len(wide))
+        self.chunks = []
+        for lo in range(0, len(terms), chunk):
+            part = terms[lo:lo + chunk]
+            term = np.frombuffer(b"".join(part), dtype="<u4").astype(np.int64)
+            of = np.repeat(np.arange(len(part), dtype=np.int32), [len(t) // 4 for t in part])
+            dense = self.column[term] >= 0
+            member = np.zeros((len(part), len(wide)), dtype=bool)
+            member[of[dense], self.column[term[dense]]] = True
+            order = np.argsort(term[~dense], kind="stable")
+            starts = np.searchsorted(term[~dense][order], np.arange(len(corpus.df) + 1)).astype(np.int32)
+            self.chunks.append((member, of[~dense][order], starts))
+
+    def scores(self, doc: np.ndarray, term: np.ndarray, weight: np.ndarray, rid: np.ndarray) -> Iterator[tuple[int, np.ndarray]]:
+        """(first seed, its chunk's BM25 by seed and document) for documents given as postings; 0 for a seed itself."""
+        n = len(rid)
+        column = self.column[term]
+        dense = column >= 0
+        held = np.zeros(((self.column >= 0).sum(), n), dtype=np.float32)
+        held[column[dense], doc[dense]] = weight[dense]
+        doc, term, weight = doc[~dense], term[~dense], weight[~dense]
+        own = np.flatnonzero(np.isin(rid, self.rids))
+        for k, (member, of, starts) in enumerate(self.chunks):
+            out = member.astype(np.float32) @ held
+            first = starts[term].astype(np.int64)
+            many = starts[term + 1] - first
+            hit = np.repeat(first - np.cumsum(many) + many, many) + np.arange(many.sum())
+            cell = of[hit].astype(np.int64) * n + np.repeat(doc, many)
+            out += np.bincount(cell, weights=np.repeat(weight, many), minlength=out.size).reshape(out.shape).astype(np.float32)
+            lo = k * self.chunk
+            i, j = np.nonzero(self.rids[lo:lo + len(out), None] == rid[own][None, :])
+            out[i, own[j]] = 0
+            yield lo, out
+
+
+def _best(score: np.ndarray, rid: np.ndarray, rest: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """The ``k`` best columns of each row; of equal scores the least rid goes first."""
+    order = np.argsort(rid, kind="stable", axis=-1)
+    score, rid, rest = (np.take_along_axis(x, order, -1) for x in (score, rid, rest))
+    order = np.argsort(-score, kind="stable", axis=-1)[:, :k]
+    return tuple(np.take_along_axis(x, order, -1) for x in (score, rid, rest))
+
+
+_BLOCK = 2048  # documents that are scored together
+
+
+def nearest(alive: DataFrame, seeds: Seeds, k: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(scores, rids, unused tokens) of the ``k`` best of ``alive`` for each seed; a score of 0 stands for none.
+
+    Each task keeps the best of its documents; those of all tasks meet by chunks of seeds.
+    """
+    m, kinds = len(seeds.rids), (("score", np.float32), ("rid", np.int64), ("rest", np.int32))
+
+    def task(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for enc in _ENCODERS.values():
+            enc.clear()
+        kept = [np.full((m, k), -1 if c == "rid" else 0, dtype=t) for c, t in kinds]
+        for batch in batches:
+            for at in range(0, len(batch), _BLOCK):
+                b = batch.iloc[at:at + _BLOCK]
+                rid, size, rest = b["rid"].to_numpy(), b["size"].to_numpy(), b["rest"].to_numpy()
+                doc = np.repeat(np.arange(len(b)), [len(t) // 4 for t in b["terms"]])
+                term, tf = (np.frombuffer(b"".join(b[c]), dtype="<u4").astype(np.int64) for c in ("terms", "counts"))
+                for lo, score in seeds.scores(doc, term, seeds.corpus.weights(term, tf, size[doc]), rid):
+                    mine = [x[lo:lo + len(score)] for x in kept]
+                    # what is below a seed's k-th best so far is none of its best
+                    least = np.maximum(mine[0][:, -1:], np.finfo(np.float32).tiny)
+                    if (mine[0][:, -1] == 0).any() and score.shape[1] > k:
+                        least = np.maximum(least, np.partition(score, score.shape[1] - k, axis=1)[:, score.shape[1] - k, None])
+                    row, col = np.nonzero(score >= least)
+                    if not len(row):
+                        continue
+                    many = np.bincount(row, minlength=len(score))
+                    place = np.arange(len(row)) - np.repeat(np.cumsum(many) - many, many)
+                    new = [np.zeros((len(score), many.max()), dtype=t) for _, t in kinds]
+                    for x, v in zip(new, (score[row, col], rid[col], rest[col])):
+                        x[row, place] = v
+                    for x, y in zip(mine, _best(*(np.concatenate(x, axis=1) for x in zip(mine, new)), k)):
+                        x[:] = y
+        yield pd.DataFrame([(lo, *(x[lo:lo + seeds.chunk].tobytes() for x in kept)) for lo in range(0, m, seeds.chunk)],
+                           columns=["seeds", *(c for c, _ in kinds)])
+
+    def meet(rows: pd.DataFrame) -> pd.DataFrame:
+        kept = None
+        for r in rows.to_dict("records"):
+            one = [np.frombuffer(r[c], dtype=t).reshape(-1, k) for c, t in kinds]
+            kept = one if kept is None else _best(*(np.concatenate(x, axis=1) for x in zip(kept, one)), k)
+        return pd.DataFrame([(rows["seeds"].iloc[0], *(x.tobytes() for x in kept))], columns=rows.columns)
+
+    schema = "seeds int, score binary, rid binary, rest binary"
+    rows = sorted(alive.mapInPandas(task, schema).groupBy("seeds").applyInPandas(meet, schema).collect())
+    return tuple(np.frombuffer(b"".join(bytes(r[c]) for r in rows), dtype=t).reshape(-1, k) for c, t in kinds)
+
+
+_PLACED = "rid bigint, before bigint, length bigint, sequence_id bigint, offset bigint"
+
+
+class Packer:
+    """Deals documents to windows in rounds; the driver holds what a round touches, never the corpus."""
+
+    def __init__(self, bag: DataFrame, window: int, last: int, seeds: int = 16384, k: int = 16):
+        self.bag, self.window, self.last, self.seeds, self.k = bag, window, last, seeds, k
+        self.corpus = Corpus.of(bag)
+        self.by_rest = np.zeros(window, dtype=np.int64)  # documents by their number of unused tokens
+        for rest, n in bag.groupBy("rest").agg(F.count("*")).collect():
+            self.by_rest[rest] = n
+        self.rest: dict[int, int] = {}  # of documents touched since ``bag`` was written
+        self.open: list[Window] = []
+        self.seq = 0
+
+    @property
+    def left(self) -> int:
+        return int(self.by_rest @ np.arange(self.window))
+
+    def alive(self) -> DataFrame:
+        """The documents with unused tokens, as they stand."""
+        if len(self.rest) > 1_000_000:
+            self.bag, self.rest = stored(self._alive(), "bags"), {}
+        return self._alive()
+
+    def _alive(self) -> DataFrame:
+        touched = np.array(sorted(self.rest), dtype=np.int64)
+        now = np.array([self.rest[r] for r in touched.tolist()], dtype=np.int64)
+
+        def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+            for b in batches:
+                if len(touched):
+                    at = np.minimum(np.searchsorted(touched, b["rid"]), len(touched) - 1)
+                    b["rest"] = np.where(touched[at] == b["rid"], now[at], b["rest"])
+                yield b[b["rest"] > 0]
+        return self.bag.mapInPandas(run, self.bag.schema)
+
+    def longest(self, alive: DataFrame, n: int) -> list:
+        """The ``n`` rows with most unused tokens, in order."""
+        above = np.cumsum(self.by_rest[:0:-1])[::-1]  # of rest 1, 2, ... : documents with as many or more
+        least = int((above > n).sum())  # all longer rests are wanted, of this one some
+        rows = alive.where(F.col("rest") > least).select("rid", "size", "rest", "terms").collect()
+        if least and len(rows) < n:
+            rows += (alive.where(F.col("rest") == least).select("rid", "size", "rest", "terms")
+                     .orderBy("rid").limit(n - len(rows)).collect())
+        return sorted(rows, key=lambda r: (-r["rest"], r["rid"]))
+
+    def round(self) -> list[tuple[int, int, int, int, int]]:
+        """(rid, unused tokens before, length, sequence, offset) of the pieces that one round places."""
+        alive = self.alive()
+        asking = [w for w in self.open if w.terms is not None]
+        due = [w for w in self.open if w.terms is None]
+        fresh = self.longest(alive, max(1, self.seeds - len(asking)))
+        seeds = Seeds(self.corpus, [w.rid for w in asking] + [r["rid"] for r in fresh],
+                      [w.terms for w in asking] + [bytes(r["terms"]) for r in fresh])
+        score, rid, rest = nearest(alive, seeds, self.k)
+        now: dict[int, int] = {}  # unused tokens of documents that this round has touched
+        pieces = []
+        free = self.left - sum(w.room - w.at for w in self.open)  # tokens that no open window needs
+
+        def put(w: Window, d: int, unused: int) -> None:
+            unused = now.get(d, unused)
+            n = min(unused, w.room - w.at)
+            pieces.append((d, unused, n, w.seq, w.at))
+            w.at += n
+            now[d] = unused - n
+            self.by_rest[unused] -= 1
+            self.by_rest[unused - n] += 1
+
+        def fill(w: Window, q: int) -> None:
+            for d, s, unused in zip(rid[q].tolist(), score[q].tolist(), rest[q].tolist()):
+                if w.at == w.room:
+                    return
+                if s > 0 and now.get(d, 1):
+                    put(w, d, unused)
+            if w.at < w.room and score[q, -1] == 0:  # no other document shares a term
+                w.terms = None
+                due.append(w)
+
+        for q, w in enumerate(asking):
+            fill(w, q)
+        for q, r in enumerate(fresh, len(asking)):
+            if r["rid"] in now:
+                continue  # used by an earlier window; what is left of it comes again
+            if due:
+                w = due.pop(0)
+            elif free >= self.window:
+                w = Window(self.seq, self.window)
+                self.seq += 1
+                self.open.append(w)
+                free -= self.window
+            else:
+                break
+            w.rid, w.terms = r["rid"], bytes(r["terms"])
+            put(w, r["rid"], r["rest"])
+            fill(w, q)
+        self.open = [w for w in self.open if w.at < w.room]
+        self.rest.update(now)
+        return pieces
+
+    def run(self) -> Iterator[list[tuple[int, int, int, int, int]]]:
+        """The pieces of one round after the other; at last those of the documents that then fit into memory."""
+        while self.by_rest[1:].sum() > self.last and self.left >= self.window:
+            yield self.round()
+        rows = sorted(self.alive().collect(), key=lambda r: r["rid"])
+        rest = np.array([r["rest"] for r in rows], dtype=np.int64)
+        yield [(rows[d]["rid"], *piece) for d, *piece in
+               pack_rest(Index.of_bags(rows, self.corpus), rest, self.window, self.open, self.seq)]
+
+
 def pack(docs: DataFrame, window: int = 2048, shard_docs: int = 1024, text_col: str = "text", id_col: str = "doc_id",
          model: str = "byte_bpe_50k.json", ranks: str = "byte_bpe_50k.tiktoken") -> DataFrame:
     """Per piece: doc_id, start, length, ids (binary, unsigned 32 bit little-endian), doc_tokens, sequence_id, offset.
 
     ``sequence_id`` and ``offset`` place a piece; a sequence holds ``window`` tokens or, at
-    the end of a shard, a smaller power of two. Shards hold about ``shard_docs`` rows each by
-    a hash of the row's number, so none grows with the input and copies spread evenly. NULL
-    and empty texts are the end id alone; NULL ids and repeated rows are rows of their own;
-    other columns are not read; no rows give no pieces.
+    the very end, a smaller power of two. When ``shard_docs`` documents are left they are
+    packed in memory. NULL and empty texts are the end id alone; NULL ids and repeated rows
+    are rows of their own; other columns are not read; no rows give no pieces.
     """
-    shards = max(1, -(-docs.count() // shard_docs))
-    dealt = encoded(docs, text_col, id_col, model, ranks).withColumn("shard", F.pmod(F.xxhash64("rid"), F.lit(shards)))
-
-    def run(rows: pd.DataFrame) -> pd.DataFrame:
-        rows = rows.sort_values("rid")  # one packing, in whatever order rows arrive
-        width = encoder(model, ranks).dtype
-        ids = [np.frombuffer(x, dtype=width) for x in rows["ids"]]
-        doc_id = rows["doc_id"].tolist()
-        first = int(rows["shard"].iloc[0]) << 32
-        out = [(doc_id[d], start, n, ids[d][start:start + n].astype("<u4").tobytes(), len(ids[d]), first + seq, at)
-               for d, start, n, seq, at in pack_shard(ids, window)]
-        return pd.DataFrame(out, columns=["doc_id", "start", "length", "ids", "doc_tokens", "sequence_id", "offset"])
-    return (dealt.groupBy("shard").applyInPandas(
-        run, "doc_id string, start bigint, length bigint, ids binary, doc_tokens bigint, sequence_id bigint, offset bigint")
+    spark, width = docs.sparkSession, encoder(model, ranks).dtype
+    rows = stored(encoded(docs, text_col, id_col, model, ranks), "encoded")  # rids and ids are read from here alone
+    bag = stored(bags(rows, window, width), "bags")
+    place = F.explode(F.sequence(F.lit(1), F.floor(F.col("size") / window)))
+    whole = (bag.where(F.col("size") >= window).select("rid", "size", place.alias("k"))
+             .select("rid", (F.col("size") - (F.col("k") - 1) * window).alias("before"), F.lit(window).cast("bigint").alias("length"),
+                     (F.monotonically_increasing_id() * 2 + 1).alias("sequence_id"), F.lit(0).cast("bigint").alias("offset")))
+    path = f"{checkpoint_dir(spark).rstrip('/')}/pieces-{uuid.uuid4().hex}"
+    whole.write.parquet(path)
+    for placed in Packer(bag, window, shard_docs).run():
+        spark.createDataFrame([(*p[:3], 2 * p[3], p[4]) for p in placed], _PLACED).coalesce(1).write.mode("append").parquet(path)
+    pieces = spark.read.schema(_PLACED).parquet(path)
+    pieces = pieces.groupBy("rid").agg(F.collect_list(F.struct("before", "length", "sequence_id", "offset")).alias("pieces"))
+
+    def cut(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for b in batches:
+            out = []
+            for doc_id, x, found in zip(b["doc_id"], b["ids"], b["pieces"]):
+                ids = np.frombuffer(x, dtype=width)
+                for p in found:
+                    start = len(ids) - p["before"]
+                    out.append((doc_id, start, p["length"], ids[start:start + p["length"]].astype("<u4").tobytes(), len(ids),
+                                p["sequence_id"], p["offset"]))
+            yield pd.DataFrame(out, columns=["doc_id", "start", "length", "ids", "doc_tokens", "sequence_id", "offset"])
+    return (rows.join(pieces, "rid").select("doc_id", "ids", "pieces").mapInPandas(
+        cut, "doc_id string, start bigint, length bigint, ids binary, doc_tokens bigint, sequence_id bigint, offset bigint")
         .withColumn("doc_id", F.col("doc_id").cast("bigint")))
 
 
