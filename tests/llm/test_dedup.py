@@ -194,3 +194,20 @@ def test_proximity(spark):
     vocabulary = D.vocabulary_of(phrases)
     got = {r["rid"] for r in D.proximity_matches(D.build_index(docs, vocabulary), phrases, vocabulary, 5).collect()}
     assert got == {0, 2}
+
+
+def test_row_numbers_outlive_a_change_of_file_splits(spark, odd):
+    """The splits of a scan follow the cores; a job after an executor is lost must see the rows of the job before."""
+    from tidewater.llm.common import packed, with_row_id
+    conf = ("spark.sql.files.minPartitionNum", "spark.sql.files.openCostInBytes")
+    for number in (packed, with_row_id):
+        rows, seen = number(odd.select("doc_id", "text")), []
+        for splits, cost in (("1", "1"), ("64", "4194304")):
+            spark.conf.set(conf[0], splits)
+            spark.conf.set(conf[1], cost)
+            try:
+                seen.append(sorted(((r["rid"], str(r)) for r in rows.select(*rows.columns).collect())))
+            finally:
+                for c in conf:
+                    spark.conf.unset(c)
+        assert seen[0] == seen[1]

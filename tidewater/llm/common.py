@@ -18,26 +18,29 @@ def read(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def stored(df: DataFrame, label: str) -> DataFrame:
+def stored(df: DataFrame, label: str, **options: str) -> DataFrame:
     """Write ``df`` as Parquet into the shared checkpoint folder and read it back.
 
     Cuts the lineage with files every executor can read again, so a lost executor costs
     only its running tasks, and two consumers do not compute ``df`` twice.
     """
     path = f"{checkpoint_dir(df.sparkSession).rstrip('/')}/{label}-{uuid.uuid4().hex}"
-    df.write.parquet(path)
+    df.write.parquet(path, **options)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
-def with_row_id(docs: DataFrame, name: str = "rid", scan: bool = True) -> DataFrame:
+def numbered(docs: DataFrame, name: str = "rid") -> DataFrame:
+    """Add a unique row number that changes with the file splits, so for rows that are stored before a second look."""
+    return docs.withColumn(name, F.monotonically_increasing_id())
+
+
+def with_row_id(docs: DataFrame, name: str = "rid") -> DataFrame:
     """Add a unique row number; ids, texts and whole rows may repeat or be NULL in the input.
 
-    Of a table read from files (``scan=True``) the number follows from file split and
-    place, the same on every run of a task and for every choice of columns. Anything
-    else is written out first, since a re-run shuffle may deal rows out in another order.
+    Numbers are stored with their rows, once. Counted anew in each job they would follow the
+    file splits, which follow the registered cores, and a re-run shuffle's order of rows.
     """
-    src = docs if scan else stored(docs, "rows")
-    return src.withColumn(name, F.monotonically_increasing_id())
+    return stored(numbered(docs, name), "rows", compression="zstd")
 
 
 def packed(docs: DataFrame) -> DataFrame:

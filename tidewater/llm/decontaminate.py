@@ -12,7 +12,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidewater.llm.common import stored, with_row_id
+from tidewater.llm.common import numbered, stored, with_row_id
 
 _UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 _BETWEEN = r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+"
@@ -39,7 +39,7 @@ def vocabulary_of(phrases: DataFrame) -> DataFrame:
     spark = phrases.sparkSession
     found = phrases.select(F.explode("words").alias("term")).where("term IS NOT NULL")
     every = stored(found.union(spark.createDataFrame([("",)], "term string")).distinct(), "vocabulary")
-    return stored(with_row_id(every, "tid"), "vocabulary")
+    return with_row_id(every, "tid")
 
 
 def alignments(index: DataFrame, phrases: DataFrame, vocabulary: DataFrame, window: int) -> DataFrame:
@@ -112,7 +112,7 @@ def proximity_matches(index: DataFrame, phrases: DataFrame, vocabulary: DataFram
 
 def report(docs: DataFrame, benchmark: DataFrame, window: int = 10) -> DataFrame:
     """For ``docs`` (rid, doc_id, text): rid, doc_id, n_words, n_hit, n_items, items_sha256, contaminated."""
-    items = with_row_id(benchmark.select("item_id", "text"), "iid")
+    items = numbered(benchmark.select("item_id", "text"), "iid")
     items = stored(items.select("iid", "item_id", F.filter(terms(F.col("text")), lambda x: x != "").alias("words")), "items")
     phrases = stored(items.where(F.size("words") > 0).groupBy("words").agg(F.min("iid").alias("cid")), "phrases")
     named = (items.join(phrases, "words").where("item_id IS NOT NULL")

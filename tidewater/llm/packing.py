@@ -25,7 +25,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidewater.llm.common import stored, with_row_id
+from tidewater.llm.common import numbered, stored
 from tidewater.session import checkpoint_dir
 
 _CHUNKS_KEPT = 1_000_000
@@ -249,7 +249,7 @@ def encoded(docs: DataFrame, text_col: str, id_col: str, model: str, ranks: str)
                 b = batch.iloc[at:at + _ROWS]
                 yield pd.DataFrame({"rid": b["rid"], "doc_id": b["doc_id"], "ids": [enc.ids(t) + end for t in b["text"]]})
         enc.clear()  # the worker lives on, and later stages need the memory
-    rows = with_row_id(docs.select(F.col(id_col).cast("string").alias("doc_id"), F.col(text_col).alias("text")))
+    rows = numbered(docs.select(F.col(id_col).cast("string").alias("doc_id"), F.col(text_col).alias("text")))
     return rows.mapInPandas(run, "rid bigint, doc_id string, ids binary")
 
 

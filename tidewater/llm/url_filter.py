@@ -80,7 +80,7 @@ def judge(pages: DataFrame, rules: DataFrame, url_col: str = "url", html_col: st
     NULL or scheme-less URLs have empty host and path, fit no rule and are allowed; NULL
     html has no links. Repeated pages and ids each keep their row; other columns are not read.
     """
-    p = with_row_id(pages.select(F.col(id_col).alias("page_id"), F.col(url_col).alias("url"), F.col(html_col).alias("html")))
+    p = pages.select(F.col(id_col).alias("page_id"), F.col(url_col).alias("url"), F.col(html_col).alias("html"))
     links = p.select("url", F.explode(link_targets(F.col("html"))).alias("to"))
     if extra_links is not None:
         links = links.union(extra_links.select(F.col("from_url"), F.col("to_url")))
@@ -94,8 +94,8 @@ def judge(pages: DataFrame, rules: DataFrame, url_col: str = "url", html_col: st
                .select("component").distinct().withColumn("alias_blocked", F.lit(True)))
     by_alias = alias.join(blocked, "component").select("node", "alias_blocked")
 
-    own = p.select("rid", "page_id", host_of(F.col("url")).alias("host"), path_of(F.col("url")).alias("path"),
-                   F.when(F.instr("url", "://") > 0, url_key(F.col("url"))).alias("node"))
+    own = with_row_id(p.select("page_id", host_of(F.col("url")).alias("host"), path_of(F.col("url")).alias("path"),
+                               F.when(F.instr("url", "://") > 0, url_key(F.col("url"))).alias("node")))
     verdict = F.coalesce("rule_verdict", F.when(F.col("alias_blocked"), F.lit("block")), F.lit("allow"))
     return (own.join(fit(own, rules, "rid"), "rid", "left").join(by_alias, "node", "left")
             .select("page_id", "host", "path", "rule", verdict.alias("verdict")))
