@@ -1,8 +1,9 @@
-"""Suffix-array deduplication by distributed prefix doubling.
+"""Exact removal of repeated strings by hash ranks, in place of a suffix array.
 
-Two positions hold the same 200 bytes exactly if their ranks at length 200 agree. Ranks
-are doubled: the rank of a length is that of a pair of ranks of half of it. Spark sorts
-(position, rank) rows after each step of growing length, and positions whose rank is
+Two positions hold the same 200 bytes exactly if their ranks at length 200 agree. A rank
+here is a 64-bit hash that numpy doubles within one text (``ranks.doubled``): the rank of a
+length is that of a pair of ranks of half of it. No table of positions is sorted or ranked
+anew across the corpus; Spark counts equal ranks by groupBy, and positions whose rank is
 unique leave, as no longer string there can repeat.
 
 Not every position takes part from the start. The windows of a text fall into runs that
