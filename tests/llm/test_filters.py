@@ -145,3 +145,24 @@ def test_url_rules_and_aliases(spark):
     links = spark.createDataFrame([("http://free.com/z", "http://m.free.com/1"), ("http://m.free.com/1", "https://net/"), (None, "x")], "from_url string, to_url string")
     verdict = {r["page_id"]: r["verdict"] for r in U.judge(pages, U.rules_frame(spark, U.RULES), extra_links=links).collect()}
     assert verdict[9] == "block"
+
+
+def test_relative_links_are_resolved(spark):
+    page = "https://a.org/x/y/z.html?q=1#f"
+    cases = {"http://b.net/p": "http://b.net/p", "//b.net/p": "https://b.net/p", "/de/x": "https://a.org/de/x", "n.html?k=a/../b": "https://a.org/x/y/n.html?k=a/../b",
+             "../n": "https://a.org/x/n", "./n/..": "https://a.org/x/y/", "/a/../../b": "https://a.org/b", "?r=2": "https://a.org/x/y/z.html?r=2",
+             "/go?to=http://c.net/": "https://a.org/go?to=http://c.net/", "mailto:me@a.org": None}
+    from pyspark.sql import functions as F
+    rows = spark.createDataFrame(list(cases.items()), "t string, want string").select("t", "want", U.resolved(F.col("t"), F.lit(page)).alias("got")).collect()
+    assert [(r["t"], r["got"]) for r in rows] == [(r["t"], r["want"]) for r in rows]
+    bare = spark.range(1).select(U.resolved(F.lit("n"), F.lit("http://a.org"))).first()[0]
+    assert bare == "http://a.org/n"
+
+
+def test_blocks_reach_relative_aliases(spark):
+    rules = U.rules_frame(spark, [("a.com", "/bad/", "block")])
+    pages = spark.createDataFrame([
+        (1, "http://a.com/bad/page", '<link rel="canonical" href="/good/page">'), (2, "http://a.com/good/page", ""),
+        (3, "http://a.com/bad/r", '<meta http-equiv="refresh" content="0; url=//b.com/en/">'), (4, "http://b.com/en/", ""),
+        (5, "http://a.com/good/other", "")], "page_id int, url string, html string")
+    assert {r["page_id"]: r["verdict"] for r in U.judge(pages, rules).collect()} == {1: "block", 2: "block", 3: "block", 4: "block", 5: "allow"}

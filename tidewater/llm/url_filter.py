@@ -37,14 +37,42 @@ def path_of(url: Column) -> Column:
     return F.regexp_extract(after_scheme(url), r"^[^/?#]*([^?#]*)", 1)
 
 
-def link_targets(html: Column) -> Column:
-    """Absolute URLs that a page's head names as itself elsewhere: canonical links and refresh redirects."""
+def _plain(path: Column) -> Column:
+    """A path without ``.`` and ``..`` segments."""
+    parts = F.split(path, "/")
+    step = lambda kept, x: (F.when(x == ".", kept)
+                            .when(x == "..", F.slice(kept, 1, F.greatest(F.lit(1), F.size(kept) - 1)))
+                            .otherwise(F.concat(kept, F.array(x))))
+    kept = F.aggregate(F.slice(parts, 2, F.size(parts)), F.array(F.lit("")), step)
+    last = F.element_at(parts, -1)
+    return F.array_join(F.when(last.isin(".", ".."), F.concat(kept, F.array(F.lit("")))).otherwise(kept), "/")
+
+
+def resolved(target: Column, url: Column) -> Column:
+    """``target`` as an absolute URL, as a link on the page ``url``; NULL for another kind of address, such as mailto."""
+    scheme = F.regexp_extract(url, r"^(.*?)://", 1)
+    site = F.concat(scheme, F.lit("://"), F.regexp_extract(after_scheme(url), r"^[^/?#]*", 0))
+    page = F.when(path_of(url) == "", F.lit("/")).otherwise(path_of(url))
+    path, rest = F.regexp_extract(target, r"^[^?#]*", 0), F.regexp_extract(target, r"^[^?#]*(.*)$", 1)
+    query = F.regexp_extract(after_scheme(url), r"^[^?#]*(\?[^#]*)", 1)
+    return (F.when(target.rlike(r"^[A-Za-z][A-Za-z0-9+.\-]*://"), target)
+            .when(target.rlike(r"^[A-Za-z][A-Za-z0-9+.\-]*:"), F.lit(None))
+            .when(target.startswith("//"), F.concat(scheme, F.lit(":"), target))
+            .when(target.startswith("/"), F.concat(site, _plain(path), rest))
+            .when(target.startswith("?"), F.concat(site, page, target))
+            .when(target.startswith("#"), F.concat(site, page, query, target))
+            .otherwise(F.concat(site, _plain(F.concat(F.regexp_extract(page, r"^.*/", 0), path)), rest)))
+
+
+def link_targets(html: Column, url: Column) -> Column:
+    """URLs that a page's head names as itself elsewhere, canonical links and refresh redirects, made absolute by the page's."""
     tags = F.regexp_extract_all(html, F.lit(r"(?is)<(?:link|meta)\b[^>]*>"), F.lit(0))
     canonical = F.filter(tags, lambda t: t.rlike(r"(?is)\brel\s*=\s*[\"']?[^\"'>]*\bcanonical\b"))
     refresh = F.filter(tags, lambda t: t.rlike(r"(?is)\bhttp-equiv\s*=\s*[\"']?refresh\b"))
     href = F.transform(canonical, lambda t: F.regexp_extract(t, r"(?is)\bhref\s*=\s*[\"']?\s*([^\"'\s>]+)", 1))
     move = F.transform(refresh, lambda t: F.regexp_extract(t, r"(?is)\burl\s*=\s*[\"']?\s*([^\"'\s>]+)", 1))
-    found = F.filter(F.concat(href, move), lambda u: F.instr(u, "://") > 0)
+    named = F.filter(F.concat(href, move), lambda u: u != "")
+    found = F.filter(F.transform(named, lambda u: resolved(u, url)), lambda u: u.isNotNull())
     # most pages have neither word, and need no look at their tags
     return F.when(html.rlike(r"(?i)canonical|http-equiv"), found).otherwise(F.array().cast("array<string>"))
 
@@ -78,10 +106,10 @@ def judge(pages: DataFrame, rules: DataFrame, url_col: str = "url", html_col: st
 
     ``extra_links`` (from_url, to_url): redirects known from elsewhere, such as a crawl log.
     NULL or scheme-less URLs have empty host and path, fit no rule and are allowed; NULL
-    html has no links. Repeated pages and ids each keep their row; other columns are not read.
+    html has no links; relative links follow the page's URL. Repeated pages and ids each keep their row; other columns are not read.
     """
     p = pages.select(F.col(id_col).alias("page_id"), F.col(url_col).alias("url"), F.col(html_col).alias("html"))
-    links = p.select("url", F.explode(link_targets(F.col("html"))).alias("to"))
+    links = p.select("url", F.explode(link_targets(F.col("html"), F.col("url"))).alias("to"))
     if extra_links is not None:
         links = links.union(extra_links.select(F.col("from_url"), F.col("to_url")))
     links = links.where((F.instr("url", "://") > 0) & (F.instr("to", "://") > 0))
