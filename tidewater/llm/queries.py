@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from tidewater.llm import chat_format as _chat
 from tidewater.llm import decontaminate as _decontaminate
+from tidewater.llm import fingerprints as _prints
 from tidewater.llm import language_id as _lang
 from tidewater.llm import ngram_join as _join
 from tidewater.llm import packing as _packing
@@ -63,10 +64,15 @@ def op10_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _tokens.token_counts(read(spark, sf_dir, "documents"), limit=4096)
 
 
+def op11_document_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _prints.edited_fingerprints(read(spark, sf_dir, "documents"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {f.__name__: f for f in (
         op1_quality_classifier, op2_quality_rules, op3_retrieval_packing, op4_chat_formatting, op5_decontamination,
-        op6_ngram_jaccard_join, op7_url_filters, op8_language_id, op9_suffix_dedup, op10_token_counts)}
+        op6_ngram_jaccard_join, op7_url_filters, op8_language_id, op9_suffix_dedup, op10_token_counts,
+        op11_document_fingerprints)}
 
 
 def oracle_sql() -> dict[str, str]:
