@@ -10,6 +10,7 @@ from tidewater.llm import chat_format as _chat
 from tidewater.llm import decontaminate as _decontaminate
 from tidewater.llm import fingerprints as _prints
 from tidewater.llm import language_id as _lang
+from tidewater.llm import merkle as _merkle
 from tidewater.llm import ngram_join as _join
 from tidewater.llm import packing as _packing
 from tidewater.llm import quality_classifier as _quality
@@ -68,13 +69,17 @@ def op11_document_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _prints.edited_fingerprints(read(spark, sf_dir, "documents"))
 
 
+def op12_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _merkle.document_proofs(read(spark, sf_dir, "documents"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {f.__name__: f for f in (
         op1_quality_classifier, op2_quality_rules, op3_retrieval_packing, op4_chat_formatting, op5_decontamination,
         op6_ngram_jaccard_join, op7_url_filters, op8_language_id, op9_suffix_dedup, op10_token_counts,
-        op11_document_fingerprints)}
+        op11_document_fingerprints, op12_merkle_manifest)}
 
 
 def oracle_sql() -> dict[str, str]:
     return {"op4_chat_formatting": _chat.oracle(), "op5_decontamination": _decontaminate.oracle(),
-            "op7_url_filters": _urls.oracle()}
+            "op7_url_filters": _urls.oracle(), "op12_merkle_manifest": _merkle.oracle()}
