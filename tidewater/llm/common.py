@@ -56,3 +56,15 @@ def held_out_bucket(doc_id: Column, buckets: int) -> Column:
 def bands_for(threshold: float, recall: float, rows: int) -> int:
     """Fewest bands of ``rows`` MinHash values that collide with probability ``recall`` at ``threshold``."""
     return math.ceil(math.log(1 - recall) / math.log(1 - threshold ** rows))
+
+
+def crc32_sql(name: str, texts: str) -> str:
+    """DuckDB CTEs (in a WITH RECURSIVE) ending in ``name`` (s, crc): CRC-32 of each ASCII text ``s`` of the relation ``texts``."""
+    return f"""
+{name}_steps(s, i, k, c) AS (   -- k-th bit of the i-th byte; 3988292384: fixed value, the reflected polynomial
+  SELECT s, 1, 0, CAST(4294967295 AS BIGINT) FROM {texts}
+  UNION ALL
+  SELECT s, CASE WHEN k = 7 THEN i + 1 ELSE i END, (k + 1) % 8, CASE WHEN c % 2 = 1 THEN xor(c // 2, 3988292384) ELSE c // 2 END
+  FROM (SELECT s, i, k, CASE WHEN k = 0 THEN xor(CAST(ascii(substr(s, i, 1)) AS BIGINT), c) ELSE c END AS c
+        FROM {name}_steps WHERE i <= length(s))),
+{name} AS (SELECT s, xor(c, 4294967295) AS crc FROM {name}_steps WHERE i > length(s))"""

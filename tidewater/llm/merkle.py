@@ -18,10 +18,10 @@ from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tidewater.llm.common import stored
+from tidewater.llm.common import crc32_sql, stored
 
 HEIGHT = 12     # levels above the leaves of a block: 4,096 leaves, 8,191 nodes of 32 bytes
 _SIZE = 32      # bytes of a digest
@@ -282,8 +282,6 @@ def oracle(table: str = "documents") -> str:
 
     def leaf(n_chars: str) -> str:
         return f"sha256({' || '.join(said(v) for v in ('doc_id', 'source', 'lang', n_chars, 'text'))})"
-    bit = "CASE WHEN c % 2 = 1 THEN xor(c // 2, 3988292384) ELSE c // 2 END"   # fixed value: the reflected CRC-32 polynomial
-    crc = "xor(CAST(ascii(substr(s, i, 1)) AS BIGINT), c)"
     tree = """
 {name}(g, lvl, idx, h) AS (
   SELECT g, 0, idx, h FROM {start}
@@ -291,16 +289,12 @@ def oracle(table: str = "documents") -> str:
   SELECT g, lvl + 1, idx // 2, sha256(string_agg(h, '' ORDER BY idx))
   FROM (SELECT *, count(*) OVER (PARTITION BY g) AS m FROM {name}) WHERE m > 1 GROUP BY g, lvl, idx // 2)"""
     return f"""
-WITH RECURSIVE crc(doc_id, s, i, k, c) AS (
-  SELECT doc_id, CAST(doc_id AS VARCHAR), 1, 0, CAST(4294967295 AS BIGINT) FROM (SELECT DISTINCT doc_id FROM {table} WHERE doc_id IS NOT NULL)
-  UNION ALL
-  SELECT doc_id, s, CASE WHEN k = 7 THEN i + 1 ELSE i END, (k + 1) % 8, {bit}
-  FROM (SELECT doc_id, s, i, k, CASE WHEN k = 0 THEN {crc} ELSE c END AS c FROM crc WHERE i <= length(s))),
-hit AS (SELECT doc_id FROM crc WHERE i > length(s) AND xor(c, 4294967295) % 7 = 0),
+WITH RECURSIVE ids AS (SELECT DISTINCT CAST(doc_id AS VARCHAR) AS s FROM {table} WHERE doc_id IS NOT NULL),{crc32_sql('crc', 'ids')},
+hit AS (SELECT s FROM crc WHERE crc % 7 = 0),
 leaves AS (
   SELECT *, row_number() OVER (PARTITION BY g ORDER BY doc_id NULLS FIRST, h) - 1 AS idx
   FROM (SELECT doc_id, coalesce('=' || lang, '') AS g, {leaf('n_chars')} AS h,
-               CASE WHEN doc_id IN (SELECT doc_id FROM hit) THEN {leaf('(n_chars::HUGEINT + 1)')} END AS tampered FROM {table})),
+               CASE WHEN CAST(doc_id AS VARCHAR) IN (SELECT s FROM hit) THEN {leaf('(n_chars::HUGEINT + 1)')} END AS tampered FROM {table})),
 {tree.format(name='low', start='leaves')},
 tops AS (SELECT '' AS g, g AS name, h, row_number() OVER (ORDER BY g) - 1 AS idx
          FROM (SELECT g, arg_max(h, lvl) AS h FROM low GROUP BY g)),

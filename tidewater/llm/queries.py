@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from tidewater.llm import chat_format as _chat
+from tidewater.llm import conversation_repair as _repair
 from tidewater.llm import decontaminate as _decontaminate
 from tidewater.llm import fingerprints as _prints
 from tidewater.llm import language_id as _lang
@@ -73,13 +74,18 @@ def op12_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _merkle.document_proofs(read(spark, sf_dir, "documents"))
 
 
+def op13_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _repair.Repair(_repair.damaged(read(spark, sf_dir, "conversations")), "copies").digests()
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {f.__name__: f for f in (
         op1_quality_classifier, op2_quality_rules, op3_retrieval_packing, op4_chat_formatting, op5_decontamination,
         op6_ngram_jaccard_join, op7_url_filters, op8_language_id, op9_suffix_dedup, op10_token_counts,
-        op11_document_fingerprints, op12_merkle_manifest)}
+        op11_document_fingerprints, op12_merkle_manifest, op13_conversation_repair)}
 
 
 def oracle_sql() -> dict[str, str]:
     return {"op4_chat_formatting": _chat.oracle(), "op5_decontamination": _decontaminate.oracle(),
-            "op7_url_filters": _urls.oracle(), "op12_merkle_manifest": _merkle.oracle()}
+            "op7_url_filters": _urls.oracle(), "op12_merkle_manifest": _merkle.oracle(),
+            "op13_conversation_repair": _repair.oracle()}
