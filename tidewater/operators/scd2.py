@@ -123,6 +123,73 @@ def scd2_merge(dim: DataFrame | None, staging: DataFrame, keys: list[str], track
     return history.unionByName(merged)
 
 
+def scd2_from_snapshots(snapshots: DataFrame, keys: list[str], tracked: list[str], dim: DataFrame | None = None,
+                        as_of: str = "as_of", run_ts: str = "run_ts", job_id: str = "job_id",
+                        key_col: str = "restaurant_key", nullable: list[str] = ()) -> DataFrame:
+    """The dimension after merging many dated snapshots, in one pass over all of them.
+
+    ``snapshots`` holds the rows of every snapshot with the columns ``as_of``, ``run_ts`` and
+    ``job_id`` of the merge that would load it; each snapshot has a business key at most once.
+    The result is that of :func:`scd2_merge` over the snapshots one after the other (by as_of, then
+    run_ts), starting from ``dim``: a key that is missing from a snapshot stays current, one that
+    comes back with the same values does not change, and rows with a NULL in a part of the key
+    that is not ``nullable`` match nothing.
+
+    Gaps and islands: a key's rows are put in order, those that differ from the one before start
+    a version, which ends as the next one starts. That is one shuffle of the rows, and a key has
+    no more of them than there are snapshots. Version keys chain from one version to the next.
+    """
+    nullable = list(nullable)
+    values = [c for c in snapshots.columns if c not in (as_of, run_ts, job_id)]
+    seen = [f"_bk{i}" for i in range(len(keys))]
+    loose = reduce(lambda a, b: a | b, [k.isNull() for k in business_key(keys, nullable)])
+    none = F.lit(None)
+    rows = snapshots.select(
+        *[F.col(c) for c in values], *[k.alias(n) for k, n in zip(business_key(keys, nullable), seen)],
+        # a row that matches nothing is a key of its own in each snapshot
+        F.when(loose, F.struct(F.col(as_of).cast("date").alias("day"), F.col(run_ts).cast("timestamp").alias("ts"),
+                               F.xxhash64(*[f"`{c}`" for c in values]).alias("row"))).alias("_own"),
+        F.lit(False).alias("_loaded"), F.col(as_of).cast("date").alias("_day"), F.col(run_ts).cast("timestamp").alias("_ts"),
+        F.col(job_id).cast("string").alias("_job"), none.cast("string").alias("_key"), none.cast("timestamp").alias("_created"),
+        none.cast("timestamp").alias("_updated"))
+    if dim is not None:
+        live = dim.where("is_current").withColumn("_loose", loose)
+        rows = rows.unionByName(live.where(~F.col("_loose")).select(
+            *values, *[k.alias(n) for k, n in zip(business_key(keys, nullable), seen)], none.cast(rows.schema["_own"].dataType).alias("_own"),
+            F.lit(True).alias("_loaded"), F.col("effective_start_date").alias("_day"), none.cast("timestamp").alias("_ts"),
+            F.col("etl_job_id").alias("_job"), F.col(key_col).alias("_key"), F.col("created_at").alias("_created"), F.col("updated_at").alias("_updated")))
+    group = [*seen, "_own"]
+    # the loaded version comes first whatever its dates are
+    order = Window.partitionBy(*group).orderBy(F.desc("_loaded"), "_day", "_ts")
+
+    def plain(c: str) -> Column:
+        return F.coalesce(F.col(c), F.lit(""))
+    changed = reduce(lambda a, b: a | b, [plain(t) != F.lag(plain(t)).over(order) for t in tracked])
+    starts = (rows.withColumn("_new", F.coalesce(changed, F.lit(True))).where("_new")
+              .withColumns({"_end": F.lead("_day").over(order), "_closed": F.lead("_ts").over(order),
+                            "_n": F.row_number().over(order)}))
+    version = F.struct("_n", *values, *seen, "_loaded", "_day", "_ts", "_job", "_key", "_created", "_updated", "_end", "_closed")
+    chains = starts.groupBy(*group).agg(F.sort_array(F.collect_list(version)).alias("_v"))
+
+    def next_key(done: Column, v: Column) -> Column:
+        made = hash_key([*[v[n] for n in seen], *[v[t] for t in tracked], v["_day"], v["_job"], F.get(done, F.size(done) - 1)])
+        return F.concat(done, F.array(F.when(v["_loaded"], v["_key"]).otherwise(made)))
+    # a key's versions are few (no more than snapshots), so the keys are chained in its row
+    keyed = chains.select("_v", F.aggregate("_v", F.array().cast("array<string>"), next_key).alias("_keys"))
+    v = F.col("_x._v")
+    current = v["_end"].isNull()
+    out = keyed.select(F.explode(F.arrays_zip("_v", "_keys")).alias("_x")).select(
+        *[v[c].alias(c) for c in values], F.col("_x._keys").alias(key_col),
+        v["_day"].alias("effective_start_date"), F.coalesce(v["_end"], end_of_time()).alias("effective_end_date"), current.alias("is_current"),
+        F.when(v["_loaded"], v["_created"]).otherwise(v["_ts"]).alias("created_at"),
+        F.coalesce(v["_closed"], F.when(v["_loaded"], v["_updated"]).otherwise(v["_ts"])).alias("updated_at"), v["_job"].alias("etl_job_id"))
+    if dim is None:
+        return out
+    types = {f.name: f.dataType for f in dim.schema.fields}
+    out = out.select(*[F.col(c).cast(types[c]).alias(c) for c in dim.columns])
+    return dim.where(~F.col("is_current")).unionByName(live.where("_loose").drop("_loose")).unionByName(out)
+
+
 # ---- validation queries over a type-2 dimension ----------------------------------------
 
 def scd2_state(dim: DataFrame) -> DataFrame:

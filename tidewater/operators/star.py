@@ -22,6 +22,7 @@ from pyspark.sql import functions as F
 from tidewater.config import DEFAULT_JOB_ID
 from tidewater.functions.dates import date_key
 from tidewater.functions.keys import hash_key
+from tidewater.operators.asof import as_of_lookup
 from tidewater.operators.columns import add_gold_lineage
 from tidewater.operators.dims import assert_unique, location_key_cols
 
@@ -38,25 +39,36 @@ def inspection_key() -> F.Column:
     return hash_key(["source_city", "inspection_id"])
 
 
+def _with_current(inspections: DataFrame, dim_restaurant: DataFrame, validate: bool) -> DataFrame:
+    cur = dim_restaurant.filter(F.col("is_current")).select(
+        F.col("restaurant_name").alias("_r_name"), F.col("source_city").alias("_r_city"),
+        F.coalesce(F.col("license_number"), F.lit("")).alias("_r_lic"), "restaurant_key")
+    if validate:
+        assert_unique(cur, ["_r_name", "_r_city", "_r_lic"], "current dim_restaurant")
+    f = inspections.withColumn("_lic", F.coalesce(F.col("license_number"), F.lit("")))
+    return f.join(cur, (f["restaurant_name"] == cur["_r_name"]) & (f["source_city"] == cur["_r_city"])
+                  & (f["_lic"] == cur["_r_lic"]), "left")
+
+
+def _with_versions(inspections: DataFrame, dim_restaurant: DataFrame) -> DataFrame:
+    same = [F.col("restaurant_name"), F.col("source_city"), F.coalesce(F.col("license_number"), F.lit(""))]
+    return as_of_lookup(inspections, dim_restaurant, [(c, c) for c in same], "inspection_date", ["restaurant_key"], backdate=True)
+
+
 def load_fact(inspections: DataFrame, dim_restaurant: DataFrame, dim_location: DataFrame | None = None,
               dim_type: DataFrame | None = None, lookup: str = "join", validate: bool = False,
               job_id: str = DEFAULT_JOB_ID, run_ts: dt.datetime | None = None,
-              lineage: bool = False) -> DataFrame:
+              lineage: bool = False, as_of_date: bool = False) -> DataFrame:
     """One fact row per inspection.
 
     ``inspections`` columns: inspection_id, restaurant_name, license_number, source_city,
     address, city, state, zip, inspection_type, inspection_date, inspection_result,
     inspection_score. ``dim_restaurant`` is filtered to current rows here (pushed into
-    the Parquet scan). Restaurant match: name, source_city, COALESCE(license,'').
+    the Parquet scan). Restaurant match: name, source_city, COALESCE(license,''). With
+    ``as_of_date`` an inspection gets the version of its own date instead; inspections from
+    before a restaurant's first version get that one.
     """
-    cur = dim_restaurant.filter(F.col("is_current")).select(
-        F.col("restaurant_name").alias("_r_name"), F.col("source_city").alias("_r_city"),
-        F.coalesce(F.col("license_number"), F.lit("")).alias("_r_lic"), "restaurant_key")
-    if validate:
-        assert_unique(cur, ["_r_name", "_r_city", "_r_lic"], "current dim_restaurant")
-    f = inspections.withColumn("_lic", F.coalesce(F.col("license_number"), F.lit("")))
-    f = f.join(cur, (f["restaurant_name"] == cur["_r_name"]) & (f["source_city"] == cur["_r_city"])
-               & (f["_lic"] == cur["_r_lic"]), "left")
+    f = _with_versions(inspections, dim_restaurant) if as_of_date else _with_current(inspections, dim_restaurant, validate)
 
     if lookup == "hash":
         f = f.withColumns({

@@ -7,6 +7,8 @@ driver's views (region nation customer supplier part orders lineitem ...).
 
 from __future__ import annotations
 
+import datetime as dt
+
 from tidewater.plans import standin as S
 
 
@@ -133,6 +135,36 @@ SCD2 = (staging_sql("stg1", f"inspection_date < {_d(S.SCD2_CUTOFF)}") + "," + st
         + initial_sql("dim1", "stg1", S.SCD2_AS_OF_1, S.SCD2_JOB_1) + ","
         + merge_sql("dim2", "dim1", "stg2", S.SCD2_AS_OF_2, S.SCD2_JOB_2))
 
+def _snapshot_dims() -> tuple[str, str]:
+    """CTEs that merge the yearly snapshots one after the other, and the name of the last dimension."""
+    parts, before = [], None
+    for y in S.SNAPSHOT_YEARS:
+        as_of, name = dt.date(y + 1, 1, 1), f"snapdim{y}"
+        parts.append(staging_sql(f"snap{y}", f"year(inspection_date) = {y}"))
+        parts.append(initial_sql(name, f"snap{y}", as_of, f"year-{y}") if before is None else
+                     merge_sql(name, before, f"snap{y}", as_of, f"year-{y}"))
+        before = name
+    return ",".join(parts), before
+
+
+SNAPSHOT_DIMS, SNAPSHOT_LAST = _snapshot_dims()
+
+
+def as_of_sql(name: str, dim: str) -> str:
+    """Facts with the version of their date; before a business's first version, that one."""
+    key = "i.restaurant_name = r.restaurant_name AND i.source_city = r.source_city AND coalesce(i.license_number, '') = coalesce(r.license_number, '')"
+    return f"""
+{name}_first AS (SELECT *, row_number() OVER (PARTITION BY restaurant_name, source_city, coalesce(license_number, '')
+                        ORDER BY effective_start_date, effective_end_date) AS rn
+                 FROM {dim} WHERE is_current OR effective_start_date < effective_end_date),
+{name} AS (
+  SELECT i.inspection_id, i.source_city, i.inspection_date, i.inspection_result,
+         {HK(['i.source_city', 'i.inspection_id'])} AS inspection_key, r.restaurant_key, r.facility_type, r.risk_category
+  FROM insp i LEFT JOIN {name}_first r ON {key}
+   AND (i.inspection_date >= r.effective_start_date OR r.rn = 1)
+   AND (i.inspection_date < r.effective_end_date OR r.is_current))"""
+
+
 DATE_KEY = "CAST(year({d}) * 10000 + month({d}) * 100 + day({d}) AS INTEGER)"
 
 STAR = f"""

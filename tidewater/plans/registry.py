@@ -25,6 +25,7 @@ from tidewater.operators import quality as Q
 from tidewater.operators import reports as R
 from tidewater.operators import scd2 as SCD
 from tidewater.operators import star as ST
+from tidewater.operators.asof import as_of_lookup
 from tidewater.operators.reshape import split_explode
 from tidewater.plans import oracle as O
 from tidewater.plans import silver as V
@@ -75,6 +76,11 @@ class Model:
         return stored(SCD.scd2_merge(self.dim1, self.stg2, S.RESTAURANT_KEYS, S.TRACKED, S.SCD2_AS_OF_2, S.SCD2_RUN_TS_2,
                                      S.SCD2_JOB_2, nullable=S.RESTAURANT_NULLABLE, validate=False), "dim-restaurant")
 
+    @cached_property
+    def dim_years(self):
+        return stored(SCD.scd2_from_snapshots(S.yearly_snapshots(self.insp), S.RESTAURANT_KEYS, S.TRACKED,
+                                              nullable=S.RESTAURANT_NULLABLE), "dim-years")
+
     @cached_property
     def loc(self):
         return D.dim_location(self.insp)
@@ -714,6 +720,35 @@ def scd2_no_change(spark, d):
     return SCD.scd2_compare_totals(m.dim2, again)
 
 
+@query("scd2_from_snapshots", "WITH " + O.SILVER + "," + O.SNAPSHOT_DIMS + f"\nSELECT {', '.join(DIM_OUT)} FROM {O.SNAPSHOT_LAST}")
+def scd2_from_snapshots(spark, d):
+    """Seven yearly snapshots in one pass; the SQL merges them one after the other."""
+    return Model(spark, d).dim_years.select(*DIM_OUT)
+
+
+@query("fact_as_of", "WITH " + O.SILVER + "," + O.SNAPSHOT_DIMS + "," + O.as_of_sql("dated", O.SNAPSHOT_LAST) + """
+SELECT inspection_key, restaurant_key, facility_type, risk_category, inspection_result FROM dated""")
+def fact_as_of(spark, d):
+    """Each inspection with the restaurant version of its own date, and what that version said."""
+    m = Model(spark, d)
+    same = [F.col("restaurant_name"), F.col("source_city"), F.coalesce(F.col("license_number"), F.lit(""))]
+    insp = m.insp.drop("facility_type", "risk_category")
+    out = as_of_lookup(insp, m.dim_years, [(c, c) for c in same], "inspection_date",
+                       ["restaurant_key", "facility_type", "risk_category"], backdate=True)
+    return out.select(ST.inspection_key().alias("inspection_key"), "restaurant_key", "facility_type", "risk_category", "inspection_result")
+
+
+@query("fact_load_as_of", "WITH " + O.SILVER + "," + O.SNAPSHOT_DIMS + "," + O.as_of_sql("dated", O.SNAPSHOT_LAST) + """
+SELECT source_city, year(inspection_date) AS year, count(*) AS inspections, count(DISTINCT restaurant_key) AS versions
+FROM dated GROUP BY source_city, year(inspection_date)""")
+def fact_load_as_of(spark, d):
+    """The fact load with versions of the inspections' dates: how many versions each year's inspections point at."""
+    m = Model(spark, d)
+    fact = ST.load_fact(m.insp, m.dim_years, lookup="hash", as_of_date=True)
+    return (fact.groupBy("source_city", F.expr("date_key div 10000").cast("bigint").alias("year"))
+            .agg(F.count("*").alias("inspections"), F.count_distinct("restaurant_key").alias("versions")))
+
+
 @query("scd2_state", O.ALL + "SELECT is_current, count(*) AS row_count FROM dim2 GROUP BY is_current")
 def scd2_state(spark, d):
     return SCD.scd2_state(Model(spark, d).dim2)

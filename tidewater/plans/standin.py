@@ -39,6 +39,8 @@ SCD2_RUN_TS_1 = dt.datetime(1998, 1, 1, 6, 0, 0)
 SCD2_RUN_TS_2 = dt.datetime(2001, 12, 1, 6, 0, 0)
 SCD2_JOB_1 = "load-1"
 SCD2_JOB_2 = "load-2"
+SNAPSHOT_RUN_TS = dt.datetime(2001, 12, 1, 6, 0, 0)   # plus one hour for each year's snapshot
+SNAPSHOT_YEARS = range(1992, 1999)         # one snapshot of each year's inspections, as of the 1st of January after it
 RESTAURANT_KEYS = ["restaurant_name", "source_city", "license_number"]
 RESTAURANT_NULLABLE = ["license_number"]
 TRACKED = ["facility_type", "risk_category", "aka_name"]
@@ -147,6 +149,18 @@ def staging_restaurants(insp: DataFrame) -> DataFrame:
     return latest.select(*STAGING_COLS)
 
 
+def yearly_snapshots(insp: DataFrame) -> DataFrame:
+    """A staging snapshot of each year: its businesses with their latest values; those without an inspection are missing."""
+    year = F.year("inspection_date")
+    named = insp.withColumn("license_number", F.when(F.col("license_number") != "", F.col("license_number"))).withColumn("y", year)
+    latest = latest_per_key(named.select(*STAGING_COLS, "y", "inspection_date", "inspection_id"),
+                            [*RESTAURANT_KEYS, "y"], ["inspection_date", "inspection_id"])
+    return latest.where(F.col("y").between(SNAPSHOT_YEARS[0], SNAPSHOT_YEARS[-1])).select(
+        *STAGING_COLS, F.make_date(F.col("y") + 1, F.lit(1), F.lit(1)).alias("as_of"),
+        (F.lit(SNAPSHOT_RUN_TS) + F.make_interval(hours=F.col("y") - SNAPSHOT_YEARS[0])).cast("timestamp").alias("run_ts"),
+        F.concat(F.lit("year-"), F.col("y")).alias("job_id"))
+
+
 # ---- raw (bronze-like) string frames with deterministic dirt ---------------------------
 
 def raw_north(spark: SparkSession, d: str) -> DataFrame:
