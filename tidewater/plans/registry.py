@@ -17,6 +17,7 @@ from tidewater.config import SourceMapping
 from tidewater.functions import (clean_name, delimited_parts, durability_key, latitude_from,
                                  longitude_from, parse_date, result_from_score, safe_cast, score_from_result,
                                  trim_spaces, upper_trim, zip_first5, zip_pad)
+from tidewater.operators import checks as K
 from tidewater.operators import cleanse as CL
 from tidewater.operators import columns as C
 from tidewater.operators import dims as D
@@ -446,6 +447,74 @@ def dq_summary(spark, d):
     return Q.dq_summary(Model(spark, d).north_clean, V.north_checks())
 
 
+_SPLIT_CHECKS = [   # as a user's metadata gives them
+    {"name": "id_not_null", "criticality": "error", "check": {"function": "is_not_null", "arguments": {"column": "Inspection_ID"}}},
+    {"name": "name_filled", "criticality": "error", "check": {"function": "is_not_null_and_not_empty", "arguments": {"column": "DBA_Name"}}},
+    {"name": "date_not_null", "criticality": "error", "check": {"function": "is_not_null", "arguments": {"column": "Inspection_Date"}}},
+    {"name": "result_known", "criticality": "error", "check": {"function": "is_in_list", "arguments": {"column": "Results", "allowed": ["Pass", "Fail"]}}, "filter": "Facility_Type <> 'BUILDING'"},
+    {"name": "zip_form", "criticality": "warn", "check": {"function": "regex_match", "arguments": {"column": "Zip", "regex": "^[0-9]{5}$"}}},
+    {"name": "north_enough", "criticality": "warn", "check": {"function": "is_not_less_than", "arguments": {"column": "Latitude", "limit": 41.05}}}]
+_SPLIT_SQL = O.RAW + """SELECT *, list_filter([CASE WHEN Inspection_ID IS NULL THEN 'id_not_null' END,
+    CASE WHEN DBA_Name IS NULL OR DBA_Name = '' THEN 'name_filled' END, CASE WHEN Inspection_Date IS NULL THEN 'date_not_null' END,
+    CASE WHEN Facility_Type <> 'BUILDING' AND Results NOT IN ('Pass', 'Fail') THEN 'result_known' END], lambda x: x IS NOT NULL) AS errs,
+  list_filter([CASE WHEN NOT regexp_matches(Zip, '^[0-9]{5}$') THEN 'zip_form' END,
+    CASE WHEN Latitude < 41.05 THEN 'north_enough' END], lambda x: x IS NOT NULL) AS warns FROM north_clean"""
+
+
+@query("dq_metadata_valid", f"SELECT Inspection_ID, DBA_Name, Results, Zip, Latitude FROM ({_SPLIT_SQL}) WHERE len(errs) = 0")
+def dq_metadata_valid(spark, d):
+    valid, _ = K.split_by_metadata(Model(spark, d).north_clean, _SPLIT_CHECKS)
+    return valid.select("Inspection_ID", "DBA_Name", "Results", "Zip", "Latitude")
+
+
+@query("dq_metadata_quarantine", f"""SELECT Inspection_ID, array_to_string(errs, ',') AS errors, array_to_string(warns, ',') AS warnings
+  FROM ({_SPLIT_SQL}) WHERE len(errs) > 0 OR len(warns) > 0""")
+def dq_metadata_quarantine(spark, d):
+    _, quarantine = K.split_by_metadata(Model(spark, d).north_clean, _SPLIT_CHECKS)
+    return quarantine.select("Inspection_ID", F.array_join("_errors", ",").alias("errors"), F.array_join("_warnings", ",").alias("warnings"))
+
+
+@query("dq_unique", """
+WITH n AS (SELECT *, count(*) OVER (PARTITION BY l_orderkey, l_suppkey) AS pair, count(*) OVER (PARTITION BY l_orderkey, l_linenumber) AS line,
+                  count(*) FILTER (WHERE l_returnflag = 'R') OVER (PARTITION BY l_shipdate, l_partkey % 100) AS day,
+                  sum(l_quantity) OVER (PARTITION BY l_orderkey) AS total FROM lineitem)
+SELECT l_orderkey, l_linenumber, array_to_string(list_filter([CASE WHEN pair > 1 THEN 'pair_once' END, CASE WHEN line > 1 THEN 'line_once' END],
+         lambda x: x IS NOT NULL), ',') AS errors,
+       array_to_string(list_filter([CASE WHEN day > 1 AND l_returnflag = 'R' THEN 'return_once' END, CASE WHEN total > 250 THEN 'order_size' END],
+         lambda x: x IS NOT NULL), ',') AS warnings
+FROM n WHERE pair > 1 OR line > 1 OR (day > 1 AND l_returnflag = 'R') OR total > 250""")
+def dq_unique(spark, d):
+    """Unique keys of three grains and a bound on each order's quantity, over all line items."""
+    items = S.table(spark, d, "lineitem").withColumn("part_group", F.col("l_partkey") % 100)
+    _, bad = K.split_by_metadata(items, [
+        {"name": "pair_once", "criticality": "error", "check": {"function": "is_unique", "arguments": {"columns": ["l_orderkey", "l_suppkey"]}}},
+        {"name": "line_once", "criticality": "error", "check": {"function": "is_unique", "arguments": {"columns": ["l_orderkey", "l_linenumber"]}}},
+        {"name": "return_once", "criticality": "warn", "filter": "l_returnflag = 'R'",
+         "check": {"function": "is_unique", "arguments": {"columns": ["l_shipdate", "part_group"]}}},
+        {"name": "order_size", "criticality": "warn", "check": {"function": "is_aggr_not_greater_than", "arguments": {
+            "column": "l_quantity", "limit": 250, "aggr_type": "sum", "group_by": ["l_orderkey"]}}}])
+    return bad.select("l_orderkey", "l_linenumber", F.array_join("_errors", ",").alias("errors"), F.array_join("_warnings", ",").alias("warnings"))
+
+
+@query("dq_foreign_key", """
+WITH served AS (SELECT c_custkey FROM customer WHERE c_mktsegment <> 'BUILDING'),
+n AS (SELECT *, count(*) OVER (PARTITION BY o_custkey) AS orders, count(*) OVER () AS total FROM orders)
+SELECT o_orderkey, array_to_string(list_filter([CASE WHEN o_custkey NOT IN (SELECT c_custkey FROM served) THEN 'customer_known' END,
+         CASE WHEN total < 1000000000 THEN 'enough_rows' END], lambda x: x IS NOT NULL), ',') AS errors,
+       array_to_string(list_filter([CASE WHEN orders < 10 THEN 'busy' END], lambda x: x IS NOT NULL), ',') AS warnings
+FROM n""")
+def dq_foreign_key(spark, d):
+    """Orders against the customers of four segments, on one grain with a bound on a customer's orders, and one on all rows."""
+    served = S.table(spark, d, "customer").where("c_mktsegment <> 'BUILDING'")
+    marked = K.annotate(S.table(spark, d, "orders"), [
+        {"name": "customer_known", "criticality": "error", "check": {"function": "foreign_key", "arguments": {
+            "columns": ["o_custkey"], "ref_columns": ["c_custkey"], "ref_df_name": "served"}}},
+        {"name": "enough_rows", "criticality": "error", "check": {"function": "is_aggr_not_less_than", "arguments": {"column": "*", "limit": 10 ** 9}}},
+        {"name": "busy", "criticality": "warn", "check": {"function": "is_aggr_not_less_than", "arguments": {
+            "column": "o_orderkey", "limit": 10, "group_by": ["o_custkey"]}}}], {"served": served})
+    return marked.select("o_orderkey", F.array_join("_errors", ",").alias("errors"), F.array_join("_warnings", ",").alias("warnings"))
+
+
 @query("violation_flags", O.RAW + """SELECT
   (SELECT count_if(NOT (Violations IS NOT NULL AND Violations <> '')) FROM north_clean) AS north_no_violation,
   (SELECT CAST(count_if(NOT (Violations IS NOT NULL AND Violations <> '')) AS DOUBLE) * 100 / count(*)
