@@ -142,3 +142,52 @@ def test_fact_takes_the_version_of_its_date(spark):
     fact = ST.load_fact(insp, dim, lookup="hash", as_of_date=True)
     assert {r["inspection_id"]: names.get(r["restaurant_key"]) for r in fact.collect()} == {
         "0": "Bar", "1": "Bar", "2": "Cafe", "3": "Cafe", "4": None, "5": None}
+
+
+def merged(spark, base, as_of, rows):
+    from tidewater.sources.tables import read_history
+    return S.scd2_merge(read_history(spark, base, current_only=True), spark.createDataFrame(rows, SCHEMA), KEYS, TRACKED, as_of,
+                        dt.datetime(2024, 1, 1), "j", nullable=["license_number"])
+
+
+def test_append_only_history(spark, tmp_path, monkeypatch):
+    from tidewater import sinks
+    from tidewater.sources.tables import HISTORY, current_version, history_log, read_history, read_table
+    base = str(tmp_path / "dim")
+    assert read_history(spark, base) is None
+    batches = [[("A", None, "1", "Bar", None, "C"), ("B", None, None, "Bar", None, "C")], [("A", None, "1", "Cafe", None, "C")],
+               [("A", None, "1", "Cafe", "", "C")], [("A", None, "1", "Bar", None, "C"), ("B", "b", "", "Bar", None, "C")]]
+    want = None
+    for i, rows in enumerate(batches):
+        want = S.scd2_merge(want, spark.createDataFrame(rows, SCHEMA), KEYS, TRACKED, day(i), dt.datetime(2024, 1, 1), "j", nullable=["license_number"])
+        before = history_log(spark, base).collect() if i else []
+        assert sinks.write_history(spark, merged(spark, base, day(i), rows), base) == i + 1
+        got = read_history(spark, base)
+        assert got.columns == want.columns and told(got, want.columns) == told(want, want.columns)
+        assert set(before) < set(history_log(spark, base).collect())
+    assert sorted((r["version"], r["current_rows"], r["closed_rows"]) for r in history_log(spark, base).collect()) == [(1, 2, 0), (2, 2, 1), (3, 2, 0), (4, 2, 2)]
+    assert told(read_table(spark, HISTORY + base), want.columns) == told(want, want.columns)
+    assert told(read_history(spark, base, version=2), want.columns) == told(folded(spark, [(day(i), dt.datetime(2024, 1, 1), "j", batches[i]) for i in (0, 1)]), want.columns)
+    with pytest.raises(ValueError, match="no version 9"):
+        read_history(spark, base, version=9)
+
+    def crash(*_):
+        raise RuntimeError("lost the driver")
+    with monkeypatch.context() as m:   # between the data and the log entry
+        m.setattr(sinks, "_commit", crash)
+        with pytest.raises(RuntimeError):
+            sinks.write_history(spark, merged(spark, base, day(9), batches[1]), base)
+    assert current_version(spark, base) == 4 and told(read_history(spark, base), want.columns) == told(want, want.columns)
+    assert sinks.write_history(spark, merged(spark, base, day(9), batches[1]), base) == 5
+    assert [r["closed_rows"] for r in history_log(spark, base).where("version = 5").collect()] == [1]
+
+
+def test_append_only_history_of_nothing(spark, tmp_path):
+    from tidewater import sinks
+    from tidewater.sources.tables import read_history
+    base = str(tmp_path / "dim")
+    for _ in range(2):
+        sinks.write_history(spark, merged(spark, base, day(0), []), base)
+    assert read_history(spark, base).collect() == []
+    sinks.write_history(spark, merged(spark, base, day(1), [("A", None, "1", "Bar", None, "C")]), base)
+    assert read_history(spark, base).count() == 1

@@ -26,9 +26,9 @@ from tidewater.operators import scd2 as SCD
 from tidewater.operators import star as ST
 from tidewater.plans import silver as V
 from tidewater.plans import standin as S
-from tidewater.sinks import write_snapshot, write_table, write_version
+from tidewater.sinks import write_history, write_snapshot, write_table
 from tidewater.sources.csv import read_csv
-from tidewater.sources.tables import read_current, version_path
+from tidewater.sources.tables import HISTORY, read_history, read_table
 
 INSPECTION_SCHEMA = [
     ("inspection_id", StringType()), ("restaurant_name", StringType()), ("aka_name", StringType()),
@@ -137,12 +137,13 @@ def gold(spark: SparkSession, cfg: RunConfig) -> dict[str, str]:
         # SCD2 restaurant dimension: new version from the previous one
         out = {}
         staging = spark.read.parquet(write_table(S.staging_restaurants(insp), f"{g}/staging_restaurant"))
-        prev = read_current(spark, f"{g}/dim_restaurant")
+        # only current rows are merged and written; versions closed by earlier runs stay where they are
+        prev = read_history(spark, f"{g}/dim_restaurant", current_only=True)
         nxt = SCD.scd2_merge(prev, staging, S.RESTAURANT_KEYS, S.TRACKED, cfg.as_of, cfg.run_ts, cfg.job_id,
                              nullable=S.RESTAURANT_NULLABLE, validate=True)
-        v = write_version(spark, nxt, f"{g}/dim_restaurant")
-        out["dim_restaurant"] = version_path(spark, f"{g}/dim_restaurant", v)
-        dim_r = spark.read.parquet(out["dim_restaurant"])
+        write_history(spark, nxt, f"{g}/dim_restaurant")
+        out["dim_restaurant"] = f"{HISTORY}{g}/dim_restaurant"
+        dim_r = read_history(spark, f"{g}/dim_restaurant", current_only=True)
         # location/type/violation keys are pure functions of their natural keys (the dims
         # are built from the same silver rows), so the fact and bridge compute them in
         # place instead of joining; only the SCD2 version key needs a lookup.
@@ -172,7 +173,7 @@ def extracts(spark: SparkSession, cfg: RunConfig, gold_paths: dict[str, str]) ->
     bounded summaries (results by year, risk x facility, top violations) as small CSVs."""
     from tidewater.operators import reports as R
     from tidewater.sinks import write_csv_extract
-    rd = lambda k: spark.read.parquet(gold_paths[k])
+    rd = lambda k: read_table(spark, gold_paths[k])
     fact, dim_r = rd("fact_inspection"), rd("dim_restaurant")
     out_base = f"{cfg.base_path}/extracts"
     out = {"fact_inspections_denormalized": write_table(
@@ -191,14 +192,14 @@ def register_views(spark: SparkSession, paths: dict[str, str]) -> list[str]:
     """Expose every written table as a temp view named like the table (``dim_restaurant``
     is its current version), so existing SQL (e.g. SCD2 validation queries) runs as is."""
     from tidewater.sinks import register_view
-    return [register_view(spark.read.parquet(p), name) for name, p in paths.items()]
+    return [register_view(read_table(spark, p), name) for name, p in paths.items()]
 
 
 def row_counts(spark: SparkSession, paths: dict[str, str]) -> DataFrame:
     """UNION ALL of one-row counts over written tables (layer report)."""
     out = None
     for name, p in paths.items():
-        one = spark.read.parquet(p).agg(F.count(F.lit(1)).alias("row_count")).select(
+        one = read_table(spark, p).agg(F.count(F.lit(1)).alias("row_count")).select(
             F.lit(name).alias("table_name"), "row_count")
         out = one if out is None else out.unionByName(one)
     return out

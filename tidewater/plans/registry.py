@@ -818,6 +818,34 @@ def fact_load_as_of(spark, d):
             .agg(F.count("*").alias("inspections"), F.count_distinct("restaurant_key").alias("versions")))
 
 
+def _three_merges(spark, d) -> str:
+    """The two batches merged into a type-2 table with append-only history, then the second one once more; its path."""
+    from tidewater.sinks import write_history
+    from tidewater.sources.tables import read_history
+    m, base = Model(spark, d), _fresh(spark, "history")
+    for stg, as_of, ts, job in ((m.stg1, S.SCD2_AS_OF_1, S.SCD2_RUN_TS_1, S.SCD2_JOB_1), (m.stg2, S.SCD2_AS_OF_2, S.SCD2_RUN_TS_2, S.SCD2_JOB_2),
+                                (m.stg2, S.SCD2_AS_OF_2, S.SCD2_RUN_TS_2, "load-3")):
+        write_history(spark, SCD.scd2_merge(read_history(spark, base, current_only=True), stg, S.RESTAURANT_KEYS, S.TRACKED, as_of, ts, job,
+                                            nullable=S.RESTAURANT_NULLABLE, validate=False), base)
+    return base
+
+
+@query("scd2_append_only", O.ALL + f"SELECT {', '.join(DIM_OUT)} FROM dim2")
+def scd2_append_only(spark, d):
+    """The type-2 table as its append-only folders give it after three merges."""
+    from tidewater.sources.tables import read_history
+    return read_history(spark, _three_merges(spark, d)).select(*DIM_OUT)
+
+
+@query("scd2_rows_written", O.ALL + """SELECT 1 AS version, count(*) AS current_rows, 0 AS closed_rows FROM dim1
+UNION ALL SELECT 2, count_if(is_current), count_if(NOT is_current) FROM dim2
+UNION ALL SELECT 3, count_if(is_current), 0 FROM dim2""")
+def scd2_rows_written(spark, d):
+    """What each merge wrote: a merge without changes closes nothing and writes no closed row."""
+    from tidewater.sources.tables import history_log
+    return history_log(spark, _three_merges(spark, d)).select("version", "current_rows", "closed_rows")
+
+
 @query("scd2_state", O.ALL + "SELECT is_current, count(*) AS row_count FROM dim2 GROUP BY is_current")
 def scd2_state(spark, d):
     return SCD.scd2_state(Model(spark, d).dim2)

@@ -5,7 +5,7 @@ from __future__ import annotations
 import datetime as dt
 import uuid
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from tidewater.sources.tables import POINTER, current_version
@@ -70,12 +70,35 @@ def write_version(spark: SparkSession, df: DataFrame, base: str) -> int:
     # never mixed with new files, nor is a version that another writer commits meanwhile
     folder = f"v={v}-{uuid.uuid4().hex[:12]}"
     df.write.mode("errorifexists").parquet(f"{base}/{folder}")
-    # one JVM-generated row (no Python-side data): the commit record
-    spark.range(1).select(F.lit(f"{v}\t{folder}").alias("value")) \
-        .write.mode("append").text(f"{base}/{POINTER}")
+    _commit(spark, base, f"{v}\t{folder}")
+    return v
+
+
+def write_history(spark: SparkSession, merged: DataFrame, base: str) -> int:
+    """Commit the outcome of a merge of a type-2 table's *current* rows; the new version's number.
+
+    ``merged`` holds the next current rows and the versions that this merge closed. Both are written by one
+    job into one new folder, apart by ``is_current``, and one log entry names it. Versions closed
+    before are neither read nor written: they stay in the folders of the merges that closed them, so
+    the history only grows. A crash before the log entry leaves the version before current.
+    """
+    base = base.rstrip("/")
+    v = (current_version(spark, base) or 0) + 1
+    folder = f"v={v}-{uuid.uuid4().hex[:12]}"
+    live, closed = F.count_if(F.col("is_current")), F.count_if(~F.col("is_current"))
+    counts = Observation()
+    (merged.observe(counts, live.alias("live"), closed.alias("closed"))
+     .write.mode("errorifexists").partitionBy("is_current").parquet(f"{base}/{folder}"))
+    entry = "\t".join([str(v), folder, str(counts.get["live"]), str(counts.get["closed"]), merged.schema.json()])
+    _commit(spark, base, entry)
     return v
 
 
+def _commit(spark: SparkSession, base: str, entry: str) -> None:
+    # one JVM-generated row (no Python-side data): the commit record
+    spark.range(1).select(F.lit(entry).alias("value")).write.mode("append").text(f"{base}/{POINTER}")
+
+
 def write_csv_extract(df: DataFrame, path: str, single_file: bool = False) -> str:
     """CSV with header for BI tools. ``single_file`` funnels through one task: use it only for
     small, bounded report outputs (aggregates, top-k), never for row-level tables."""
