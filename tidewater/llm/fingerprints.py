@@ -19,6 +19,7 @@ from __future__ import annotations
 
 import base64
 import hashlib
+import zlib
 from collections.abc import Iterable, Iterator
 
 import numpy as np
@@ -296,21 +297,26 @@ def edited_fingerprints(docs: DataFrame) -> DataFrame:
     in blocks of 1 MB, and comparing two texts takes time in the product of their filters (one for
     about 1.5 kB).
 
-    Documents are dealt by ranges of doc_id (copies of one row by row number, so no hot id fills
+    Documents, their texts compressed, are dealt by ranges of doc_id (copies of one row by row number, so no hot id fills
     a range), sorted, and each task follows its own rows; only the last row of a range meets the
     first of the next in a second, small step.
     """
     ranks = rarity(docs)
-    rows = (docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text"))
-            .withColumn("h", F.xxhash64("text")).withColumn("rid", F.monotonically_increasing_id())
+
+    @F.pandas_udf("binary")
+    def squeezed(texts: pd.Series) -> pd.Series:
+        return texts.map(lambda t: zlib.compress(t.encode("utf-8", "surrogatepass"), 1))
+    text = F.coalesce("text", F.lit(""))
+    rows = (docs.select("doc_id", F.xxhash64(text).alias("h"), F.monotonically_increasing_id().alias("rid"), F.octet_length(text).alias("size"), squeezed(text).alias("text"))
             .repartitionByRange("doc_id", "h", "rid").sortWithinPartitions("doc_id", "h", "rid")
-            .select(F.col("doc_id").cast("string"), "text"))  # pandas would turn ids beside a NULL into floats
+            .select(F.col("doc_id").cast("string"), "size", "text"))  # pandas would turn ids beside a NULL into floats
 
     def walk(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         part, first, held = TaskContext.get().partitionId(), True, None
         for batch in batches:
-            for lo, hi in _slices(batch["text"]):
-                ids, texts = list(batch["doc_id"][lo:hi]), list(batch["text"][lo:hi])
+            for lo, hi in _slices(batch["size"]):
+                ids = list(batch["doc_id"][lo:hi])
+                texts = [zlib.decompress(t).decode("utf-8", "surrogatepass") for t in batch["text"][lo:hi]]
                 prints = digests(texts, ranks)
                 if held:
                     ids, texts, prints = [held[0]] + ids, [held[1]] + texts, [held[2]] + prints
@@ -344,13 +350,13 @@ def edited_fingerprints(docs: DataFrame) -> DataFrame:
             .withColumn("doc_id", F.col("doc_id").cast(docs.schema["doc_id"].dataType)))
 
 
-def _slices(texts: pd.Series) -> Iterator[tuple[int, int]]:
-    """Ranges of rows with about _BLOCK characters together."""
-    lo = size = 0
-    for i, t in enumerate(texts):
-        if i > lo and size + len(t) > _BLOCK:
+def _slices(sizes: pd.Series) -> Iterator[tuple[int, int]]:
+    """Ranges of rows with at most _BLOCK bytes of text together, or one row."""
+    lo = total = 0
+    for i, size in enumerate(sizes):
+        if i > lo and total + size > _BLOCK:
             yield lo, i
-            lo, size = i, 0
-        size += len(t)
-    if lo < len(texts):
-        yield lo, len(texts)
+            lo, total = i, 0
+        total += size
+    if lo < len(sizes):
+        yield lo, len(sizes)
