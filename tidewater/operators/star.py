@@ -96,11 +96,12 @@ def load_fact(inspections: DataFrame, dim_restaurant: DataFrame, dim_location: D
 
 def load_bridge(violations: DataFrame, fact: DataFrame, dim_violation: DataFrame | None = None,
                 lookup: str = "join", job_id: str = DEFAULT_JOB_ID, run_ts: dt.datetime | None = None,
-                lineage: bool = False) -> DataFrame:
+                lineage: bool = False, keep: list[str] = ()) -> DataFrame:
     """One bridge row per violation of an inspection present in the fact.
 
     Inspection match: (inspection_id, source_city), inner. Violation match: code,
     description, source_city — null-safe, so a missing code does not collapse entries.
+    ``keep`` names more columns of the violations to carry along.
     """
     # the key follows from the violation's own columns, so one semi join on it keeps the
     # violations of loaded inspections and can never multiply them
@@ -118,7 +119,7 @@ def load_bridge(violations: DataFrame, fact: DataFrame, dim_violation: DataFrame
                 & b["violation_description"].eqNullSafe(dv["_v_desc"])
                 & (b["source_city"] == dv["_v_city"]))
         b = b.join(dv, cond, "inner")
-    out = b.select("inspection_key", "violation_key", "violation_comments")
+    out = b.select("inspection_key", "violation_key", "violation_comments", *keep)
     return add_gold_lineage(out, job_id, run_ts) if lineage else out
 
 

@@ -726,6 +726,35 @@ def bridge_load_joined(spark, d):
     return Model(spark, d).bridge_joined
 
 
+def _two_batches(spark, d) -> str:
+    """Fact and bridge after the inspections up to the cutoff, then after all; where the tables are."""
+    from tidewater.plans import incremental_star as INC
+    m, base = Model(spark, d), _fresh(spark, "star")
+    insp = m.insp.withColumn("month", INC.month_of("inspection_date"))
+    silver, told = _fresh(spark, "silver-inspections"), _fresh(spark, "silver-violations")
+    insp.write.partitionBy(*INC.PARTS).parquet(silver)
+    (m.viol.join(insp.select("inspection_id", "source_city", "month"), ["inspection_id", "source_city"])
+     .write.partitionBy(*INC.PARTS).parquet(told))
+    insp, viol = spark.read.parquet(silver), spark.read.parquet(told)
+    first = F.col("inspection_date") < F.lit(S.SCD2_CUTOFF)
+    INC.load(spark, base, insp.where(first), viol, insp.where(first), m.dim1, m.dim1.limit(0))
+    INC.load(spark, base, insp, viol, insp.where(~first), m.dim2, m.dim2.where("not is_current"))
+    return base
+
+
+@query("fact_two_batches", O.ALL + "SELECT * FROM fact")
+def fact_two_batches(spark, d):
+    """The fact after two incremental loads is that of one full load."""
+    from tidewater.sources.partitions import read_partitions
+    return read_partitions(spark, f"{_two_batches(spark, d)}/fact_inspection").drop("month")
+
+
+@query("bridge_two_batches", O.ALL + "SELECT * FROM bridge")
+def bridge_two_batches(spark, d):
+    from tidewater.sources.partitions import read_partitions
+    return read_partitions(spark, f"{_two_batches(spark, d)}/bridge_inspection_violation").drop("month", "source_city")
+
+
 @query("fact_integrity", O.ALL + """SELECT (SELECT count(*) FROM fact) AS fact_rows,
   (SELECT count(*) FROM insp) AS silver_rows,
   (SELECT count(*) FROM fact WHERE restaurant_key IS NULL) AS orphan_restaurant,
