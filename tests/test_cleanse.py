@@ -1,6 +1,8 @@
 """Sources by configuration: a third source needs no code, copies keep their violations, 25 slots."""
 
-from tidewater.operators.cleanse import Delimited, Slots, SourceConfig, cleanse, violations_long
+from pyspark.sql import functions as F
+
+from tidewater.operators.cleanse import Delimited, Slots, SourceConfig, cleanse, number_copies, violations_long
 
 
 def test_third_source_by_configuration(spark):
@@ -26,3 +28,21 @@ def test_all_25_slots_of_two_equal_rows(spark):
     assert {(r["violation_code"], r["violation_points"]) for r in got.collect()} == {
         (str(n), n if n % 2 else None) for n in range(1, 26) if n != 4}
     assert "Exchange" not in got._jdf.queryExecution().executedPlan().toString().split("HashAggregate")[0]
+
+
+def test_copies_of_one_row_are_spread(spark):
+    """A third of all rows are one copy: each has its own id, and no task makes them all."""
+    df = spark.range(30000).selectExpr("CASE WHEN id % 3 = 0 THEN 'same' ELSE concat('r', id div 2) END AS a", "CASE WHEN id % 3 = 0 THEN NULL ELSE 'x' END AS b")
+    before = {c: spark.conf.get(c) for c in ("spark.sql.shuffle.partitions", "spark.sql.adaptive.enabled")}
+    try:
+        spark.conf.set("spark.sql.shuffle.partitions", "8")
+        spark.conf.set("spark.sql.adaptive.enabled", "false")
+        got = number_copies(df, "id").withColumn("p", F.spark_partition_id())
+        sizes = [r["n"] for r in got.where("a = 'same'").groupBy("p").agg(F.count("id").alias("n")).collect()]
+        assert sum(sizes) == 10000 and max(sizes) <= 5000
+        assert got.select("id").distinct().count() == 30000
+        ids = {r["id"] for r in got.collect()}
+        assert ids == {r["id"] for r in number_copies(df.repartition(3), "id").collect()}
+    finally:
+        for c, x in before.items():
+            spark.conf.set(c, x)

@@ -60,16 +60,26 @@ class SourceConfig:
     make_id: bool = False                                    # the source has no id of its own
 
 
+COPIES_TOGETHER = 1000   # copies of one row that are numbered by one task at a time
+
+
 def number_copies(df: DataFrame, id_column: str) -> DataFrame:
     """Add an id to each row: a hash of all its columns and of its number among exact copies.
 
-    The same on any partitioning, and each row has its own. Copies are counted map-side and
-    dealt out again, never numbered by a window over a hot group.
+    The same on any partitioning, and each row has its own. Equal rows are counted map-side. Those
+    that occur more than once are then dealt out again in runs of COPIES_TOGETHER over all tasks, so
+    a row that makes up a third of the table is made, cleansed and written by no task alone; rows
+    without a copy stay where the count has put them.
     """
     raw = list(df.columns)
-    dealt = (df.groupBy(*raw).agg(F.count(F.lit(1)).alias("_copies"))
-             .withColumn("_copy", F.explode(F.sequence(F.lit(1).cast("bigint"), F.col("_copies")))))
-    return dealt.withColumn(id_column, hash_key([*raw, "_copy"])).drop("_copies", "_copy")
+    counted = df.groupBy(*[f"`{c}`" for c in raw]).agg(F.count(F.lit(1)).alias("_copies"))
+    alone = counted.where("_copies = 1").withColumn("_copy", F.lit(1).cast("bigint")).drop("_copies")
+    runs = F.sequence(F.lit(0).cast("bigint"), F.floor((F.col("_copies") - 1) / COPIES_TOGETHER))
+    first = F.col("_run") * COPIES_TOGETHER
+    again = (counted.where("_copies > 1").withColumn("_run", F.explode(runs)).repartition(*[f"`{c}`" for c in raw], "_run")
+             .withColumn("_copy", F.explode(F.sequence(first + 1, F.least(first + COPIES_TOGETHER, F.col("_copies")))))
+             .drop("_copies", "_run"))
+    return alone.unionByName(again).withColumn(id_column, hash_key([*[f"`{c}`" for c in raw], "_copy"])).drop("_copy")
 
 
 def cleanse(bronze: DataFrame, cfg: SourceConfig) -> DataFrame:
