@@ -13,6 +13,7 @@ from pyspark.sql.types import StringType
 
 from tidewater.functions.scoring import nonblank_count, score_bin
 from tidewater.functions.text import is_blank
+from tidewater.session import stored
 
 
 def _cols(df: DataFrame, cols: list[str] | None) -> list[str]:
@@ -89,6 +90,30 @@ def topk_freq(df: DataFrame, col: str | Column, k: int = 20, name: str = "value"
     return value_freq(df, col, name).limit(k)
 
 
+def topk_exact(df: DataFrame, col: str, k: int = 20, name: str = "value", buckets: int = 1 << 16) -> DataFrame:
+    """As ``topk_freq``, ties included, without counting every value of a column of many.
+
+    First rows are counted by a hash bucket of their value: no more than ``buckets`` counts, whatever
+    the column holds. A value's count is at most its bucket's. The values of the k fullest buckets are counted
+    exactly; the k-th best of them is a lower bound, and only buckets that reach it can hold another
+    of the k most frequent, so a second exact count is due of those alone. Bucket lists are
+    broadcast: they are bounded by ``buckets``. Where nearly all counts are equal, all buckets reach the bound and
+    everything is counted, as it must be.
+    """
+    bucket = F.pmod(F.xxhash64(F.col(col)), F.lit(buckets)).alias("_bucket")
+    rows = df.select(F.col(col).alias(name), bucket)
+    sizes = stored(rows.groupBy("_bucket").agg(F.count(F.lit(1)).alias("_rows")), "buckets")
+    fullest = sizes.orderBy(F.desc("_rows"), "_bucket").limit(k).select("_bucket")
+
+    def counted(of: DataFrame) -> DataFrame:
+        return rows.join(F.broadcast(of), "_bucket", "left_semi").groupBy(name).agg(F.count(F.lit(1)).alias("count"))
+    order = [F.desc("count"), F.asc_nulls_first(name)]
+    first = stored(counted(fullest).orderBy(*order).limit(k), "top")
+    bound = first.agg(F.when(F.count("*") >= k, F.min("count")).otherwise(0)).first()[0]
+    others = sizes.where(F.col("_rows") >= bound).join(fullest, "_bucket", "left_anti").select("_bucket")
+    return first.unionByName(counted(others)).orderBy(*order).limit(k)
+
+
 def binned_distribution(df: DataFrame, score_col: str) -> DataFrame:
     return (df.groupBy(score_bin(score_col).alias("score_bin"))
             .agg(F.count(F.lit(1)).alias("count")).orderBy("score_bin"))

@@ -82,15 +82,18 @@ def quarantined(flagged: DataFrame, rules: list[Rule]) -> DataFrame:
             .withColumn("_failed_rules", F.transform(FAILED, lambda i: F.element_at(names, i))).drop(FAILED))
 
 
-def audit_from_flags(flagged: DataFrame, rules: list[Rule]) -> DataFrame:
-    """Per rule, in order: rows dropped by it (first failing rule), rows failing it at all,
-    rows before and after — one aggregate over the flag column only."""
+def audit_metrics(rules: list[Rule]) -> dict[str, Column]:
+    """Aggregates over a flagged frame from which :func:`audit_rows` makes the audit; they can be observed while it is written."""
     failed = F.col(FAILED)
-    aggs = [F.count(F.lit(1)).alias("rows_before"), F.count_if(F.size(failed) == 0).alias("rows_after")]
+    out = {"rows_before": F.count(F.lit(1)), "rows_after": F.count_if(F.size(failed) == 0)}
     for i in range(len(rules)):
-        aggs.append(F.count_if(F.get(failed, F.lit(0)) == i + 1).alias(f"d{i}"))
-        aggs.append(F.count_if(F.array_contains(failed, i + 1)).alias(f"a{i}"))
-    totals = flagged.select(FAILED).agg(*aggs)
+        out[f"d{i}"] = F.count_if(F.get(failed, F.lit(0)) == i + 1)
+        out[f"a{i}"] = F.count_if(F.array_contains(failed, i + 1))
+    return out
+
+
+def audit_rows(totals: DataFrame, rules: list[Rule]) -> DataFrame:
+    """The audit from one row of :func:`audit_metrics`."""
     rows = F.array(*[
         F.struct(F.lit(i + 1).alias("rule_order"), F.lit(r.name).alias("rule_name"),
                  F.col(f"d{i}").alias("dropped"), F.col(f"a{i}").alias("failed"))
@@ -98,6 +101,12 @@ def audit_from_flags(flagged: DataFrame, rules: list[Rule]) -> DataFrame:
     return totals.select(F.inline(rows), "rows_before", "rows_after")
 
 
+def audit_from_flags(flagged: DataFrame, rules: list[Rule]) -> DataFrame:
+    """Per rule, in order: rows dropped by it (first failing rule), rows failing it at all,
+    rows before and after — one aggregate over the flag column only."""
+    return audit_rows(flagged.select(FAILED).agg(*[m.alias(n) for n, m in audit_metrics(rules).items()]), rules)
+
+
 def rules_audit(df: DataFrame, rules: list[Rule]) -> DataFrame:
     """Per rule, in order: rows dropped by it (first failing rule) and rows failing it at all.
 

@@ -153,3 +153,41 @@ def summary_risk_facility(fact: DataFrame, dim_restaurant: DataFrame) -> DataFra
     return (per_key.join(dim, "restaurant_key", "left").groupBy("risk_category", "facility_type")
             .agg(F.sum("_n").alias("inspections"),
                  (F.sum("_p").cast("double") * 100 / F.sum("_n")).alias("pass_rate_pct")))
+
+
+# Reports that are slices of one cube: the columns each groups by.
+CUBE = {
+    "total": [],
+    "results_by_group": ["source_city", "inspection_result"],
+    "by_year": ["year", "source_city"],
+    "risk": ["risk_category"],
+    "facility": ["facility_type"],
+    "score": ["source_city", "score_bucket"],
+    "by_type": ["source_city", "inspection_type_name"],
+}
+_CUBE_COLS = ["source_city", "inspection_result", "year", "risk_category", "facility_type", "score_bucket", "inspection_type_name"]
+
+
+def report_cube(fact: DataFrame, dim_restaurant: DataFrame, dim_type: DataFrame, width: int = 5) -> DataFrame:
+    """Counts of every report in CUBE, from one scan of the fact.
+
+    The fact is counted by its keys, the counts meet the dimensions, and are counted again by the
+    reports' columns; only then do GROUPING SETS multiply the (by now few) rows. ``report`` names the
+    slice; columns that a report does not group by are NULL.
+    """
+    bucket = (F.floor(F.col("inspection_score") / width) * width).cast("int")
+    keyed = (fact.groupBy("restaurant_key", "inspection_type_key", _year(fact).alias("year"), "source_city", "inspection_result", bucket.alias("score_bucket"))
+             .agg(_n().alias("_n")))
+    named = (keyed.join(dim_restaurant.select("restaurant_key", "risk_category", "facility_type"), "restaurant_key", "left")
+             .join(dim_type.select("inspection_type_key", "inspection_type_name"), "inspection_type_key", "left")
+             .groupBy(*_CUBE_COLS).agg(F.sum("_n").alias("_n")))
+    cube = named.groupingSets([[F.col(c) for c in cols] for cols in CUBE.values()], *[F.col(c) for c in _CUBE_COLS]).agg(
+        F.grouping_id().alias("_set"), F.sum("_n").alias("inspections"))
+    ids = {sum(1 << (len(_CUBE_COLS) - 1 - i) for i, c in enumerate(_CUBE_COLS) if c not in cols): name for name, cols in CUBE.items()}
+    name = F.create_map(*[F.lit(x) for pair in ids.items() for x in pair])
+    return cube.select(F.element_at(name, F.col("_set").cast("int")).alias("report"), *_CUBE_COLS, "inspections")
+
+
+def cube_slice(cube: DataFrame, report: str) -> DataFrame:
+    """One report of the cube, with its own columns."""
+    return cube.where(F.col("report") == report).select(*CUBE[report], "inspections")

@@ -67,12 +67,12 @@ def ingest(spark: SparkSession, path: str | list[str], schema: StructType | None
     return write_table(C.add_bronze_lineage(raw, source, cfg.job_id, cfg.run_ts), f"{cfg.layer('bronze')}/{source}_inspections")
 
 
-def bronze(spark: SparkSession, sf_dir: str, cfg: RunConfig) -> dict[str, str]:
+def bronze(spark: SparkSession, sf_dir: str, cfg: RunConfig, counts: dict[str, dict] | None = None) -> dict[str, str]:
     """Raw sources -> sanitised names + lineage -> Parquet (full refresh); the two
     sources' jobs run concurrently."""
     def one(name, raw):
         df = C.add_bronze_lineage(C.sanitize_columns(raw), name, cfg.job_id, cfg.run_ts)
-        path = write_table(df, f"{cfg.layer('bronze')}/{name}_inspections")
+        path = write_table(df, f"{cfg.layer('bronze')}/{name}_inspections", counts=counts)
         if cfg.snapshot:
             write_snapshot(df, f"{cfg.base_path}/snapshots", f"bronze_{name}", cfg.run_ts, cfg.run_id)
         return name, path
@@ -82,30 +82,34 @@ def bronze(spark: SparkSession, sf_dir: str, cfg: RunConfig) -> dict[str, str]:
         return dict(pool.map(lambda a: one(*a), sources))
 
 
-def silver(spark: SparkSession, cfg: RunConfig) -> dict[str, str]:
+def silver(spark: SparkSession, cfg: RunConfig, counts: dict[str, dict] | None = None) -> dict[str, str]:
     """Bronze -> cleanse -> rules -> inspections, violations, quarantine and rule audit.
 
     The expensive per-row work (cleansing + every rule) runs ONCE: cleansed rows are
     written with the rules each fails, and the four outputs are column-pruned re-reads
-    of that table (only passing rows go on).
+    of that table (only passing rows go on). The rule audit comes from metrics that are
+    observed while the flagged rows are written, without reading them again.
     """
+    counts = {} if counts is None else counts
     b = cfg.layer("bronze")
     s = cfg.layer("silver")
 
     def one(name, cleanse, rules, viol_fn, keys) -> dict[str, str]:
         out = {}
         flagged_path = f"{s}/{name}_flagged"
-        write_table(Q.flag_rules(cleanse(spark.read.parquet(f"{b}/{name}_inspections")), rules), flagged_path)
+        write_table(Q.flag_rules(cleanse(spark.read.parquet(f"{b}/{name}_inspections")), rules), flagged_path,
+                    counts=counts, metrics=Q.audit_metrics(rules))
         flagged = spark.read.parquet(flagged_path)
         ok = Q.passed(flagged)
         out[f"{name}_inspections"] = write_table(
             C.add_silver_lineage(C.drop_columns(ok, prefixes=["Violation"]), keys, cfg.run_ts),
-            f"{s}/{name}_inspections")
+            f"{s}/{name}_inspections", counts=counts)
         out[f"{name}_violations"] = write_table(
             C.add_silver_lineage(viol_fn(ok), ["Inspection_ID", "violation_code"], cfg.run_ts),
-            f"{s}/{name}_violations")
-        write_table(Q.quarantined(flagged, rules), f"{s}/{name}_quarantine")
-        write_table(Q.audit_from_flags(flagged, rules), f"{s}/{name}_rules_audit")
+            f"{s}/{name}_violations", counts=counts)
+        write_table(Q.quarantined(flagged, rules), f"{s}/{name}_quarantine", counts=counts)
+        seen = spark.range(1).select(*[F.lit(n).cast("bigint").alias(m) for m, n in counts[flagged_path].items() if m != "row_count"])
+        write_table(Q.audit_rows(seen, rules), f"{s}/{name}_rules_audit")
         return out
 
     sources = [("north", lambda b: CL.cleanse(b, V.NORTH), V.north_rules(), lambda ok: CL.violations_long(ok, V.NORTH),
@@ -121,7 +125,7 @@ def silver(spark: SparkSession, cfg: RunConfig) -> dict[str, str]:
     return out
 
 
-def gold(spark: SparkSession, cfg: RunConfig) -> dict[str, str]:
+def gold(spark: SparkSession, cfg: RunConfig, counts: dict[str, dict] | None = None) -> dict[str, str]:
     """Silver -> conformed staging -> dimensions (SCD2 versioned) -> fact -> bridge."""
     s = cfg.layer("silver")
     g = cfg.layer("gold")
@@ -131,7 +135,7 @@ def gold(spark: SparkSession, cfg: RunConfig) -> dict[str, str]:
         _viol(spark.read.parquet(f"{s}/south_violations")))
 
     def write_dim(name: str, df: DataFrame) -> dict[str, str]:
-        return {name: write_table(C.add_gold_lineage(df, cfg.job_id, cfg.run_ts), f"{g}/{name}")}
+        return {name: write_table(C.add_gold_lineage(df, cfg.job_id, cfg.run_ts), f"{g}/{name}", counts=counts)}
 
     def restaurant_fact_bridge() -> dict[str, str]:
         # SCD2 restaurant dimension: new version from the previous one
@@ -148,10 +152,10 @@ def gold(spark: SparkSession, cfg: RunConfig) -> dict[str, str]:
         # are built from the same silver rows), so the fact and bridge compute them in
         # place instead of joining; only the SCD2 version key needs a lookup.
         fact = ST.load_fact(insp, dim_r, lookup="hash", job_id=cfg.job_id, run_ts=cfg.run_ts, lineage=True)
-        out["fact_inspection"] = write_table(fact, f"{g}/fact_inspection")
+        out["fact_inspection"] = write_table(fact, f"{g}/fact_inspection", counts=counts)
         bridge = ST.load_bridge(viol, spark.read.parquet(out["fact_inspection"]), lookup="hash",
                                 job_id=cfg.job_id, run_ts=cfg.run_ts, lineage=True)
-        out["bridge_inspection_violation"] = write_table(bridge, f"{g}/bridge_inspection_violation")
+        out["bridge_inspection_violation"] = write_table(bridge, f"{g}/bridge_inspection_violation", counts=counts)
         return out
 
     # calendar, location, type and violation dimensions (unique on their natural keys) are
@@ -195,21 +199,23 @@ def register_views(spark: SparkSession, paths: dict[str, str]) -> list[str]:
     return [register_view(read_table(spark, p), name) for name, p in paths.items()]
 
 
-def row_counts(spark: SparkSession, paths: dict[str, str]) -> DataFrame:
-    """UNION ALL of one-row counts over written tables (layer report)."""
+def row_counts(spark: SparkSession, paths: dict[str, str], counts: dict[str, dict] | None = None) -> DataFrame:
+    """(table_name, row_count) of written tables: as observed by their writes in ``counts``, else by a scan."""
+    known = {n: counts[p]["row_count"] for n, p in paths.items() if counts and p in counts}
     out = None
     for name, p in paths.items():
-        one = read_table(spark, p).agg(F.count(F.lit(1)).alias("row_count")).select(
-            F.lit(name).alias("table_name"), "row_count")
+        one = (spark.range(1).select(F.lit(known[name]).cast("bigint").alias("row_count")) if name in known
+               else read_table(spark, p).agg(F.count(F.lit(1)).alias("row_count"))).select(F.lit(name).alias("table_name"), "row_count")
         out = one if out is None else out.unionByName(one)
     return out
 
 
-def run(spark: SparkSession, sf_dir: str, cfg: RunConfig) -> dict[str, str]:
+def run(spark: SparkSession, sf_dir: str, cfg: RunConfig, counts: dict[str, dict] | None = None) -> dict[str, str]:
+    """All layers; ``counts`` takes what each write observed, by path."""
     paths = {}
-    paths.update({f"bronze_{k}": v for k, v in bronze(spark, sf_dir, cfg).items()})
-    paths.update({f"silver_{k}": v for k, v in silver(spark, cfg).items()})
-    paths.update(gold(spark, cfg))
+    paths.update({f"bronze_{k}": v for k, v in bronze(spark, sf_dir, cfg, counts).items()})
+    paths.update({f"silver_{k}": v for k, v in silver(spark, cfg, counts).items()})
+    paths.update(gold(spark, cfg, counts))
     return paths
 
 

@@ -25,6 +25,7 @@ from tidewater.operators import profile as P
 from tidewater.operators import quality as Q
 from tidewater.operators import reports as R
 from tidewater.operators import scd2 as SCD
+from tidewater.operators import sketches as K2
 from tidewater.operators import star as ST
 from tidewater.operators.asof import as_of_lookup
 from tidewater.operators.reshape import split_explode
@@ -228,6 +229,62 @@ def csv_ingest(spark, d):
     return spark.read.parquet(ingest(spark, path, string_schema(raw.columns), "north", cfg)).drop("ingest_timestamp")
 
 
+_DAMAGED = """
+WITH t AS (SELECT s_suppkey, s_name, s_nationkey, s_acctbal, s_suppkey % 10 AS k FROM supplier)"""
+_LINE = '''CASE k WHEN 1 THEN s_suppkey || ',' || s_name || ',' || s_nationkey
+  WHEN 2 THEN s_suppkey || ',' || s_name || ',' || s_nationkey || ',x,surplus' WHEN 3 THEN s_suppkey || ',"' || s_name || ',' || s_nationkey || ',open'
+  WHEN 4 THEN s_suppkey || ',"' || s_name || ', ""quoted""",' || s_nationkey || ',' ELSE s_suppkey || ',' || s_name || ',' || s_nationkey || ',y' END'''
+
+
+def _damaged_csv(spark, d):
+    """Suppliers as CSV lines, of which some lack a cell, have one too many or an open quote; read with its bad records kept apart."""
+    from tidewater.sources.csv import read_csv_checked, string_schema
+    t = S.table(spark, d, "supplier").selectExpr("s_suppkey", "s_name", "s_nationkey", "s_acctbal", "s_suppkey % 10 AS k")
+    path = _fresh(spark, "damaged")
+    t.selectExpr(_LINE + " AS value").write.text(path)
+    return read_csv_checked(spark, path, string_schema(["id", "name", "nation", "note"]), multiline=False, header=False)
+
+
+@query("csv_good_rows", _DAMAGED + """ SELECT CAST(s_suppkey AS VARCHAR) AS id, CASE WHEN k = 4 THEN s_name || ', "quoted"' ELSE s_name END AS name,
+  CAST(s_nationkey AS VARCHAR) AS nation, CASE WHEN k = 4 THEN NULL ELSE 'y' END AS note FROM t WHERE k NOT IN (1, 2, 3)""")
+def csv_good_rows(spark, d):
+    return _damaged_csv(spark, d).rows
+
+
+@query("csv_quarantine", _DAMAGED + f" SELECT {_LINE} AS record FROM t WHERE k IN (1, 2, 3)")
+def csv_quarantine(spark, d):
+    """Records with missing or surplus cells or an open quote, as they stand in the files."""
+    return _damaged_csv(spark, d).bad.select("record")
+
+
+@query("csv_counts", _DAMAGED + " SELECT count(*) AS seen, count_if(k NOT IN (1, 2, 3)) AS kept, count_if(k IN (1, 2, 3)) AS quarantined FROM t")
+def csv_counts(spark, d):
+    """Rows seen, kept and quarantined, summed over the files."""
+    return _damaged_csv(spark, d).counts.agg(*[F.sum(c).alias(c) for c in ("seen", "kept", "quarantined")])
+
+
+@query("csv_single_line", "SELECT c_custkey, c_name, c_mktsegment FROM customer")
+def csv_single_line(spark, d):
+    """The single-line reader over many files; types by cast."""
+    from tidewater.sinks import write_csv_extract
+    from tidewater.sources.csv import read_csv, string_schema
+    cust = S.table(spark, d, "customer").select("c_custkey", "c_name", "c_mktsegment")
+    path = write_csv_extract(cust, _fresh(spark, "csv"))
+    back = read_csv(spark, path, schema=string_schema(cust.columns), multiline=False)
+    return back.withColumn("c_custkey", F.col("c_custkey").cast("bigint"))
+
+
+@query("csv_single_file", """SELECT o_orderpriority, CAST(count(*) AS VARCHAR) AS orders, 1 AS files FROM orders GROUP BY o_orderpriority""")
+def csv_single_file(spark, d):
+    """A report as one CSV file."""
+    from tidewater.sinks import write_csv_extract
+    from tidewater.sources.csv import read_csv
+    report = S.table(spark, d, "orders").groupBy("o_orderpriority").agg(F.count("*").alias("orders"))
+    back = read_csv(spark, write_csv_extract(report, _fresh(spark, "csv"), single_file=True))
+    files = back.select(F.input_file_name().alias("f")).distinct().agg(F.count("f").cast("int")).scalar()
+    return back.withColumn("files", files)
+
+
 @query("table_refresh", "SELECT p_partkey, p_brand FROM part WHERE p_size <= 25")
 def table_refresh(spark, d):
     """Full refresh of a partitioned table: a second, smaller load leaves no row of the first."""
@@ -627,6 +684,39 @@ def topk_freq(spark, d):
     return P.topk_freq(Model(spark, d).north_clean, "Zip", 20)
 
 
+@query("topk_exact", """SELECT l_partkey AS value, count(*) AS count FROM lineitem GROUP BY l_partkey
+  ORDER BY count DESC, value ASC NULLS FIRST LIMIT 25""")
+def topk_exact(spark, d):
+    """The 25 parts with most line items, by bucket counts first."""
+    return P.topk_exact(S.table(spark, d, "lineitem"), "l_partkey", 25)
+
+
+@query("topk_exact_unique", "SELECT o_orderkey AS value, 1 AS count FROM orders ORDER BY o_orderkey LIMIT 20")
+def topk_exact_unique(spark, d):
+    """A column without repeats: all ties, the least values."""
+    return P.topk_exact(S.table(spark, d, "orders"), "o_orderkey", 20)
+
+
+_SKETCHED = ["l_orderkey", "l_partkey", "l_quantity", "l_returnflag", "l_extendedprice"]
+
+
+@query("sketch_profile", " UNION ALL ".join(f"""SELECT '{c}' AS column_name, count(*) AS total_rows, count(*) - count({c}) AS null_count,
+  TRUE AS distinct_close, TRUE AS median_close FROM lineitem""" for c in _SKETCHED))
+def sketch_profile(spark, d):
+    """Profiles of each shipping month merged into one: exact counts, distinct estimates within 5 % and medians within 3 % of rank."""
+    items = S.table(spark, d, "lineitem").select(*_SKETCHED, F.date_trunc("month", "l_shipdate").alias("m"))
+    merged = stored(K2.estimates(K2.merge_profiles(stored(K2.sketch_profile(items, by=["m"]), "profiles"))), "estimates")
+    exact = P.profile_distinct(items.select(*_SKETCHED))
+    numbers = [c for c in _SKETCHED if c != "l_returnflag"]
+    median = {c: merged.where(F.col("column_name") == c).select(F.col("quantiles")[1]).scalar() for c in numbers}
+    at = items.agg(*[((F.count_if(F.col(c) < median[c]) / F.count("*") <= 0.53) & (F.count_if(F.col(c) <= median[c]) / F.count("*") >= 0.47)).alias(c) for c in numbers])
+    ranks = at.select(F.inline(F.array(*[F.struct(F.lit(c).alias("column_name"), F.col(c).alias("median_close")) for c in numbers])))
+    return (merged.join(exact, "column_name").join(ranks, "column_name", "left")
+            .select("column_name", "total_rows", "null_count",
+                    (F.abs(F.col("distinct_estimate") / F.col("distinct_count") - 1) <= 0.05).alias("distinct_close"),
+                    F.coalesce("median_close", F.lit(True)).alias("median_close")))
+
+
 @query("violations_histogram", O.RAW + """SELECT violation_count, count(*) AS count FROM south_clean
   GROUP BY violation_count""")
 def violations_histogram(spark, d):
@@ -1071,6 +1161,29 @@ def kpi(spark, d):
     return R.kpi(Model(spark, d).fact)
 
 
+_CUBE_NULLS = {"source_city": "VARCHAR", "inspection_result": "VARCHAR", "year": "INTEGER", "risk_category": "VARCHAR", "facility_type": "VARCHAR",
+               "score_bucket": "INTEGER", "inspection_type_name": "VARCHAR"}
+
+
+def _cube_sql() -> str:
+    parts = []
+    for name, cols in R.CUBE.items():
+        picked = ", ".join(c if c in cols else f"CAST(NULL AS {t}) AS {c}" for c, t in _CUBE_NULLS.items())
+        group = f" GROUP BY {', '.join(cols)}" if cols else ""
+        parts.append(f"SELECT '{name}' AS report, {picked}, count(*) AS inspections FROM flat{group}")
+    return O.ALL[:-1] + """, flat AS (SELECT f.source_city, f.inspection_result, CAST(f.date_key // 10000 AS INTEGER) AS year, r.risk_category, r.facility_type,
+  CAST(floor(f.inspection_score / 5) * 5 AS INTEGER) AS score_bucket, t.inspection_type_name
+  FROM fact f LEFT JOIN dim2 r ON f.restaurant_key = r.restaurant_key LEFT JOIN typ t ON f.inspection_type_key = t.inspection_type_key)
+""" + " UNION ALL ".join(parts)
+
+
+@query("report_cube", _cube_sql())
+def report_cube(spark, d):
+    """All report groupings from one scan of the fact."""
+    m = Model(spark, d)
+    return R.report_cube(m.fact, m.dim2, m.typ)
+
+
 @query("results_by_group", O.ALL + """SELECT source_city, inspection_result, count(*) AS inspections FROM fact
   GROUP BY source_city, inspection_result""")
 def results_by_group(spark, d):

@@ -5,10 +5,10 @@ from __future__ import annotations
 import datetime as dt
 import uuid
 
-from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
-from tidewater.sources.tables import POINTER, current_version
+from tidewater.sources.tables import POINTER, current_version, table_exists
 
 
 def register_view(df: DataFrame, name: str) -> str:
@@ -28,15 +28,22 @@ def ensure_namespace(spark: SparkSession, name: str, use: bool = False) -> str:
 
 
 def write_table(df: DataFrame, path: str, mode: str = "overwrite", partition_by: list[str] | None = None,
-                fmt: str = "parquet") -> str:
+                fmt: str = "parquet", counts: dict[str, dict] | None = None, metrics: dict[str, Column] | None = None) -> str:
     """Full refresh (or append) of a Parquet table at ``path``.
 
-    A refresh replaces every partition, whatever the session's overwrite mode is.
+    A refresh replaces every partition, whatever the session's overwrite mode is. With ``counts``
+    the number of rows written (``row_count``) and the aggregates of ``metrics`` are taken while the
+    rows pass, with no second scan, and put into ``counts[path]``; a task that is run again counts once.
     """
+    observed = Observation() if counts is not None else None
+    if observed is not None:
+        df = df.observe(observed, F.count(F.lit(1)).alias("row_count"), *[m.alias(n) for n, m in (metrics or {}).items()])
     w = df.write.mode(mode).format(fmt).option("partitionOverwriteMode", "static")
     if partition_by:
         w = w.partitionBy(*partition_by)
     w.save(path)
+    if observed is not None:
+        counts[path] = dict(observed.get)
     return path
 
 
@@ -45,6 +52,20 @@ def save_as_table(df: DataFrame, name: str, mode: str = "overwrite", fmt: str =
     return name
 
 
+def load_mode(spark: SparkSession, name: str, provider: str = "parquet") -> str:
+    """How a dimension table is to be loaded: ``first_load`` if there is none, else ``merge``.
+
+    A table of that name in another format cannot be merged into: it is dropped, and the load
+    is a first one.
+    """
+    if not table_exists(spark, name):
+        return "first_load"
+    if table_exists(spark, name, provider):
+        return "merge"
+    spark.sql(f"DROP TABLE {name}")
+    return "first_load"
+
+
 def snapshot_path(base: str, table: str, run_ts: dt.datetime, run_id: str) -> str:
     return f"{base.rstrip('/')}/{table}/{run_ts:%Y/%m/%d}/run_id={run_id}"
 
