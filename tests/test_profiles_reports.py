@@ -135,3 +135,26 @@ def test_load_mode(spark):
     sinks.save_as_table(spark.range(3).toDF("id"), name)
     assert sinks.load_mode(spark, name) == "merge" and spark.table(name).count() == 3
     spark.sql(f"DROP TABLE {name}")
+
+
+def test_profile_report_is_the_single_reports(spark):
+    rng = random.Random(8)
+    rows = [(rng.choice([None, "", "a", "b"]), rng.choice([None, 9.0, 10.0, 100.0, -0.0, 0.0, 9.0]), rng.choice([None, 50, 95]), rng.choice([None, "x"]), "y") for _ in range(200)]
+    df = spark.createDataFrame(rows, "t string, d double, s int, v1 string, v2 string")
+    got = P.profile_report(df, ["t", "d", "s"], frequencies=["d", "t"], top=3, numeric=["s"], score="s", slots=["v1", "v2"], rows={"high": F.col("s") > 90})
+    told = {}
+    for r in got.collect():
+        told.setdefault((r["column_name"], r["metric"]), []).append((r["label"], r["value"]))
+    for r in P.profile(df, ["t", "d", "s"]).collect():
+        for m in ("total_rows", "null_count", "distinct_count"):
+            assert told[r["column_name"], m] == [(None, float(r[m]))]
+        assert told[r["column_name"], "null_pct"] == [(None, round(r["null_pct"], 2))]
+    plain = F.col("d") + 0.0
+    assert sorted(told["d", "frequency"], key=str) == sorted(((r["v"], float(r["count"])) for r in P.topk_freq(df, plain, 3).select(F.col("value").cast("string").alias("v"), "count").collect()), key=str)
+    assert sorted(told["t", "frequency"], key=str) == sorted(((r["value"], float(r["count"])) for r in P.topk_freq(df, "t", 3).collect()), key=str)
+    assert sorted(told["s", "bin"], key=str) == sorted(((r["score_bin"], float(r["count"])) for r in P.binned_distribution(df, "s").collect()), key=str)
+    assert dict(told["slots", "rows_by_filled"]) == {str(r["f"]): float(r["count"]) for r in P.nonblank_histogram(df, ["v1", "v2"], "f").collect()}
+    assert told["*", "rows_where"] == [("high", float(sum(r[2] == 95 for r in rows)))]
+    for r in P.numeric_summary(df, ["s"]).collect():
+        assert told["s", r["metric"]] == [(None, r["value"])]
+    assert P.profile_report(df, ["t"]).count() == 4

@@ -7,9 +7,9 @@ followed by a tiny unpivot of the single result row into long form
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
-from pyspark.sql.types import StringType
+from pyspark.sql.types import NumericType, StringType
 
 from tidewater.functions.scoring import nonblank_count, score_bin
 from tidewater.functions.text import is_blank
@@ -139,14 +139,18 @@ def profile(df: DataFrame, cols: list[str] | None = None, approx_distinct: bool
     return nulls.join(distinct, "column_name")
 
 
+def _numeric_metrics(accuracy: int = 10_000) -> dict:
+    return {"count": F.count, "mean": F.avg, "stddev": F.stddev, "min": F.min, "max": F.max} | {
+        f"{int(q * 100)}%": lambda c, q=q: F.percentile_approx(c, q, accuracy) for q in (0.25, 0.5, 0.75)}
+
+
 def numeric_summary(df: DataFrame, cols: list[str], accuracy: int = 10_000) -> DataFrame:
     """Long form (column_name, metric, value): count, mean, stddev, min, quartiles and max of numeric columns.
 
     One pass with partial aggregates; quartiles are values of the column, their rank off by
     at most 1 / ``accuracy`` of the rows.
     """
-    metrics = {"count": F.count, "mean": F.avg, "stddev": F.stddev, "min": F.min, "max": F.max} | {
-        f"{int(q * 100)}%": lambda c, q=q: F.percentile_approx(c, q, accuracy) for q in (0.25, 0.5, 0.75)}
+    metrics = _numeric_metrics(accuracy)
     one = df.agg(*[fn(F.col(c)).cast("double").alias(f"{m}__{i}") for i, c in enumerate(cols) for m, fn in metrics.items()])
     return one.select(F.inline(F.array(*[
         F.struct(F.lit(c).alias("column_name"), F.lit(m).alias("metric"), F.col(f"`{m}__{i}`").alias("value"))
@@ -162,30 +166,53 @@ def profile_report(df: DataFrame, cols: list[str] | None = None, frequencies: li
     values. For ``frequencies``: the ``top`` values and their counts; for ``numeric``: the
     numeric summary; for ``score``: counts by bin; for ``slots``: rows by number of filled
     columns; for ``rows``: how many rows meet each named condition.
+
+    Two aggregates read the rows: one row of all scalar metrics, and a count of each (column, value)
+    pair, from which distinct values, frequencies, bins and filled columns all follow.
     """
-    metric = lambda d, m, v, label=None: d.select(
-        "column_name", F.lit(m).alias("metric"), (F.lit(None).cast("string") if label is None else label).alias("label"),
-        v.cast("double").alias("value"))
-    base = profile(df, cols)
-    parts = [metric(base, "total_rows", F.col("total_rows")), metric(base, "null_count", F.col("null_count")),
-             metric(base, "null_pct", F.round("null_pct", 2)), metric(base, "distinct_count", F.col("distinct_count"))]
-    counted = lambda d, name: d.withColumn("column_name", F.lit(name))
-    for c in frequencies:
-        parts.append(metric(counted(topk_freq(df, c, top), c), "frequency", F.col("count"), F.col("value").cast("string")))
-    if numeric:
-        stats = numeric_summary(df, list(numeric))
-        parts.append(stats.select("column_name", "metric", F.lit(None).cast("string").alias("label"), "value"))
+    names = _cols(df, cols)
+    types = {f.name: f.dataType for f in df.schema.fields}
+    nothing = F.lit(None).cast("string")
+
+    def row(column: str, metric: str, value: Column, label: Column = nothing) -> Column:
+        return F.struct(F.lit(column).alias("column_name"), F.lit(metric).alias("metric"), label.alias("label"), value.cast("double").alias("value"))
+    # 1: everything that is one number
+    aggs = [F.count(F.lit(1)).alias("_total")]
+    found = []
+    for i, c in enumerate(names):
+        aggs.append(F.count_if(is_blank(F.col(f"`{c}`"), types[c])).alias(f"n{i}"))
+        share = F.when(F.col("_total") > 0, F.round(F.col(f"n{i}").cast("double") * 100 / F.col("_total"), 2))
+        found += [row(c, "total_rows", F.col("_total")), row(c, "null_count", F.col(f"n{i}")), row(c, "null_pct", share)]
+    for i, c in enumerate(numeric):
+        for j, (m, fn) in enumerate(_numeric_metrics().items()):
+            aggs.append(fn(F.col(f"`{c}`")).cast("double").alias(f"s{i}_{j}"))
+            found.append(row(c, m, F.col(f"s{i}_{j}")))
+    for i, (n, c) in enumerate((rows or {}).items()):
+        aggs.append(F.count_if(c).alias(f"r{i}"))
+        found.append(row("*", "rows_where", F.col(f"r{i}"), F.lit(n)))
+    scalars = df.agg(*aggs).select(F.inline(F.array(*found)))
+
+    # 2: how often each value stands in its column; numbers also by size, for the order of ties
+    def pair(kind: str, column: str, value: Column, size: Column | None = None) -> Column:
+        return F.struct(F.lit(kind).alias("kind"), F.lit(column).alias("column_name"), value.cast("string").alias("_v"),
+                        (F.lit(None) if size is None else size).cast("double").alias("_size"))
+    pairs = []
+    for c in dict.fromkeys([*names, *frequencies]):
+        number = types[c].typeName() in ("double", "float")
+        value = F.col(f"`{c}`") + 0.0 if number else F.col(f"`{c}`")   # -0.0 is 0.0 to SQL but not to text
+        pairs.append(pair("value", c, value, value if isinstance(types[c], NumericType) else None))
     if score:
-        parts.append(metric(counted(binned_distribution(df, score), score), "bin", F.col("count"), F.col("score_bin")))
+        pairs.append(pair("bin", score, score_bin(score)))
     if slots:
-        hist = nonblank_histogram(df, list(slots), "filled")
-        parts.append(metric(counted(hist, "slots"), "rows_by_filled", F.col("count"), F.col("filled").cast("string")))
-    if rows:
-        one = df.agg(*[F.count_if(c).alias(n) for n, c in rows.items()])
-        parts.append(one.select(F.inline(F.array(*[
-            F.struct(F.lit("*").alias("column_name"), F.lit("rows_where").alias("metric"), F.lit(n).alias("label"),
-                     F.col(n).cast("double").alias("value")) for n in rows]))))
-    out = parts[0]
-    for p in parts[1:]:
-        out = out.unionByName(p)
-    return out
+        pairs.append(pair("rows_by_filled", "slots", nonblank_count(list(slots))))
+    counted = (df.select(F.inline(F.array(*pairs))).groupBy("kind", "column_name", "_v", "_size").agg(F.count(F.lit(1)).alias("_n")))
+    place = F.row_number().over(Window.partitionBy("kind", "column_name").orderBy(F.desc("_n"), F.asc_nulls_first("_size"), F.asc_nulls_first("_v")))
+    is_value = F.col("kind") == "value"
+    wanted = F.col("column_name").isin(*frequencies) if frequencies else F.lit(False)
+    top_rows = (counted.where(is_value & wanted).withColumn("_place", place).where(F.col("_place") <= top)
+                .select("column_name", F.lit("frequency").alias("metric"), F.col("_v").alias("label"), F.col("_n").cast("double").alias("value")))
+    others = (counted.where(~is_value).select("column_name", F.col("kind").alias("metric"), F.col("_v").alias("label"), F.col("_n").cast("double").alias("value")))
+    distinct = (counted.where(is_value & F.col("column_name").isin(*names)).groupBy("column_name")
+                .agg(F.count("_v").cast("double").alias("value"), F.sum("_n"), F.max("_size"))
+                .select("column_name", F.lit("distinct_count").alias("metric"), nothing.alias("label"), "value"))
+    return scalars.unionByName(distinct).unionByName(top_rows).unionByName(others)
