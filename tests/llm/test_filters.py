@@ -68,6 +68,34 @@ def test_classifier_on_held_out_labels(scored):
     assert auc > 0.95 and all(0 <= s <= 1 for s, _ in held)
 
 
+def test_scores_rank_finely(scored):
+    assert len({round(r["score"], 9) for r in scored}) >= 20
+
+
+def test_lasso_weights_and_choice_of_penalty():
+    """No single weight can lower the objective, and the chosen penalty is the best on the rows held back."""
+    import numpy as np
+    rng = np.random.default_rng(1)
+    met = rng.random((4000, 12)) < 0.4
+    truth = np.array([2.0, -1.5, 1.0] + [0.0] * 9)
+    label = (rng.random(4000) < 1 / (1 + np.exp(-(met @ truth - 0.3)))).astype(float)
+    check = np.arange(4000) % 5 == 0
+    w, b, p = Q.weigh(met, label, check)
+    assert abs(w[:3] - truth[:3]).max() < 0.35 and np.abs(w[3:]).max() < 0.2
+
+    def objective(w, b):
+        z = met @ w + b
+        return np.mean(np.logaddexp(0, z) - label * z) + p * np.abs(w).sum()
+    at = objective(w, b)
+    for i in range(12):
+        for step in (-0.02, 0.02):
+            moved = w.copy()
+            moved[i] += step
+            assert objective(moved, b) >= at - 1e-5
+    assert objective(w, b + 0.02) >= at - 1e-5 and objective(w, b - 0.02) >= at - 1e-5
+    assert (Q.weigh(met, label, check, (10.0,))[0] == 0).all()
+
+
 def test_classifier_on_odd_rows(spark, odd, no_docs):
     labels = spark.createDataFrame([(i, i % 3 != 0, 0) for i in range(60)] + [(5, True, 1), (None, True, 0), (6, None, 0)],
                                    "doc_id bigint, quality boolean, toxic int").selectExpr("doc_id", "cast(quality as int) quality", "toxic", "1 AS score")
@@ -125,6 +153,67 @@ def test_viterbi_matches_brute_force():
             assert not len(s) or abs(value(path) - max(map(value, product(range(3), repeat=len(s))))) < 1e-5
 
 
+def small_model(spark):
+    return L.train(spark.createDataFrame([("en", "the quick brown fox jumps over the lazy dog and runs away " * 5),
+                                          ("de", "der schnelle braune fuchs springt über den faulen hund und läuft weg " * 5)], "lang string, text string"))
+
+
+def test_long_texts_in_blocks_are_labelled_alike(spark, monkeypatch):
+    import random
+    model, rng = small_model(spark), random.Random(2)
+    texts = [" ".join(rng.choices(["the", "fox", "läuft", "über", "und", "a", "日本", "x1", "...", "--", "ß"], k=rng.randrange(1, 400))) for _ in range(20)]
+    texts += ["a" * 300 + " " + "b" * 100, "  " * 200, None, "", "!" * 130 + "fuchs"]
+    want = [L.label(model, [t], 4.0)[0] for t in texts]
+    rows = spark.createDataFrame([("en" if i % 2 else "de", t) for i, t in enumerate(texts)], "lang string, text string")
+    trained = L.train(rows)
+    monkeypatch.setattr(L, "_CHUNK", 60)
+    monkeypatch.setattr(L, "_CELLS", 100)
+    assert [L.label(model, [t], 4.0)[0] for t in texts] == want
+    assert [x for run in L._runs(texts) for x in L.label(model, run, 4.0)] == want
+    assert all(len(run) == 1 or sum(len(t or "") for t in run) <= 60 for run in L._runs(texts))
+    counted = [0, 0]
+    for run in L._runs([t for t in texts if t]):
+        for w, skip in L._words_in_blocks(run):
+            counted[0] += len(w.start) - skip
+    assert counted[0] == sum(len(L.words_of([t]).start) for t in texts if t) and trained.langs == ["de", "en"]
+
+
+def test_three_million_words_in_one_gigabyte(spark, tmp_path):
+    """A text of 3 million words among short ones: the labelling process stays below 1 GB."""
+    import os
+    import pickle
+    import subprocess
+    import sys
+    import textwrap
+    with open(tmp_path / "model", "wb") as f:
+        pickle.dump(small_model(spark), f)
+    code = f"""
+        import pickle, resource, sys
+        sys.path.insert(0, {os.getcwd()!r})
+        from tidewater.llm import language_id as L
+        model = pickle.load(open({str(tmp_path / 'model')!r}, "rb"))
+        texts = ["the fox"] * 127 + ["der hund läuft the dog " * 600_000]
+        out = [x for run in L._runs(texts) for x in L.label(model, run, 4.0)]
+        print(out[0][0], out[-1][0], len(out), resource.getrusage(resource.RUSAGE_SELF).ru_maxrss // 1024)
+    """
+    out = subprocess.run([sys.executable, "-c", textwrap.dedent(code)], capture_output=True, text=True, timeout=300, cwd=os.getcwd())
+    first, last, n, mb = out.stdout.split() if out.returncode == 0 else pytest.fail(out.stderr[-2000:])
+    assert (first, last, n) == ("en", "de", "128") and int(mb) < 1000
+
+
+def test_sample_of_any_number_of_rows(spark):
+    assert L.sample_bound(80_000, 20_000) is None
+    for n in (10 ** 5, 10 ** 9, 10 ** 11, 10 ** 14):
+        share = (L.sample_bound(n, 20_000) + 2 ** 63) / 2 ** 64
+        assert abs(share * n - 80_000) < 1
+    rows = spark.range(9000).selectExpr("id % 4000 AS doc_id", "concat('text ', id % 4000) AS text", "CASE WHEN id = 17 THEN 'rare' ELSE 'en' END AS lang")
+    rows = rows.union(spark.range(5000).selectExpr("CAST(NULL AS bigint)", "'the same text'", "'en'"))
+    got = [tuple(r) for r in L.sample(rows, 300).collect()]
+    assert 300 <= len(got) <= 302 and len(set(got)) == len(got) and ("rare", "text 17") in got
+    assert sorted(got) == sorted(tuple(r) for r in L.sample(rows.repartition(7), 300).collect())
+    assert L.sample(rows.limit(0), 300).collect() == []
+
+
 def test_url_rules_and_aliases(spark):
     page = lambda i, url, html="": (i, url, html)
     canon = '<link href="{}" rel="canonical">'

@@ -97,7 +97,7 @@ def words_of(texts: list[str | None]) -> Words:
     begin = np.cumsum(size) - size
     text = np.searchsorted(begin, start, side="right") - 1
     c = np.where(inside, cp, 32).astype(np.uint64)
-    before, before2 = np.concatenate(([32], c[:-1])).astype(np.uint64), np.concatenate(([32, 32], c[:-2])).astype(np.uint64)
+    before, before2 = (np.concatenate((np.full(n, 32, dtype=np.uint64), c))[:len(c)] for n in (1, 2))
     mixed = (c * np.uint64(0x9E3779B97F4A7C15)) ^ (before * np.uint64(0xC2B2AE3D27D4EB4F)) ^ (before2 * np.uint64(0x165667B19E3779F9))
     mixed = (mixed ^ (mixed >> np.uint64(29))) * np.uint64(0xBF58476D1CE4E5B9)
     bucket = (mixed >> np.uint64(48)).astype(np.int64)  # 16 bits
@@ -120,18 +120,27 @@ class Model:
         return s - self.script_cost[w.script]
 
 
+_CELLS = 1 << 18  # words of texts that are labelled side by side, the padding of shorter ones included
+
+
 def viterbi(scores: list[np.ndarray], penalty: float) -> list[np.ndarray]:
-    """The best label of each word of each text, texts of like length side by side."""
+    """The best label of each word of each text, texts of like length side by side, a long one alone.
+
+    Beside the scores it holds one byte for each word and label (two from 256 labels on): where the best way to it came from.
+    """
     out: list[np.ndarray] = [np.zeros(0, dtype=np.int64)] * len(scores)
     order = sorted((i for i in range(len(scores)) if len(scores[i])), key=lambda i: -len(scores[i]))
-    for lo in range(0, len(order), 128):
-        group = order[lo:lo + 128]
+    lo = 0
+    while lo < len(order):
+        size = min(128, max(1, _CELLS // len(scores[order[lo]])))
+        group = order[lo:lo + size]
+        lo += size
         n = np.array([len(scores[i]) for i in group])
-        best = np.stack([scores[i][0] for i in group]).astype(np.float64)
-        stays, froms = [], []
-        padded = np.zeros((n[0], len(group), best.shape[1]), dtype=np.float32)
-        for g, i in enumerate(group):
-            padded[:n[g], g] = scores[i]
+        flat = np.concatenate([scores[i] for i in group])
+        begin = np.cumsum(n) - n
+        best = flat[begin].astype(np.float64)
+        own = np.arange(best.shape[1], dtype=np.min_scalar_type(best.shape[1]))
+        came = np.empty((n[0], len(group), best.shape[1]), dtype=own.dtype)
         alive_at = np.searchsorted(-n, -np.arange(n[0]), side="left")  # texts with more than t words
         for t in range(1, n[0]):
             a = alive_at[t]
@@ -139,29 +148,51 @@ def viterbi(scores: list[np.ndarray], penalty: float) -> list[np.ndarray]:
             top = v.argmax(axis=1)
             move = v[np.arange(a), top] - penalty
             stay = v >= move[:, None]
-            best[:a] = np.where(stay, v, move[:, None]) + padded[t, :a]
-            stays.append(stay)
-            froms.append(top)
+            best[:a] = np.where(stay, v, move[:, None]) + flat[begin[:a] + t]
+            came[t, :a] = np.where(stay, own, top[:, None])
         label = best.argmax(axis=1)
-        path = np.empty((n[0], len(group)), dtype=np.int64)
+        path = np.empty((n[0], len(group)), dtype=own.dtype)
         path[n - 1, np.arange(len(group))] = label
         for t in range(n[0] - 1, 0, -1):
             a = alive_at[t]
-            now = path[t, :a]
-            path[t - 1, :a] = np.where(stays[t - 1][np.arange(a), now], now, froms[t - 1])
+            path[t - 1, :a] = came[t, np.arange(a), path[t, :a]]
         for g, i in enumerate(group):
-            out[i] = path[:n[g], g]
+            out[i] = path[:n[g], g].astype(np.int64)
     return out
 
 
+def _blocks(text: str) -> Iterator[tuple[int, str]]:
+    """(offset, block) of a long text, cut between words; a block begins with the two characters before it."""
+    kind, at = script_table(), 0
+    while at < len(text):
+        end = min(len(text), at + _CHUNK)
+        while end < len(text) and kind[ord(text[end])] > 0:
+            end += 1
+        lead = min(2, at)
+        yield at - lead, text[at - lead:end]
+        at = end
+
+
+def _words_in_blocks(run: list[str | None]) -> Iterator[tuple[Words, int]]:
+    """The words of a run of texts, and how many of the first to leave out; those of a long text block by block."""
+    if len(run) > 1 or len(run[0] or "") <= _CHUNK:
+        yield words_of(run), 0
+        return
+    for offset, block in _blocks(run[0]):
+        w = words_of([block])
+        w.start, w.end, lead = w.start + offset, w.end + offset, min(2, offset)
+        yield w, int(np.searchsorted(w.start, offset + lead))   # words of the leading characters belong to the block before
+
+
 def _runs(texts: Iterable[str | None]) -> Iterator[list[str | None]]:
+    """Texts of about _CHUNK characters together; a longer one alone."""
     run, held = [], 0
     for t in texts:
-        run.append(t)
-        held += len(t or "")
-        if held >= _CHUNK:
+        if run and held + len(t or "") > _CHUNK:
             yield run
             run, held = [], 0
+        run.append(t)
+        held += len(t or "")
     if run:
         yield run
 
@@ -170,20 +201,20 @@ def label(model: Model, texts: list[str | None], penalty: float) -> list[tuple[s
     """(language, score, spans) of each text."""
     if not model.langs:
         return [(UNDETERMINED, 0.0, [])] * len(texts)
-    w = words_of(texts)
-    scores = model.word_scores(w)
-    cut = np.searchsorted(w.text, np.arange(len(texts) + 1))
+    found = [(w.text[k:], w.start[k:], w.end[k:], w.letters[k:], model.word_scores(w)[k:]) for w, k in _words_in_blocks(texts)]
+    of, start, end, letters, scores = map(np.concatenate, zip(*found))
+    cut = np.searchsorted(of, np.arange(len(texts) + 1))
     paths = viterbi([scores[a:b] for a, b in zip(cut, cut[1:])], penalty)
     out = []
     for t, path in enumerate(paths):
         a, b = cut[t], cut[t + 1]
-        share = np.bincount(path, weights=w.letters[a:b], minlength=len(model.langs)) if b > a else np.zeros(1)
+        share = np.bincount(path, weights=letters[a:b], minlength=len(model.langs)) if b > a else np.zeros(1)
         if not share.sum():
             out.append((UNDETERMINED, 0.0, []))
             continue
         turn = np.flatnonzero(np.diff(path)) + 1
         first, last = np.concatenate(([0], turn)), np.concatenate((turn, [b - a])) - 1
-        spans = [{"start": int(w.start[a + i]), "end": int(w.end[a + j]), "lang": model.langs[path[i]]}
+        spans = [{"start": int(start[a + i]), "end": int(end[a + j]), "lang": model.langs[path[i]]}
                  for i, j in zip(first, last)]
         out.append((model.langs[int(share.argmax())], float(share.max() / share.sum()), spans))
     return out
@@ -197,9 +228,10 @@ def train(labelled: DataFrame, text_col: str = "text", lang_col: str = "lang", s
             for lang, rows in batch.groupby("lang"):
                 c = held.setdefault(lang, np.zeros(BUCKETS + MARK + 1, dtype=np.int64))
                 for run in _runs(rows["text"]):
-                    w = words_of(run)
-                    c[:BUCKETS] += np.bincount(w.bucket, minlength=BUCKETS)
-                    c[BUCKETS:] += np.bincount(w.script, minlength=MARK + 1)
+                    for w, skip in _words_in_blocks(run):
+                        first = w.first[skip] if skip < len(w.first) else len(w.bucket)
+                        c[:BUCKETS] += np.bincount(w.bucket[first:], minlength=BUCKETS)
+                        c[BUCKETS:] += np.bincount(w.script[skip:], minlength=MARK + 1)
         for lang, c in held.items():
             at = np.flatnonzero(c)
             yield pd.DataFrame({"lang": lang, "slot": at, "n": c[at]})
@@ -226,12 +258,34 @@ def identify(text: Column, model: Model, penalty: float = SWITCH_PENALTY) -> Col
     return udf(text)
 
 
+def sample_bound(n: int, sample_rows: int) -> int | None:
+    """Hashes (signed, 64 bit) below this are about four times as many as the sample wants of ``n`` rows; None: all."""
+    return None if n <= 4 * sample_rows else -(1 << 63) + (4 * sample_rows << 64) // n
+
+
+def sample(usable: DataFrame, sample_rows: int) -> DataFrame:
+    """(lang, text): the ``sample_rows`` different rows with the least hashes, and one of each language at least.
+
+    A bound on the hash thins the rows before any are compared, whatever their number; copies of a row
+    have one hash and count once.
+    """
+    h = F.xxhash64("doc_id", "lang", "text")
+    light = usable.select("lang", h.alias("h"))   # rows are chosen by their hashes alone, texts are fetched after
+    n, least = light.agg(F.count("*")).first()[0], [r[0] for r in light.groupBy("lang").agg(F.min("h")).select("min(h)").collect()]
+    bound = sample_bound(n, sample_rows)
+    few = light.select("h") if bound is None else light.where(F.col("h") < bound).select("h")
+    last = few.distinct().orderBy("h").limit(sample_rows).agg(F.max("h")).first()[0]
+    chosen = usable.withColumn("h", h).where((F.col("h") <= F.lit(last)) | F.col("h").isin(least))
+    return chosen.groupBy("h").agg(F.first("lang").alias("lang"), F.first("text").alias("text")).select("lang", "text")
+
+
 def language_id(docs: DataFrame, text_col: str = "text", lang_col: str = "lang", id_col: str = "doc_id",
                 sample_rows: int = SAMPLE_ROWS) -> DataFrame:
     """doc_id, held_out, lang_pred, score, n_spans for each row.
 
-    Learns from rows with a language whose crc32 (of the id as text, modulo 5) is not 0, about
-    ``sample_rows`` of them by a hash of the id; predictions see the text only. ``score`` is
+    Learns from rows with a language whose crc32 (of the id as text, modulo 5) is not 0,
+    ``sample_rows`` of them or all (:func:`sample`); predictions see the text only. A long text is
+    looked at in blocks of words, so memory grows with about 60 bytes for each of its words. ``score`` is
     the share of letters in spans of the predicted language. NULL text or no letter: ``und``,
     score 0, as for every text if nothing could be learned. Ties go to the language first in
     the alphabet. Repeated rows and NULL ids keep their rows; other columns are not read.
@@ -239,9 +293,7 @@ def language_id(docs: DataFrame, text_col: str = "text", lang_col: str = "lang",
     d = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"), F.col(lang_col).alias("lang"))
     held_out = held_out_bucket(F.col("doc_id"), 5) == 0
     usable = d.where(~held_out & F.col("lang").isNotNull() & F.col("text").isNotNull())
-    n = usable.count()
-    part = min(1.0, sample_rows / max(1, n))
-    picked = usable.where(F.pmod(F.xxhash64("doc_id"), F.lit(1_000_000)) < int(part * 1_000_000))
+    picked = sample(usable, sample_rows)
     model = train(picked)
     return (d.select("doc_id", held_out.alias("held_out"), identify(F.col("text"), model).alias("i"))
             .select("doc_id", "held_out", F.col("i.lang").alias("lang_pred"), F.col("i.score").alias("score"),
