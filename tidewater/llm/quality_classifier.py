@@ -2,7 +2,7 @@
 
 A forest of shallow trees is grown on labelled texts, every path from a root becomes a
 conjunctive rule over the statistics, a lasso logistic regression weighs the rules and
-drops most of them, and the rest are compiled into one Spark column: the score of a text
+drops many of them, its penalty chosen on labelled rows held back from it, and the rest are compiled into one Spark column: the score of a text
 is the logistic function of the summed weights of the rules it meets. Only fitting is
 iterative, and on a bounded sample; scoring is a projection.
 """
@@ -13,7 +13,8 @@ import json
 import math
 from dataclasses import asdict, dataclass, field
 
-from pyspark.ml.classification import LogisticRegression, RandomForestClassifier
+import numpy as np
+from pyspark.ml.classification import RandomForestClassifier
 from pyspark.ml.feature import VectorAssembler
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -23,6 +24,8 @@ from tidewater.llm.common import held_out_bucket, stored
 
 #: Labelled rows that a fit uses at most: those with the smallest hash of their id.
 SAMPLE_ROWS = 20_000
+#: Lasso penalties to choose from, the greatest first.
+PENALTIES = (1e-2, 3e-3, 1e-3, 3e-4, 1e-4, 3e-5)
 FEATURES = ["log_words", "symbols_per_word", "dup_line_share", "repeat_share", "mean_word_chars", "upper_share",
             "short_word_share", "mark_share"]
 
@@ -40,6 +43,13 @@ class Rule:
             out = out & ((x > at) if above else (x <= at))
         return out
 
+    def holds(self, data: np.ndarray) -> np.ndarray:
+        """For each row of FEATURES."""
+        out = np.ones(len(data), dtype=bool)
+        for f, above, at in self.terms:
+            out &= (data[:, f] > at) if above else (data[:, f] <= at)
+        return out
+
 
 @dataclass
 class Ensemble:
@@ -79,16 +89,61 @@ def tree_rules(node, terms: tuple = ()) -> list[Rule]:
     return out
 
 
-def fit(labelled: DataFrame, trees: int = 24, depth: int = 3, penalty: float = 2e-4, seed: int = 7) -> Ensemble:
+def _gradient_steps(met: np.ndarray, ones: np.ndarray, n: np.ndarray, penalty: float, at: np.ndarray, steps: int = 400) -> np.ndarray:
+    """Accelerated proximal gradient for the lasso logistic loss; the last weight, the intercept, is free.
+
+    ``met`` has a row for each pattern of rules met (and a last column of ones), ``n`` texts show it, ``ones`` of them of label 1.
+    """
+    total = n.sum()
+    size = 4 * total / max(float(np.square(met).sum(axis=1) @ n), 1.0)   # the inverse of a bound on the curvature
+    w, y, t = at.copy(), at.copy(), 1.0
+    for _ in range(steps):
+        grad = met.T @ (n / (1 + np.exp(-np.clip(met @ y, -40, 40))) - ones) / total
+        new = y - size * grad
+        new[:-1] = np.sign(new[:-1]) * np.maximum(np.abs(new[:-1]) - size * penalty, 0)
+        t, before = (1 + math.sqrt(1 + 4 * t * t)) / 2, t
+        y, w = new + (before - 1) / t * (new - w), new
+    return w
+
+
+def _loss(met: np.ndarray, ones: np.ndarray, n: np.ndarray, w: np.ndarray) -> float:
+    z = np.clip(met @ w, -40, 40)
+    return float((n * np.logaddexp(0, z) - ones * z).sum() / max(n.sum(), 1))
+
+
+def weigh(met: np.ndarray, label: np.ndarray, check: np.ndarray, penalties: tuple[float, ...] = PENALTIES) -> tuple[np.ndarray, float, float]:
+    """(weights, intercept, penalty): the penalty whose fit on the other rows has the least loss on those of ``check``.
+
+    Rows that meet the same rules are counted together, so the work follows the number of different patterns.
+    """
+    def patterns(rows: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        packed, of = np.unique(np.packbits(met[rows], axis=1), axis=0, return_inverse=True)
+        m = np.unpackbits(packed, axis=1, count=met.shape[1]).astype(np.float64)
+        return (np.hstack([m, np.ones((len(m), 1))]), np.bincount(of, weights=label[rows], minlength=len(m)), np.bincount(of, minlength=len(m)).astype(np.float64))
+    parts = patterns(~check), patterns(check)
+    losses, w = [], np.zeros(met.shape[1] + 1)
+    for p in penalties:   # from the greatest on, each from the weights of the one before
+        w = _gradient_steps(*parts[0], p, w)
+        losses.append(_loss(*parts[1], w))
+    best, w = int(np.argmin(losses)), np.zeros(met.shape[1] + 1)
+    for p in penalties[:best + 1]:
+        w = _gradient_steps(*patterns(np.ones(len(label), dtype=bool)), p, w)
+    return w[:-1], float(w[-1]), penalties[best]
+
+
+def fit(labelled: DataFrame, trees: int = 24, depth: int = 3, penalties: tuple[float, ...] = PENALTIES, seed: int = 7) -> Ensemble:
     """An ensemble from rows of FEATURES and ``label`` (0 or 1; NULL labels are left out).
 
-    With one class only, or no rows, the ensemble has no rules and gives the share of ones
-    (one half without rows).
+    Every fifth row, in the order of its features, is held back to choose the penalty. The rows are a
+    bounded sample (SAMPLE_ROWS) and come to the driver. With one class only, or no rows, the ensemble
+    has no rules and gives the share of ones (one half without rows).
     """
     rows = labelled.where(F.col("label").isNotNull()).select(*FEATURES, F.col("label").cast("double").alias("label"))
-    n, ones = rows.agg(F.count("*"), F.sum("label")).first()
+    data = np.array(sorted(tuple(r) for r in rows.collect()), dtype=np.float64).reshape(-1, len(FEATURES) + 1)
+    n, label = len(data), data[:, -1]
+    ones = float(label.sum())
     if not n or ones in (0, n):
-        share = ((ones or 0) + 0.5) / (n + 1)
+        share = (ones + 0.5) / (n + 1)
         return Ensemble(math.log(share / (1 - share)))
     vectors = VectorAssembler(inputCols=FEATURES, outputCol="features").transform(rows)
     forest = RandomForestClassifier(numTrees=trees, maxDepth=depth, minInstancesPerNode=max(2, n // 1000), seed=seed,
@@ -102,12 +157,9 @@ def fit(labelled: DataFrame, trees: int = 24, depth: int = 3, penalty: float = 2
     if not rules:
         share = ones / n
         return Ensemble(math.log(share / (1 - share)))
-    met = rows.select("label", F.array(*[r.column().cast("double") for r in rules]).alias("met"))
-    from pyspark.ml.functions import array_to_vector
-    met = met.select("label", array_to_vector("met").alias("features"))
-    lasso = LogisticRegression(elasticNetParam=1.0, regParam=penalty, standardization=False, maxIter=60).fit(met)
-    weights = lasso.coefficients.toArray()
-    return Ensemble(float(lasso.intercept), [Rule(r.terms, float(w)) for r, w in zip(rules, weights) if w])
+    met = np.stack([r.holds(data) for r in rules], axis=1)
+    weights, intercept, _ = weigh(met, label, np.arange(n) % 5 == 0, penalties)
+    return Ensemble(intercept, [Rule(r.terms, float(w)) for r, w in zip(rules, weights) if w])
 
 
 def sample(labelled: DataFrame, rows: int) -> DataFrame:
