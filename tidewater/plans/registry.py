@@ -1289,6 +1289,146 @@ def summary_risk_facility(spark, d):
     return R.summary_risk_facility(m.fact, m.dim2)
 
 
+# =========================== sinks, catalog and samples ==================================
+
+_EXTRACTS = {"fact_inspections_denormalized": "fact", "summary_results_by_year": "per_year", "summary_risk_facility": "risk",
+             "summary_top_violations": "top"}
+
+
+@query("bi_extracts", O.ALL + f""", per_year AS (SELECT {_YEAR} AS year, source_city, count(*) AS n FROM fact GROUP BY 1, 2),
+risk AS (SELECT r.risk_category, r.facility_type, count(*) AS n FROM fact f LEFT JOIN dim2 r ON f.restaurant_key = r.restaurant_key GROUP BY 1, 2),
+top AS (SELECT dv.violation_code, count(*) AS n FROM bridge b LEFT JOIN dimv dv ON b.violation_key = dv.violation_key GROUP BY 1
+        ORDER BY n DESC, 1 ASC NULLS FIRST LIMIT 15)
+""" + " UNION ALL ".join(f"""SELECT '{name}' AS extract, count(*) AS row_count,
+  CAST({'count(*)' if t == 'fact' else 'sum(n)'} AS BIGINT) AS counted FROM {t}""" for name, t in _EXTRACTS.items()))
+def bi_extracts(spark, d):
+    """The denormalised fact and three summaries written as extracts and read back: rows, and what they count."""
+    import datetime as dt
+
+    from tidewater.config import RunConfig
+    from tidewater.plans.pipeline import extracts
+    from tidewater.sinks import write_table
+    from tidewater.sources.csv import read_csv
+    m, base, gold = Model(spark, d), _fresh(spark, "gold"), {}
+    m.viol = stored(m.viol, "violations")
+    for name, attr in (("dim_restaurant", "dim2"), *_COUNTS):  # the fact reads the dimension, the bridge the fact, from what is written
+        if name not in gold:
+            gold[name] = write_table(getattr(m, attr), f"{base}/{name}")
+            setattr(m, attr, spark.read.parquet(gold[name]))
+    cfg = RunConfig(base, job_id="extract-job", as_of=dt.date(2001, 12, 1), run_ts=_RT_TS)
+    out = []
+    for name, path in extracts(spark, cfg, gold).items():
+        back = spark.read.parquet(path) if name.startswith("fact") else read_csv(spark, path)
+        n = next((F.col(c).cast("bigint") for c in ("inspections", "citations") if c in back.columns), F.lit(1))
+        out.append(back.agg(F.count(F.lit(1)).alias("row_count"), F.sum(n).cast("bigint").alias("counted"))
+                   .select(F.lit(name).alias("extract"), "row_count", "counted"))
+    return reduce(DataFrame.unionByName, out)
+
+
+@query("gold_lineage", O.ALL + """SELECT location_key, source_city, TIMESTAMP '2001-12-01 06:00:00' AS created_at,
+  TIMESTAMP '2001-12-01 06:00:00' AS updated_at, 'gold-job' AS etl_job_id FROM loc""")
+def gold_lineage(spark, d):
+    return C.add_gold_lineage(Model(spark, d).loc.select("location_key", "source_city"), "gold-job", _RT_TS)
+
+
+@query("drop_by_prefix", "WITH " + O.RAW_SOUTH + " SELECT " + ", ".join(
+    f'"{c}" AS {O._san(c)}' for c in O.RAW_SOUTH_COLS if not c.startswith("Violation ") and c != "Lat Long Location") + " FROM raw_south")
+def drop_by_prefix(spark, d):
+    """Columns dropped by prefix and by name; a name that does not exist is passed over."""
+    return C.drop_columns(Model(spark, d).raw_south, prefixes=["Violation_"], names=["Lat_Long_Location", "No_Such_Column"])
+
+
+_LISTED = ["nation", "part", "supplier"]
+
+
+@query("layer_namespace", " UNION ALL ".join(
+    f"SELECT 'bronze_{t}' AS table_name, '{m}' AS load, count(*) AS row_count FROM {t}"
+    for t, m in zip(_LISTED, ("merge", "merge", "first_load"))))
+def layer_namespace(spark, d):
+    """A namespace with bronze tables, listed by pattern; ``load``: what the next load of each would do.
+
+    One of the tables was left there in another format, so it is dropped and loaded anew.
+    """
+    import uuid
+
+    from tidewater.sinks import ensure_namespace, load_mode, save_as_table
+    from tidewater.sources.tables import list_tables, read_table
+    db = ensure_namespace(spark, f"layer_{uuid.uuid4().hex}")
+    for t in _LISTED:
+        save_as_table(S.table(spark, d, t), f"{db}.bronze_{t}", fmt="json" if t == "supplier" else "parquet")
+    save_as_table(S.table(spark, d, "region"), f"{db}.silver_region")
+    loads = {}
+    for t in _LISTED:
+        loads[f"bronze_{t}"] = load_mode(spark, f"{db}.bronze_{t}")
+        if loads[f"bronze_{t}"] == "first_load":
+            save_as_table(S.table(spark, d, t), f"{db}.bronze_{t}")
+    listed = list_tables(spark, db, "bronze_*", include_temporary=False).select(F.col("tableName").alias("table_name"))
+    counts = reduce(DataFrame.unionByName, [
+        read_table(spark, f"{db}.{name}").agg(F.count(F.lit(1)).alias("row_count")).select(
+            F.lit(name).alias("table_name"), F.lit(load).alias("load"), "row_count") for name, load in loads.items()])
+    return listed.join(counts, "table_name", "left").select("table_name", "load", "row_count")
+
+
+@query("temp_view_sql", "SELECT s_nationkey, count(*) AS suppliers, max(s_acctbal) AS top_balance FROM supplier GROUP BY s_nationkey")
+def temp_view_sql(spark, d):
+    """A staged frame under a name of its own, read by SQL."""
+    import uuid
+
+    from tidewater.sinks import register_view
+    view = register_view(S.table(spark, d, "supplier").select("s_nationkey", "s_acctbal"), f"staging_{uuid.uuid4().hex}")
+    return spark.sql(f"SELECT s_nationkey, count(*) AS suppliers, max(s_acctbal) AS top_balance FROM {view} GROUP BY s_nationkey")
+
+
+_CONCEPTS = [("restaurant_name", "DBA_Name", "Restaurant_Name"), ("aka_name", "AKA_Name", None), ("address", "Address", "Street_Address"),
+             ("zip", "Zip", "Zip_Code"), ("inspection_type", "Inspection_Type", "Inspection_Type"),
+             ("inspection_date", "Inspection_Date", "Inspection_Date")]
+
+
+def _filled_sql(table: str, column: str | None) -> str:
+    return "CAST(NULL AS BIGINT)" if column is None else f"(SELECT count({column}) FROM {table})"
+
+
+@query("attribute_map", O.RAW + " UNION ALL ".join(
+    f"""SELECT '{c}' AS concept, {f"'{a}'" if a else 'NULL'} AS north_column, {f"'{b}'" if b else 'NULL'} AS south_column,
+  {_filled_sql('north_clean', a)} AS north_filled, {_filled_sql('south_clean', b)} AS south_filled""" for c, a, b in _CONCEPTS))
+def attribute_map_filled(spark, d):
+    """Source-to-target map by concept, with how many values each source column holds; one aggregate a source."""
+    from tidewater.config import attribute_map
+    m = Model(spark, d)
+    rows = attribute_map(SourceMapping("north", {c: a for c, a, _ in _CONCEPTS}), SourceMapping("south", {c: b for c, _, b in _CONCEPTS}))
+    filled = []
+    for frame, side in ((m.north_clean, "left"), (m.south_clean, "right")):
+        at = [(r.concept, getattr(r, side)) for r in rows]
+        one = frame.agg(*[(F.lit(None).cast("bigint") if c is None else F.count(c)).alias(n) for n, c in at])
+        out = "north" if side == "left" else "south"
+        filled.append(one.select(F.inline(F.array(*[F.struct(
+            F.lit(n).alias("concept"), F.lit(c).cast("string").alias(f"{out}_column"), F.col(n).alias(f"{out}_filled")) for n, c in at]))))
+    return filled[0].join(filled[1], "concept")
+
+
+@query("lineage_sample", "SELECT 'north' AS data_source_name, TIMESTAMP '2001-12-01 06:00:00' AS ingest_timestamp, 'bronze-job' AS etl_job_id "
+       "FROM orders LIMIT 5")
+def lineage_sample(spark, d):
+    """The lineage columns of five rows."""
+    df = C.add_bronze_lineage(Model(spark, d).raw_north, "north", job_id="bronze-job", run_ts=_RT_TS)
+    return df.select("data_source_name", "ingest_timestamp", "etl_job_id").limit(5)
+
+
+@query("quarantine_sample", O.RAW + f"""SELECT Inspection_ID, {_dq_case(O.NORTH_ERRORS)} AS errors FROM north_clean
+  WHERE {_any_null(O.NORTH_ERRORS + O.NORTH_WARNINGS)} ORDER BY Inspection_ID NULLS FIRST LIMIT 20""")
+def quarantine_sample(spark, d):
+    """Twenty quarantined rows, by id."""
+    _, quarantine = Q.dq_split(Model(spark, d).north_clean, V.north_checks())
+    return quarantine.select("Inspection_ID", F.array_join("_errors", ",").alias("errors")).orderBy("Inspection_ID").limit(20)
+
+
+@query("violations_sample", O.RAW + """SELECT Inspection_ID, Violations FROM north_clean WHERE Violations IS NOT NULL
+  ORDER BY Inspection_ID NULLS FIRST LIMIT 5""")
+def violations_sample(spark, d):
+    """Five rows that have violations, by id."""
+    return Model(spark, d).north_clean.filter("Violations IS NOT NULL").select("Inspection_ID", "Violations").orderBy("Inspection_ID").limit(5)
+
+
 def queries() -> dict[str, Builder]:
     return {k: v[0] for k, v in REGISTRY.items()}
 
