@@ -70,6 +70,25 @@ def test_render_parse_and_mask(turns):
     assert mask.tolist() == brute
 
 
+@settings(max_examples=300, deadline=None)
+@given(st.lists(st.sampled_from(["a", "the", " ", "  ", "\n", "\n\n", "\t", "é", "日", "𝄞", "\u0301", "'s", "12", "½", "\xa0", "<", "|", "im_start", ">"]
+                                + C.CONTROL), max_size=16).map("".join))
+def test_offsets_are_the_library_offsets(text):
+    ids, starts, ends = C.offset_encoder("byte_bpe_50k.json", "byte_bpe_50k.tiktoken")(text)
+    want = C.offset_encoder("byte_bpe_50k.json", None)(text)
+    enc = C.tokenizer("byte_bpe_50k.json").encode(text, add_special_tokens=False)
+    assert list(zip(starts.tolist(), ends.tolist())) == [tuple(o) for o in enc.offsets]
+    assert ids.tolist() == enc.ids
+    assert all(a.tolist() == b.tolist() for a, b in zip((ids, starts, ends), want))
+
+
+def test_both_encoders_format_alike(spark):
+    rows = [(c, t, "user" if t % 2 else "assistant", f"{'é日 ' * c}[INST] {'word ' * t}</s>") for c in range(30) for t in range(4)]
+    turns = spark.createDataFrame(rows, "conv_id bigint, turn bigint, role string, text string")
+    fast, plain = (sorted(map(str, C.format_conversations(turns, ranks=r).collect())) for r in ("byte_bpe_50k.tiktoken", None))
+    assert fast == plain and len(fast) == 30
+
+
 def test_conversations_with_odd_rows(spark):
     rng = random.Random(2)
     rows = [(1, 0, "user", None), (1, 1, "assistant", "é" * 50), (1, 1, "assistant", "a"), (1, None, None, "x"),

@@ -12,6 +12,7 @@ text can open or close a turn, and one backslash less gives the text back.
 
 from __future__ import annotations
 
+import base64
 import hashlib
 import re
 from collections.abc import Iterator
@@ -21,6 +22,8 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tidewater.llm.packing import encoder
+
 START, END = "<|im_start|>", "<|im_end|>"
 # Strings that some public chat template or tokenizer reads as control marks.
 CONTROL = [START, END, "<|endoftext|>", "<|startoftext|>", "<s>", "</s>", "<unk>", "<pad>", "[INST]", "[/INST]"]
@@ -98,14 +101,62 @@ def tokenizer(name: str):
     return _TOKENIZERS[name]
 
 
-def format_conversations(turns: DataFrame, loss_roles: tuple[str, ...] = ("assistant",),
-                         model: str = "byte_bpe_50k.json") -> DataFrame:
+class OffsetEncoder:
+    """Ids and offsets, in code points, of a text's tokens.
+
+    With ``ranks``, the byte-level vocabulary of the same model, ids come from its chunks
+    (``packing.ChunkEncoder``) and offsets from the tokens' lengths in bytes: the ids of a
+    text spell its bytes one after the other, and a token that ends inside a character
+    covers all of it. Without ``ranks`` the ``tokenizers`` library gives both.
+    """
+
+    def __init__(self, model: str, ranks: str | None):
+        self.full = tokenizer(model)
+        self.chunks = None if ranks is None else encoder(model, ranks)
+        if ranks is not None:
+            import public_tokenizers
+            self.bytes_of = np.zeros(self.full.get_vocab_size(True), dtype=np.int64)
+            with open(public_tokenizers.path(ranks), "rb") as f:
+                for token, k in map(bytes.split, f):
+                    self.bytes_of[int(k)] = len(base64.b64decode(token))
+            for k, added in self.full.get_added_tokens_decoder().items():
+                self.bytes_of[k] = len(added.content.encode())
+
+    def __call__(self, text: str) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """(ids, starts, ends)"""
+        if self.chunks is None:
+            enc = self.full.encode(text, add_special_tokens=False)
+            offsets = np.array(enc.offsets, dtype=np.int64).reshape(-1, 2)
+            return np.array(enc.ids, dtype=np.int32), offsets[:, 0], offsets[:, 1]
+        ids = np.frombuffer(self.chunks.ids(text), dtype=self.chunks.dtype).astype(np.int32)
+        data = np.frombuffer(text.encode(), dtype=np.uint8)
+        char = np.cumsum((data & 0xC0) != 0x80) - 1  # which character a byte is of
+        size = self.bytes_of[ids]
+        end = np.cumsum(size)
+        return ids, char[end - size], char[end - 1] + 1
+
+
+_ENCODERS: dict[tuple[str, str | None], OffsetEncoder] = {}
+
+
+def offset_encoder(model: str, ranks: str | None) -> OffsetEncoder:
+    if (model, ranks) not in _ENCODERS:
+        _ENCODERS[model, ranks] = OffsetEncoder(model, ranks)
+    return _ENCODERS[model, ranks]
+
+
+_CHARS = 500_000  # formatted, that go back to Spark together
+
+
+def format_conversations(turns: DataFrame, loss_roles: tuple[str, ...] = ("assistant",), model: str = "byte_bpe_50k.json",
+                         ranks: str | None = "byte_bpe_50k.tiktoken") -> DataFrame:
     """One row per conversation: formatted text, token ids, loss mask per token, learned character spans.
 
     Turns go by (turn, role, text), NULL first, so ties have one order and repeated rows
     are turns of their own. NULL roles and texts are empty; rows with NULL conv_id make up
     one conversation with that id. Only conv_id, turn, role and text are read; an empty
     table gives no rows. A conversation is one text and so must fit one task, like any text.
+    ``ranks``: the vocabulary of ``model`` by bytes, or None to encode by the ``tokenizers`` library alone.
     """
     rows = (turns.groupBy("conv_id")
             .agg(F.sort_array(F.collect_list(F.struct(
@@ -114,16 +165,24 @@ def format_conversations(turns: DataFrame, loss_roles: tuple[str, ...] = ("assis
             .withColumn("conv_id", F.col("conv_id").cast("string")))  # pandas would turn ids beside a NULL into floats
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        tok = tokenizer(model)
+        encode, names = offset_encoder(model, ranks), ["conv_id", "formatted", "ids", "loss_mask", "loss_spans"]
+        held, size = [], 0
+
+        def frame() -> pd.DataFrame:
+            out = pd.DataFrame(held, columns=names)
+            return out.assign(conv_id=pd.array([None if c is None else int(c) for c in out["conv_id"]], dtype="Int64"))
         for batch in batches:
             for conv_id, ts in zip(batch["conv_id"], batch["turns"]):
                 text, spans = render([(t["role"], t["text"]) for t in ts], loss_roles)
-                enc = tok.encode(text, add_special_tokens=False)
-                offsets = np.array(enc.offsets, dtype=np.int64).reshape(-1, 2)
-                mask, pieces = intersect(spans, offsets[:, 0], offsets[:, 1])
-                yield pd.DataFrame({"conv_id": pd.array([None if conv_id is None else int(conv_id)], dtype="Int64"), "formatted": [text], "ids": [enc.ids],
-                                    "loss_mask": [mask.tolist()],
-                                    "loss_spans": [[{"start": a, "end": b} for a, b in pieces]]})
+                ids, starts, ends = encode(text)
+                mask, pieces = intersect(spans, starts, ends)
+                held.append((conv_id, text, ids, mask, [{"start": a, "end": b} for a, b in pieces]))
+                size += len(text)
+                if size >= _CHARS:
+                    yield frame()
+                    held, size = [], 0
+        if held:
+            yield frame()
     return rows.mapInPandas(run, SCHEMA)
 
 
