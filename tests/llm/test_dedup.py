@@ -60,6 +60,25 @@ def family(rng, n, words=150, edits=3):
     return out
 
 
+def test_blocks_are_bounded_by_their_grams(spark, monkeypatch):
+    """Few long texts are dealt to several blocks, one a text at most, and no link is lost."""
+    rng = random.Random(8)
+    texts = family(rng, 6, 2000, 20) + family(rng, 9, 60, 2)
+    df = N.stored(spark.createDataFrame(list(enumerate(texts)), "doc_id bigint, text string"), "t")
+    want = sorted(map(tuple, N.pairs(df).collect()))
+    monkeypatch.setattr(N, "BLOCK_GRAMS", 1500)
+    rows = df.withColumnRenamed("doc_id", "rid")
+    blocks = N.families(rows, N.stored(N.sketches(rows, N.Banding()), "sketches"), N.Banding()).collect()
+    of = defaultdict(dict)
+    for b in blocks:
+        of[b["family"]][b["rid"]] = b["block"]
+    assert len(of) == 2
+    for f, placed in of.items():
+        many = 1 + max(b["hi"] for b in blocks if b["family"] == f)
+        assert many == (len(placed) if min(placed) < 6 else 1)  # 1,996 n-grams a text, and 56
+    assert len(want) >= 10 and sorted(map(tuple, N.pairs(df).collect())) == want
+
+
 @pytest.mark.parametrize("block", [256, 8])
 def test_jaccard_classes_match_all_pairs(spark, monkeypatch, block):
     monkeypatch.setattr(N, "BLOCK", block)

@@ -27,7 +27,8 @@ from tidewater.llm.graph import components
 
 _BLANKS = str.maketrans("\t\n\x0b\x0c\r", "     ")
 _WORDS_KEPT = 500_000
-BLOCK = 256
+BLOCK = 256  # texts
+BLOCK_GRAMS = 1 << 22  # 32 MB; a block holds about as many, and one text whatever its length
 
 
 @dataclass(frozen=True)
@@ -95,17 +96,18 @@ class Sketcher:
 
 
 def sketches(rows: DataFrame, banding: Banding) -> DataFrame:
-    """rid, copy_key (equal for equal n-gram sets; NULL without words), bands, for rows of (rid, text)."""
+    """rid, copy_key (equal for equal n-gram sets; NULL without words), n_grams, bands, for rows of (rid, text)."""
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         sketch = Sketcher(banding)
         for b in batches:
-            key, bands = [], []
+            key, size, bands = [], [], []
             for text in b["text"]:
                 g = shingles(text, banding.n)
                 key.append(blake2b(g.tobytes(), digest_size=16).digest() if len(g) else None)
+                size.append(len(g))
                 bands.append(sketch.bands(g) if len(g) else [])
-            yield pd.DataFrame({"rid": b["rid"], "copy_key": key, "bands": bands})
-    return rows.mapInPandas(run, "rid bigint, copy_key binary, bands array<bigint>")
+            yield pd.DataFrame({"rid": b["rid"], "copy_key": key, "n_grams": size, "bands": bands})
+    return rows.mapInPandas(run, "rid bigint, copy_key binary, n_grams bigint, bands array<bigint>")
 
 
 def overlaps(sets: list[np.ndarray]) -> np.ndarray:
@@ -151,8 +153,11 @@ def families(rows: DataFrame, sk: DataFrame, banding: Banding) -> DataFrame:
     meet = stored(banded.groupBy("band", "h").agg(F.min("rid").alias("hub"), F.count("*").alias("n"))
                   .where("n > 1").select("band", "h", "hub"), "meetings")
     family = stored(components(banded.join(meet, ["band", "h"]).select("rid", "hub"), "rid", "hub")
-                    .select(F.col("node").alias("rid"), F.col("component").alias("family")), "families")
-    blocks = family.groupBy("family").agg(F.ceil(F.count("*") / BLOCK).cast("int").alias("blocks"))
+                    .select(F.col("node").alias("rid"), F.col("component").alias("family")).join(sk.select("rid", "n_grams"), "rid"), "families")
+    # a block is bounded by its texts and by their n-grams: a few very long texts fill one too
+    many = F.greatest(F.ceil(F.count("*") / BLOCK), F.least(F.ceil(F.sum("n_grams") / BLOCK_GRAMS), F.count("*")))
+    blocks = family.groupBy("family").agg(many.cast("int").alias("blocks"))
+    family = family.drop("n_grams")
     placed = family.join(blocks, "family").withColumn("block", F.pmod(F.xxhash64("rid"), "blocks").cast("int"))
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
