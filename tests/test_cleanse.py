@@ -46,3 +46,21 @@ def test_copies_of_one_row_are_spread(spark):
     finally:
         for c, x in before.items():
             spark.conf.set(c, x)
+
+
+def test_rows_without_a_copy_are_not_shuffled(spark):
+    df = spark.range(200).select(F.col("id").cast("string").alias("a"), F.lit("x").alias("b"))
+    out = number_copies(df, "id")
+    assert out.count() == len({r["id"] for r in out.collect()}) == 200
+    assert "hashpartitioning" not in out._jdf.queryExecution().executedPlan().executedPlan().toString()
+    twice = number_copies(df.unionByName(df.where("a < 5")).unionByName(spark.createDataFrame([(None, "x"), (None, "x")], "a string, b string")), "id")
+    assert twice.count() == len({r["id"] for r in twice.collect()}) == 207
+    assert {r["id"] for r in out.collect()} <= {r["id"] for r in twice.collect()}
+
+
+def test_rules_are_one_predicate(spark):
+    from tidewater.operators.quality import Rule, apply_rules
+    df = spark.createDataFrame([(1, 1), (1, None), (None, 1), (0, 1)], "a int, b int")
+    kept = apply_rules(df, [Rule("a", F.col("a") == 1), Rule("b", F.col("b") == 1)])
+    assert "forall" in kept._jdf.queryExecution().optimizedPlan().toString()
+    assert [tuple(r) for r in kept.collect()] == [(1, 1)]

@@ -17,6 +17,7 @@ from tidewater.functions import (clean_name, parse_date, safe_cast, safe_int, tr
 from tidewater.functions.keys import hash_key
 from tidewater.functions.violations import delimited_parts, slot_parts
 from tidewater.operators.reshape import discover_slots
+from tidewater.session import stored
 
 #: role of a column -> how a value of it is made clean
 ROLES: dict[str, Callable[[str], Column]] = {
@@ -66,20 +67,26 @@ COPIES_TOGETHER = 1000   # copies of one row that are numbered by one task at a
 def number_copies(df: DataFrame, id_column: str) -> DataFrame:
     """Add an id to each row: a hash of all its columns and of its number among exact copies.
 
-    The same on any partitioning, and each row has its own. Equal rows are counted map-side. Those
-    that occur more than once are then dealt out again in runs of COPIES_TOGETHER over all tasks, so
-    a row that makes up a third of the table is made, cleansed and written by no task alone; rows
-    without a copy stay where the count has put them.
+    The same on any partitioning, and each row has its own. First 64-bit hashes of the rows are
+    counted (an action): a row whose hash no other row has has no copy, and is neither grouped nor, if the
+    other hashes are few enough to broadcast, shuffled. Equal rows among the others are counted map-side,
+    then dealt out in runs of COPIES_TOGETHER over all tasks, so a row that makes up a third of the
+    table is made, cleansed and written by no task alone.
     """
     raw = list(df.columns)
-    counted = df.groupBy(*[f"`{c}`" for c in raw]).agg(F.count(F.lit(1)).alias("_copies"))
-    alone = counted.where("_copies = 1").withColumn("_copy", F.lit(1).cast("bigint")).drop("_copies")
+    row = F.xxhash64(*[f"`{c}`" for c in raw]).alias("_row")
+    shared = stored(df.select(row).groupBy("_row").agg(F.count(F.lit(1)).alias("_n")).where("_n > 1").select("_row"), "shared-hashes")
+    hashed = df.select("*", row)
+    one = F.lit(1).cast("bigint").alias("_copy")
+    alone = hashed.join(shared, "_row", "left_anti").select(*[f"`{c}`" for c in raw], one)
+    counted = hashed.join(shared, "_row", "left_semi").groupBy(*[f"`{c}`" for c in raw]).agg(F.count(F.lit(1)).alias("_copies"))
     runs = F.sequence(F.lit(0).cast("bigint"), F.floor((F.col("_copies") - 1) / COPIES_TOGETHER))
     first = F.col("_run") * COPIES_TOGETHER
     again = (counted.where("_copies > 1").withColumn("_run", F.explode(runs)).repartition(*[f"`{c}`" for c in raw], "_run")
              .withColumn("_copy", F.explode(F.sequence(first + 1, F.least(first + COPIES_TOGETHER, F.col("_copies")))))
              .drop("_copies", "_run"))
-    return alone.unionByName(again).withColumn(id_column, hash_key([*[f"`{c}`" for c in raw], "_copy"])).drop("_copy")
+    counted_once = counted.where("_copies = 1").select(*[f"`{c}`" for c in raw], one)
+    return counted_once.unionByName(again).unionByName(alone).withColumn(id_column, hash_key([*[f"`{c}`" for c in raw], "_copy"])).drop("_copy")
 
 
 def cleanse(bronze: DataFrame, cfg: SourceConfig) -> DataFrame:
