@@ -37,3 +37,18 @@ def test_current_dim_filter_reaches_parquet(spark, tmp_path):
     from pyspark.sql import functions as F
     plan = _plan(read_table(spark, str(tmp_path / "d")).filter(F.col("is_current")))
     assert "EqualTo(is_current,true)" in plan
+
+
+def test_violations_are_told_apart_by_numbers(spark):
+    """Ids are made of the two numbers after the dedupe, not carried through its shuffle as text."""
+    from tidewater.plans import standin as S
+    plan = _plan(S.silver_violations(spark, SF001))
+    assert "hashpartitioning(l_orderkey" in plan and "hashpartitioning(inspection_id" not in plan
+
+
+def test_scratch_and_gold_tables_are_compressed(spark, tmp_path):
+    from tidewater.session import stored
+    from tidewater.sinks import write_table
+    df = spark.range(5)
+    assert all(".zstd." in f for f in stored(df, "t").inputFiles())
+    assert all(".zstd." in f for f in spark.read.parquet(write_table(df, str(tmp_path / "t"))).inputFiles())

@@ -136,3 +136,18 @@ def test_copies_of_an_inspection_do_not_multiply_violations(spark):
                                  "inspection_id long, violation_code string, violation_description string, "
                                  "violation_comments string, violation_points int, source_city string")
     assert ST.load_bridge(viol, fact, lookup="hash").count() == 2   # ... without fan-out
+
+
+def test_bridge_looks_up_inspections_only_and_by_short_keys(spark):
+    insp = spark.createDataFrame([("1", "A", None, "C", "x", "y", "s", "00001", "t", D1, "Pass", 90)],
+                                 "inspection_id string, restaurant_name string, license_number string, source_city string, address string, city string, "
+                                 "state string, zip string, inspection_type string, inspection_date date, inspection_result string, inspection_score int")
+    fact = ST.load_fact(insp, merge(spark, None, BASE, D1), lookup="hash")
+    viol = spark.createDataFrame([("1", "C", "3", "d", "note"), ("2", "C", "3", "d", "none"), (None, "C", "3", "d", "none")],
+                                 "inspection_id string, source_city string, violation_code string, violation_description string, violation_comments string")
+    bridge = ST.load_bridge(viol, fact, lookup="hash")
+    plan = bridge._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("Join ") == 1   # the semi join; none with the dimension
+    assert {f.name: f.dataType.simpleString() for f in bridge.schema}["inspection_key"] == "string"
+    (key, note), = [(r["inspection_key"], r["violation_comments"]) for r in bridge.collect()]
+    assert key == fact.first()["inspection_key"] and note == "note"
