@@ -4,7 +4,11 @@ No range join: dates are cut into slices of a fixed number of days, and facts me
 (key, slice). What a fact of that key and slice can match is one row: the versions that start
 in the slice, and the one that was valid when the slice began, carried over from the slices
 before. A key's versions do not overlap, so that row holds at most one version for each day of the slice; and as facts are
-dealt by (key, slice), a key that holds a third of all facts is spread over its slices.
+dealt by (key, slice), a key that holds a third of all facts is spread over its slices. Slices are about a year long: in
+short ones most facts are alone in theirs, and there are as many (key, slice) rows to find as facts.
+
+Facts are read three times, each time the columns that are needed alone: for the slices to find, for the join, and for
+those with a NULL in the key or date, which match nothing and are not dealt. They should be stored.
 """
 
 from __future__ import annotations
@@ -17,7 +21,7 @@ from pyspark.sql import functions as F
 
 def as_of_lookup(facts: DataFrame, versions: DataFrame, keys: list[tuple[Column, Column]], date: str, payload: list[str],
                  start: str = "effective_start_date", end: str = "effective_end_date", current: str = "is_current",
-                 backdate: bool = False, slice_days: int = 32) -> DataFrame:
+                 backdate: bool = False, slice_days: int = 366) -> DataFrame:
     """``facts`` with the ``payload`` columns of the version valid on ``date``, NULL where there is none.
 
     ``keys`` pairs an expression over the facts with one over the versions; a NULL key matches
@@ -27,16 +31,14 @@ def as_of_lookup(facts: DataFrame, versions: DataFrame, keys: list[tuple[Column,
     """
     names = [f"_k{i}" for i in range(len(keys))]
     taken = set(facts.columns)
-    if clash := taken & {*payload, *names, "_slice", "_version", "_versions"}:
+    if clash := taken & {*payload, *names, "_slice", "_lead", "_version", "_versions"}:
         raise ValueError(f"facts already have the columns {sorted(clash)}")
 
     def slice_of(day: Column) -> Column:
         return F.floor(F.unix_date(day.cast("date")) / slice_days).cast("int")
-    left = facts.select("*", *[k.alias(n) for (k, _), n in zip(keys, names)])
+    named = facts.select("*", *[k.alias(n) for (k, _), n in zip(keys, names)])
     unknown = reduce(lambda a, b: a | b, [F.col(n).isNull() for n in names] + [F.col(date).isNull()])
-    # rows that match nothing have no slice of their own: spread over 1,024 that no version is in
-    left = left.withColumn("_slice", F.when(unknown, -10 ** 9 - F.pmod(F.xxhash64(*[f"`{c}`" for c in facts.columns]), F.lit(1024)).cast("int"))
-                           .otherwise(slice_of(F.col(date))))
+    left = named.where(~unknown).withColumn("_slice", slice_of(F.col(date)))
 
     until = F.when(F.col(current), F.lit(None)).otherwise(F.col(end)).cast("date")
     version = F.struct(F.col(start).cast("date").alias("_from"), until.alias("_until"), *payload)
@@ -44,25 +46,27 @@ def as_of_lookup(facts: DataFrame, versions: DataFrame, keys: list[tuple[Column,
            .select(*[v.alias(n) for (_, v), n in zip(keys, names)], slice_of(F.col(start)).alias("_slice"), version.alias("_version"))
            .dropna(subset=names)
            .groupBy(*names, "_slice").agg(F.sort_array(F.collect_list("_version")).alias("own")))
-    # one row for each (key, slice) that has facts or new versions: no more than a key has slices
-    asked = left.where(~unknown).select(*names, "_slice").distinct().withColumn("asked", F.lit(True)).withColumn("own", F.lit(None).cast(own.schema["own"].dataType))
-    marks = (own.select(*names, "_slice", F.lit(False).alias("asked"), "own").union(asked.select(*names, "_slice", "asked", "own"))
-             .groupBy(*names, "_slice").agg(F.max("asked").alias("asked"), F.max("own").alias("own")))
-    key = Window.partitionBy(*names)
-    before = key.orderBy("_slice").rowsBetween(Window.unboundedPreceding, -1)
-    carried = F.last(F.when(F.col("own").isNotNull(), F.element_at("own", -1)), ignorenulls=True).over(before)
+    # one row for each (key, slice) that has facts, one for each that has new versions: no more than a key has slices
+    asked = left.select(*names, "_slice").distinct()
+    marks = (own.select(*names, "_slice", F.lit(False).alias("asked"), "own")
+             .union(asked.select(*names, "_slice", F.lit(True).alias("asked"), F.lit(None).cast(own.schema["own"].dataType).alias("own"))))
+    # a number in front of the key: rows are sorted by their first column's first eight bytes, which many names share
+    key = Window.partitionBy(F.hash(*names), *names).orderBy("_slice")
+    before, here = key.rangeBetween(Window.unboundedPreceding, -1), key.rangeBetween(0, 0)
+    carried = F.last(F.element_at("own", -1), ignorenulls=True).over(before)
     none = F.array().cast(own.schema["own"].dataType)
-    found = marks.withColumn("carried", carried)
     if backdate:
-        first = F.min(F.when(F.col("own").isNotNull(), F.col("own")[0])).over(key)
-        early = first.withField("_from", F.lit("0001-01-01").cast("date"))
-        found = found.withColumn("carried", F.coalesce("carried", early))
+        first = F.first(F.get("own", F.lit(0)), ignorenulls=True).over(key.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing))
+        carried = F.coalesce(carried, first.withField("_from", F.lit("0001-01-01").cast("date")))
+    found = marks.withColumns({"carried": carried, "own": F.last("own", ignorenulls=True).over(here)})
     known = (found.where("asked")
              .select(*names, "_slice", F.concat(F.when(F.col("carried").isNotNull(), F.array("carried")).otherwise(none),
                                                 F.coalesce("own", none)).alias("_versions"))
              .where(F.size("_versions") > 0))
     begun = F.filter("_versions", lambda v: v["_from"] <= F.col(date).cast("date"))
-    last = F.get(begun, F.size(begun) - 1)
-    joined = left.join(known, [*names, "_slice"], "left").withColumn("_version", last)
+    last = F.try_element_at(begun, F.lit(-1))
+    lead = F.hash(*names, "_slice")
+    joined = left.withColumn("_lead", lead).join(known.withColumn("_lead", lead), ["_lead", *names, "_slice"], "left").withColumn("_version", last)
     valid = F.col("_version._until").isNull() | (F.col(date).cast("date") < F.col("_version._until"))
-    return joined.select(*[f"`{c}`" for c in facts.columns], *[F.when(valid, F.col(f"_version.{p}")).alias(p) for p in payload])
+    dated = joined.select(*[f"`{c}`" for c in facts.columns], *[F.when(valid, F.col(f"_version.{p}")).alias(p) for p in payload])
+    return dated.union(named.where(unknown).select(*[f"`{c}`" for c in facts.columns], *[F.lit(None).cast(dated.schema[p].dataType).alias(p) for p in payload]))
