@@ -1,3 +1,4 @@
+import pickle
 import random
 import zlib
 from collections import defaultdict
@@ -136,3 +137,68 @@ def test_nearest_is_brute_force_over_the_corpus(spark, tmp_path):
                 want.append(0 if other is r else sum(x for t, x in zip(terms.tolist(), w) if t in mine))
             assert np.allclose(score[q], np.sort(want)[::-1][:8], rtol=1e-4)
             assert r["rid"] not in rid[q]
+
+
+def stored_bags(docs, window=2048):
+    return P.stored(P.bags(P.stored(P.encoded(docs, "text", "doc_id", *FILES), "encoded"), window, P.encoder(*FILES).dtype), "bags")
+
+
+def test_short_lists_are_the_head_of_the_whole_ones(spark, tmp_path, monkeypatch):
+    """What tasks leave out ends a list before anything is missing; documents out of reach change nothing."""
+    bag = stored_bags(corpus_of_topics(spark, 12, 25, str(tmp_path / "short"))).repartition(6)
+    rows = sorted(bag.collect(), key=lambda r: r["rid"])
+    corpus = P.Corpus.of(bag)
+    seeds = P.Seeds(corpus, [r["rid"] for r in rows], [bytes(r["terms"]) for r in rows], chunk=32)
+    score, rid, rest = P.nearest(bag, seeds, 40)  # each task has one block: nothing is known yet to leave documents out by
+    monkeypatch.setattr(P, "_BLOCK", 8)
+    for each in (1, 4, 40):
+        some, its_rid, its_rest = P.nearest(bag, seeds, 40, each)
+        sure = some >= 0
+        length = sure.sum(axis=1)
+        assert (length >= each).all() and (sure == (np.arange(40) < length[:, None])).all()
+        assert np.allclose(some[sure], score[sure], rtol=1e-4)
+        clear = sure & (np.abs(np.diff(score, axis=1, prepend=np.inf)) > 1e-3) & (np.abs(np.diff(score, axis=1, append=-1)) > 1e-3)
+        assert clear.any() and (its_rid[clear] == rid[clear]).all() and (its_rest[clear] == rest[clear]).all()
+    assert sure.all()
+
+
+def test_seeds_keep_their_terms_on_the_way():
+    rng = np.random.default_rng(4)
+    docs = [np.unique(rng.integers(0, 300, 40) ** 2 // 300).astype("<u4") for _ in range(50)]
+    corpus = P.Corpus(50, 40.0, np.bincount(np.concatenate(docs)))
+    seeds = P.Seeds(corpus, list(range(50)), [d.tobytes() for d in docs], chunk=16, often=0.3)
+    sent = pickle.loads(pickle.dumps(seeds))
+    assert sorted(seeds.order.tolist()) == list(range(50)) and sent.rids.tolist() == seeds.order.tolist()
+    for mine, theirs in zip(seeds.chunks, sent.chunks, strict=True):
+        assert all(a.dtype == b.dtype and np.array_equal(a, b) for a, b in zip(mine, theirs, strict=True))
+
+
+def test_rounds_search_for_windows_that_need_it(spark, tmp_path, monkeypatch):
+    """No seed is searched for that no window can take, and tasks do not send whole lists."""
+    docs = corpus_of_topics(spark, 40, 10, str(tmp_path / "rounds"))
+    rounds, real, asked, search = [], P.Packer.round, [], P.nearest
+
+    def spy(self):
+        waiting = sum(w.terms is not None for w in self.open)
+        free = (self.left - sum(w.room - w.at for w in self.open)) // self.window + len(self.open) - waiting
+        rounds.append((waiting, free))
+        return real(self)
+
+    def nearest(alive, seeds, k, each=None):
+        asked.append((len(seeds.rids), k, each, alive.rdd.getNumPartitions()))
+        return search(alive, seeds, k, each)
+    monkeypatch.setattr(P.Packer, "round", spy)
+    monkeypatch.setattr(P, "nearest", nearest)
+    assert P.pack(docs, window=1024, shard_docs=16).count() >= 400
+    assert len(rounds) == len(asked) > 1
+    for (waiting, free), (seeds, k, each, tasks) in zip(rounds, asked):
+        assert seeds <= max(1, waiting + free + free // 4)
+        assert each * tasks <= 2 * k + 3 * tasks
+
+
+def test_a_bag_of_many_files_is_read_in_a_bounded_number_of_tasks(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(P, "_TASKS", 2)
+    bag = stored_bags(corpus_of_topics(spark, 4, 10, str(tmp_path / "files"))).repartition(9)
+    packer = P.Packer(bag, 2048, 0)
+    most = max(2, spark.sparkContext.defaultParallelism)
+    assert packer.tasks == packer.bag.rdd.getNumPartitions() == most and packer.bag.count() == 40
