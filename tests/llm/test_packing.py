@@ -174,14 +174,15 @@ def test_seeds_keep_their_terms_on_the_way():
 
 
 def test_rounds_search_for_windows_that_need_it(spark, tmp_path, monkeypatch):
-    """No seed is searched for that no window can take, and tasks do not send whole lists."""
+    """No seed is searched for that no window can take, what a search found serves later rounds, and tasks do not send whole lists."""
     docs = corpus_of_topics(spark, 40, 10, str(tmp_path / "rounds"))
     rounds, real, asked, search = [], P.Packer.round, [], P.nearest
 
     def spy(self):
+        self.seeds = 64
         waiting = sum(w.terms is not None for w in self.open)
         free = (self.left - sum(w.room - w.at for w in self.open)) // self.window + len(self.open) - waiting
-        rounds.append((waiting, free))
+        rounds.append((waiting, free, len(asked)))
         return real(self)
 
     def nearest(alive, seeds, k, each=None):
@@ -190,10 +191,11 @@ def test_rounds_search_for_windows_that_need_it(spark, tmp_path, monkeypatch):
     monkeypatch.setattr(P.Packer, "round", spy)
     monkeypatch.setattr(P, "nearest", nearest)
     assert P.pack(docs, window=1024, shard_docs=16).count() >= 400
-    assert len(rounds) == len(asked) > 1
-    for (waiting, free), (seeds, k, each, tasks) in zip(rounds, asked):
-        assert seeds <= max(1, waiting + free + free // 4)
-        assert each * tasks <= 2 * k + 3 * tasks
+    assert len(rounds) > 1 and asked
+    for (waiting, free, lo), hi in zip(rounds, [r[2] for r in rounds[1:]] + [len(asked)]):
+        assert all(seeds <= max(waiting, free + waiting + (free + waiting) // 4 + 1) for seeds, *_ in asked[lo:hi])
+        assert waiting or free or lo == hi
+    assert all(k >= 64 and each * tasks <= 2 * k + 3 * tasks for _, k, each, tasks in asked)
 
 
 def test_a_bag_of_many_files_is_read_in_a_bounded_number_of_tasks(spark, tmp_path, monkeypatch):
