@@ -58,6 +58,28 @@ def test_rows_without_a_copy_are_not_shuffled(spark):
     assert {r["id"] for r in out.collect()} <= {r["id"] for r in twice.collect()}
 
 
+def test_more_shared_hashes_than_a_broadcast_takes(spark, monkeypatch):
+    """Rows without a copy stay unshuffled then too; a full bitmap only has more rows grouped."""
+    from tidewater.operators import cleanse as C
+    df = spark.range(3000).select(F.when(F.col("id") % 3 == 0, F.col("id") % 500).otherwise(F.col("id")).cast("string").alias("a"),
+                                  F.when(F.col("id") % 7 > 0, F.lit("x")).alias("b"))
+    want = {r["id"] for r in number_copies(df, "id").collect()}
+    assert len(want) == 3000
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    try:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+        out = number_copies(df, "id")
+        assert "SortMergeJoin" not in out._jdf.queryExecution().executedPlan().toString()
+        assert {r["id"] for r in out.collect()} == want
+        hashes = df.select(F.xxhash64("a").alias("h")).where("a < '2'")
+        flagged = C._may_be_in(df.withColumn("h", F.xxhash64("a")), hashes, "h", "f")
+        assert flagged.columns == ["a", "b", "h", "f"] and flagged.where("a < '2' and not f").count() == 0 < flagged.where("not f").count()
+        monkeypatch.setattr(C, "MOST_BITS", 8)
+        assert {r["id"] for r in number_copies(df, "id").collect()} == want
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+
+
 def test_rules_are_one_predicate(spark):
     from tidewater.operators.quality import Rule, apply_rules
     df = spark.createDataFrame([(1, 1), (1, None), (None, 1), (0, 1)], "a int, b int")

@@ -62,24 +62,46 @@ class SourceConfig:
 
 
 COPIES_TOGETHER = 1000   # copies of one row that are numbered by one task at a time
+MOST_BITS = 1 << 28      # of the bitmap of shared hashes that every task gets: 32 MB
+PIECE_BYTES = 256        # of the bitmap, looked up together
+
+
+def _may_be_in(df: DataFrame, hashes: DataFrame, column: str, flag: str) -> DataFrame:
+    """``df`` with ``flag``: false only where ``column`` (bigint) is not in ``hashes``.
+
+    Looked up in a bitmap of bounded size, about 16 bits for each hash while they fit; beyond
+    that more rows are flagged that need not be.
+    """
+    bits = min(MOST_BITS, 1 << max(15, (16 * hashes.count()).bit_length()))
+    place = F.pmod(F.col(column), F.lit(bits))
+    # bitmaps of 2 ** 15 bits, then cut into pieces that are small enough to be copied for each row
+    whole = (hashes.groupBy(F.shiftright(place, 15).alias("_part"))
+             .agg(F.bitmap_construct_agg(place.bitwiseAND(F.lit((1 << 15) - 1))).alias("_bitmap")))
+    pieces = stored(whole.withColumn("_i", F.explode(F.sequence(F.lit(0), F.lit((1 << 12) // PIECE_BYTES - 1))))
+                    .select((F.col("_part") * ((1 << 12) // PIECE_BYTES) + F.col("_i")).alias("_piece"),
+                            F.substring("_bitmap", F.col("_i") * PIECE_BYTES + 1, F.lit(PIECE_BYTES)).alias("_bits")), "bitmap")
+    byte = F.floor(F.pmod(place, F.lit(8 * PIECE_BYTES)) / 8).cast("int")
+    held = F.conv(F.hex(F.substring("_bits", byte + 1, F.lit(1))), 16, 10).cast("int")
+    found = df.withColumn("_piece", F.floor(place / (8 * PIECE_BYTES))).join(F.broadcast(pieces), "_piece", "left")
+    return found.withColumn(flag, F.coalesce(F.getbit(held, F.pmod(place, F.lit(8)).cast("int")) == 1, F.lit(False))).drop("_piece", "_bits")
 
 
 def number_copies(df: DataFrame, id_column: str) -> DataFrame:
     """Add an id to each row: a hash of all its columns and of its number among exact copies.
 
     The same on any partitioning, and each row has its own. First 64-bit hashes of the rows are
-    counted (an action): a row whose hash no other row has has no copy, and is neither grouped nor, if the
-    other hashes are few enough to broadcast, shuffled. Equal rows among the others are counted map-side,
+    counted (an action): a row whose hash no other row has has no copy, and is neither grouped nor
+    shuffled, unless its place in the bitmap of the other hashes is taken. Equal rows among the rest are counted map-side,
     then dealt out in runs of COPIES_TOGETHER over all tasks, so a row that makes up a third of the
     table is made, cleansed and written by no task alone.
     """
     raw = list(df.columns)
     row = F.xxhash64(*[f"`{c}`" for c in raw]).alias("_row")
     shared = stored(df.select(row).groupBy("_row").agg(F.count(F.lit(1)).alias("_n")).where("_n > 1").select("_row"), "shared-hashes")
-    hashed = df.select("*", row)
+    hashed = _may_be_in(df.select("*", row), shared, "_row", "_shared")
     one = F.lit(1).cast("bigint").alias("_copy")
-    alone = hashed.join(shared, "_row", "left_anti").select(*[f"`{c}`" for c in raw], one)
-    counted = hashed.join(shared, "_row", "left_semi").groupBy(*[f"`{c}`" for c in raw]).agg(F.count(F.lit(1)).alias("_copies"))
+    alone = hashed.where("not _shared").select(*[f"`{c}`" for c in raw], one)
+    counted = hashed.where("_shared").groupBy(*[f"`{c}`" for c in raw]).agg(F.count(F.lit(1)).alias("_copies"))
     runs = F.sequence(F.lit(0).cast("bigint"), F.floor((F.col("_copies") - 1) / COPIES_TOGETHER))
     first = F.col("_run") * COPIES_TOGETHER
     again = (counted.where("_copies > 1").withColumn("_run", F.explode(runs)).repartition(*[f"`{c}`" for c in raw], "_run")

@@ -1047,7 +1047,7 @@ def copies_keep_violations(spark, d):
     long = unpivot_slots(ok, "Violation", {"Description": "violation_description_raw"}, main_field="Description",
                          keep=["Inspection_ID"], casts={}, slot_name="violation_num")
     return long.groupBy("violation_description_raw").agg(F.count("*").alias("violations"),
-                                                         F.count_distinct("Inspection_ID").alias("inspections"))
+                                                         F.count_distinct(F.unhex("Inspection_ID")).alias("inspections"))  # 16 bytes each
 
 
 _ABA = O.merge_sql("dim3", "dim2", "stg_b", S.SCD2_AS_OF_2, S.SCD2_JOB_2) + "," \

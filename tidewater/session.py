@@ -5,6 +5,8 @@ from __future__ import annotations
 import os
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import SparkSession
 
@@ -84,11 +86,27 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return f"{base}/{name}"
 
 
+@contextmanager
+def shuffles_dropped(spark: SparkSession) -> Iterator[None]:
+    """Shuffle files of what is written or collected meanwhile go as that ends, not when the driver next collects its garbage."""
+    name = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+    before = spark.conf.get(name, None)
+    spark.conf.set(name, "true")
+    try:
+        yield
+    finally:
+        if before is None:
+            spark.conf.unset(name)
+        else:
+            spark.conf.set(name, before)
+
+
 def stored(df, name: str):
     """Write ``df`` to a fresh folder of the shared checkpoint dir and read it back: computed once
     however often it is used, from files that any executor can read again."""
     path = scratch_path(df.sparkSession, f"{name}-{uuid.uuid4().hex}")
-    df.write.option("compression", "zstd").parquet(path)  # hex keys take half the room they do under snappy
+    with shuffles_dropped(df.sparkSession):
+        df.write.option("compression", "zstd").parquet(path)  # hex keys take half the room they do under snappy
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
