@@ -150,3 +150,12 @@ def test_slot_parts(spark):
     assert strict == [("39", "Food contact"), ("41", "F at *12 Foo"), ("", "")]
     loose = rows(df.select(*[c.alias(k) for k, c in slot_parts("raw", fallback=True).items()]))
     assert loose[2] == (None, "FOOD CODE")
+
+
+def test_packed_text_gives_the_text_back(spark):
+    from tidewater.functions import packed_text, unpacked_text
+    texts = ["", "0", "00", "abc", "abcd", "ABCD", "aBcd", "1234567", "12345678", " ab", "zz", "\u00e9\u00e9", "0123456789abcdef0123456789abcdef", None]
+    got = spark.createDataFrame([(t,) for t in texts], "t string").select("t", packed_text("t").alias("p")).select("t", "p", unpacked_text("p").alias("u")).collect()
+    assert [r["u"] for r in got] == texts
+    assert len({bytes(r["p"]) for r in got[:-1]}) == len(texts) - 1 and got[-1]["p"] is None
+    assert len(got[-2]["p"]) == 17
